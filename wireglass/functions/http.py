@@ -60,7 +60,7 @@ def split_pairs(encoded: Column) -> Column:
 
 def first_value(pairs: Column, name: str) -> Column:
     """First value of a name in a pair list, null when the name is absent."""
-    return F.get(F.filter(pairs, lambda p: p["name"] == name), F.lit(0))["value"]
+    return F.get(pairs["value"], (F.array_position(pairs["name"], name) - 1).cast("int"))
 
 
 def all_values(pairs: Column, name: str) -> Column:

@@ -9,6 +9,7 @@ and `rstring` are both strings).
 from __future__ import annotations
 
 from collections.abc import Iterable
+from decimal import Decimal
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -111,7 +112,7 @@ def coerce(text: Column, kind: str) -> Column:
         return F.when(text.rlike(_INT_TEXT), text.try_cast(spark_type))
     if kind in UNSIGNED:
         wide = F.when(text.rlike(_INT_TEXT), text.try_cast("decimal(38,0)"))
-        return F.when(wide.between(F.lit(0), F.lit(UNSIGNED[kind]).cast("decimal(20,0)")), wide.cast(spark_type))
+        return F.when(wide.between(F.lit(0), F.lit(Decimal(UNSIGNED[kind]))), wide.cast(spark_type))
     if kind in FLOATS:
         return F.when(text.rlike(_FLOAT_TEXT), text.try_cast(spark_type))
     if kind == "boolean":

@@ -14,14 +14,12 @@ from pyspark.sql import types as T
 from wireglass.functions import http
 from wireglass.functions.types import attribute_type, coerce_or_default, default, is_rejected
 from wireglass.plans.checks import check_inject
+from wireglass.plans.pinned import pinned
 
-# The URL forms of the operators below `/ports`.
-ROUTE = (
-    r"^(?:/([^/]+))?/([^/]+)/ports/(?:"
-    r"(output)/([0-9]+)/(inject|form|info|wsinject)"
-    r"|(input)/([0-9]+)/(tuples|attribute|info|wssend)"
-    r"|(analyze)/([0-9]+)(/.*)?)$"
-)
+# The URL forms below `/ports` and what each direction offers.
+ROUTE = r"^(?:/([^/]+))?/([^/]+)/ports/(output|input|analyze)/([0-9]+)(/.*)?$"
+OUTPUT_ACTIONS = ("inject", "form", "info", "wsinject")
+INPUT_ACTIONS = ("tuples", "attribute", "info", "wssend")
 CONTENT_TYPES = {"json": http.JSON, "xml": http.XML, "blob": http.OCTETS}
 
 
@@ -38,24 +36,31 @@ def route_requests(df: DataFrame) -> DataFrame:
     `/ctx/Op/ports/...` carries a context and a base name, `/full.name/ports/...`
     a full operator name. Requests below no port get the error `no route`.
     """
-    path = http.url_path(F.col("url"))
+    context, operator, side, port, rest = (F.regexp_extract("__path", ROUTE, group) for group in range(1, 6))
+    parts = {"context": context, "operator": operator, "__side": side, "__port": port, "__rest": rest}
+    routed = pinned(df.withColumn("__path", http.url_path(F.col("url"))), parts)
+    analyze = F.col("__side") == "analyze"
+    name = F.substring(F.col("__rest"), F.lit(2), F.length("__rest"))
+    offered = ((F.col("__side") == "output") & name.isin(*OUTPUT_ACTIONS)) | (
+        (F.col("__side") == "input") & name.isin(*INPUT_ACTIONS)
+    )
+    routed = routed.withColumn("action", F.when(analyze, F.lit("analyze")).when(offered, name).otherwise(F.lit("")))
+    known = F.col("action") != ""
 
-    def part(*groups: int) -> Column:
-        return F.concat(*[F.regexp_extract("__path", ROUTE, g) for g in groups])
+    def kept(value: Column) -> Column:
+        return F.when(known, value).otherwise(F.lit(""))
 
-    routed = df.withColumn("__path", path)
+    prefix = F.concat(F.when(F.col("context") == "", "").otherwise(F.concat(F.lit("/"), "context")), F.lit("/"), "operator")
     routed = routed.withColumns(
         {
-            "context": part(1),
-            "operator": part(2),
-            "direction": F.when(part(9) == "analyze", F.lit("output")).otherwise(part(3, 6)),
-            "port": part(4, 7, 10).try_cast("int"),
-            "action": part(5, 8, 9),
-            "context_path": F.regexp_extract("__path", r"^((?:/[^/]+)?/[^/]+/ports)/", 1),
-            "path_info": part(11),
+            "direction": kept(F.when(analyze, F.lit("output")).otherwise(F.col("__side"))),
+            "port": F.when(known, F.col("__port").try_cast("int")),
+            "context_path": kept(F.concat(prefix, F.lit("/ports"))),
+            "path_info": F.when(analyze, F.col("__rest")).otherwise(F.lit("")),
         }
     )
-    return with_error(routed.drop("__path"), F.when(F.col("action") == "", F.lit("no route")))
+    routed = routed.withColumns({"context": kept(F.col("context")), "operator": kept(F.col("operator"))})
+    return with_error(routed.drop("__path", "__side", "__port", "__rest"), F.when(~known, F.lit("no route")))
 
 
 def content_type_gate(df: DataFrame, payload: str) -> DataFrame:
@@ -82,7 +87,7 @@ def parse_parameters(df: DataFrame) -> DataFrame:
     form = F.col("method").isin("POST", "PUT") & http.has_content_type(F.col("content_type"), http.FORM)
     body = F.when(form, http.body_text(F.col("body")))
     pairs = F.concat(http.split_pairs(http.url_query(F.col("url"))), http.split_pairs(body))
-    parsed = df.withColumn("parameters", pairs)
+    parsed = pinned(df, {"parameters": pairs})
     broken = F.exists("parameters", lambda p: p["name"].isNull() | p["value"].isNull())
     return with_error(parsed, F.when(broken, F.lit("bad parameter encoding")))
 
@@ -99,7 +104,7 @@ def inject_tuple(df: DataFrame, schema: T.StructType) -> DataFrame:
     parsed = parse_parameters(size_gate(method_gate(df, "GET", "HEAD", "POST")))
     kinds = {field.name: attribute_type(field) for field in schema.fields}
     texts = {f"__{name}": http.first_value(F.col("parameters"), name) for name in kinds}
-    raw = parsed.withColumns(texts)
+    raw = pinned(parsed, texts)
     checks = [(is_rejected(F.col(f"__{name}"), kind), f"bad value for {name}") for name, kind in kinds.items()]
     checked = with_error(raw, _reasons(checks))
     values = {name: coerce_or_default(F.col(f"__{name}"), kind) for name, kind in kinds.items()}

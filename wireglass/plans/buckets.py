@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-SLOTS = 1024
+SLOTS = 512
 ROWS_PER_BUCKET = 200_000
 # a bucket number must stay far away from overflow
 _MAX_BUCKETS = 10_000_000
@@ -90,12 +90,12 @@ def measure(frame: DataFrame, column: str, rows_per_bucket: int | None = None) -
     """
     cores = max(frame.sparkSession.sparkContext.defaultParallelism, 1)
     value = position(F.col(column), frame.schema[column].dataType)
-    shares = [i / SLOTS for i in range(SLOTS + 1)]
+    shares = ",".join(f"{i / SLOTS!r}D" for i in range(SLOTS + 1))
     row = frame.select(value.alias("v")).agg(
         F.count("v").alias("n"),
         F.min("v").alias("low"),
         F.max("v").alias("high"),
-        F.percentile_approx("v", F.array(*[F.lit(s) for s in shares]), F.lit(2 * SLOTS)).alias("q"),
+        F.expr(f"percentile_approx(v, array({shares}), {2 * SLOTS})").alias("q"),
     ).first()
     if not row["n"]:
         return Layout(0, 1, (1,))

@@ -19,8 +19,8 @@ def _quoted(text: str) -> str:
 _PATH = "regexp_extract(url, '^(?:[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)?([^?#]*)', 1)"
 
 
-def _group(*numbers: int) -> str:
-    return " || ".join(f"regexp_extract(path, {_quoted(ingest.ROUTE)}, {n})" for n in numbers)
+def _group(number: int) -> str:
+    return f"regexp_extract(path, {_quoted(ingest.ROUTE)}, {number})"
 
 
 _ROUTED_SQL = (
@@ -28,11 +28,17 @@ _ROUTED_SQL = (
     "every AS (SELECT 'hit' AS source, request_id, method, url, content_type, body FROM hit UNION ALL "
     "SELECT 'page', page_id, 'GET', url, NULL, '' FROM pages), "
     f"paths AS (SELECT *, {_PATH} AS path FROM every), "
-    f"routed AS (SELECT *, {_group(1)} AS context, {_group(2)} AS operator, "
-    f"CASE WHEN {_group(9)} = 'analyze' THEN 'output' ELSE {_group(3, 6)} END AS direction, "
-    f"TRY_CAST({_group(4, 7, 10)} AS int) AS port, {_group(5, 8, 9)} AS action, "
-    "regexp_extract(path, '^((?:/[^/]+)?/[^/]+/ports)/', 1) AS context_path, "
-    f"{_group(11)} AS path_info FROM paths)"
+    f"parts AS (SELECT *, {_group(3)} AS side, {_group(5)} AS rest FROM paths), "
+    "acts AS (SELECT *, CASE WHEN side = 'analyze' THEN 'analyze' "
+    "WHEN side = 'output' AND rest IN ('/inject', '/form', '/info', '/wsinject') THEN rest[2:] "
+    "WHEN side = 'input' AND rest IN ('/tuples', '/attribute', '/info', '/wssend') THEN rest[2:] ELSE '' END AS action "
+    "FROM parts), "
+    f"routed AS (SELECT source, request_id, method, action, CASE WHEN action = '' THEN '' ELSE {_group(1)} END AS context, "
+    f"CASE WHEN action = '' THEN '' ELSE {_group(2)} END AS operator, "
+    "CASE WHEN action = '' THEN '' WHEN side = 'analyze' THEN 'output' ELSE side END AS direction, "
+    f"CASE WHEN action = '' THEN NULL ELSE TRY_CAST({_group(4)} AS int) END AS port, "
+    "CASE WHEN action = '' THEN '' ELSE regexp_extract(path, '^((?:/[^/]+)?/[^/]+/ports)/', 1) END AS context_path, "
+    "CASE WHEN side = 'analyze' THEN rest ELSE '' END AS path_info FROM acts)"
 )
 
 

@@ -55,7 +55,7 @@ def position_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     f"WITH p AS ({derive.POSITION_SQL}) SELECT event_id, round(6378137.0 * radians(longitude), 3) AS x, "
-    "round(6378137.0 * ln(tan(pi() / 4 + radians(latitude) / 2)), 3) AS y FROM p"
+    "round(6378137.0 * ln(tan(pi() / 4 + radians(latitude) / 2)), 3) + 0.0 AS y FROM p"
 )
 def project_mercator(spark: SparkSession, sf_dir: str) -> DataFrame:
     projected = positions.mercator(derive.positions(spark, sf_dir))
@@ -85,8 +85,8 @@ _LINE = (
     "GROUP BY GROUPING SETS ((fence), ())) "
     "SELECT fence, cast(w AS double) AS west, cast(e AS double) AS east, cast(s AS double) AS south, cast(n AS double) AS north, "
     "round(6378137.0 * radians(w), 3) AS x_min, round(6378137.0 * radians(e), 3) AS x_max, "
-    "round(6378137.0 * ln(tan(pi() / 4 + radians(s) / 2)), 3) AS y_min, "
-    "round(6378137.0 * ln(tan(pi() / 4 + radians(n) / 2)), 3) AS y_max FROM x"
+    "round(6378137.0 * ln(tan(pi() / 4 + radians(s) / 2)), 3) + 0.0 AS y_min, "
+    "round(6378137.0 * ln(tan(pi() / 4 + radians(n) / 2)), 3) + 0.0 AS y_max FROM x"
 )
 def geofence_extent(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "customer").selectExpr(f"{_LINE} AS value")

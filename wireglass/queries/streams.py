@@ -44,23 +44,25 @@ def stream_correlate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landed requests and responses, correlated by a stream-stream join.
 
     A closing row an hour after the end on both sides moves the watermarks past
-    the last timeout; it is not part of the result.
+    the last timeout; it has the key 0, which no request has, and is left out.
     """
     root = shared_dir(spark, "correlate")
     requests = derive.asked(spark, sf_dir).select("key", "req_ts")
     responses = derive.told(spark, sf_dir)
-    end = responses.agg(F.max("rsp_ts").alias("t")).select((F.col("t") + F.expr("interval 1 hour")).alias("t"))
-    nothing = F.lit(None)
-    _land(requests.unionByName(end.select(nothing.cast("bigint").alias("key"), F.col("t").alias("req_ts"))), f"{root}/req")
-    closing = end.select(
-        *[nothing.cast(f.dataType).alias(f.name) if f.name != "rsp_ts" else F.col("t").alias("rsp_ts") for f in responses.schema]
-    )
-    _land(responses.unionByName(closing), f"{root}/rsp")
+    end = responses.agg((F.max("rsp_ts") + F.expr("interval 1 hour")).alias("t"))
+    closing = {"key": F.lit(0), "req_ts": F.col("t"), "rsp_ts": F.col("t")}
+
+    def closed(df: DataFrame) -> DataFrame:
+        row = [closing.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in df.schema]
+        return df.unionByName(end.select(*row))
+
+    _land(closed(requests), f"{root}/req")
+    _land(closed(responses), f"{root}/rsp")
     asked = stream_landed(spark, f"{root}/req", spark.read.parquet(f"{root}/req").schema, "req_ts")
     told = stream_landed(spark, f"{root}/rsp", spark.read.parquet(f"{root}/rsp").schema, "rsp_ts")
     write_frame(correlate_streams(asked, told), f"{root}/out", checkpoint=f"{root}/checkpoint").awaitTermination()
     local = {name: F.col(name).cast("timestamp_ntz") for name in ("req_ts", "done_ts")}
-    return spark.read.parquet(f"{root}/out").where("key IS NOT NULL").withColumns(local)
+    return spark.read.parquet(f"{root}/out").where("key <> 0").withColumns(local)
 
 
 @query(
