@@ -67,16 +67,12 @@ def all_values(pairs: Column, name: str) -> Column:
     return F.transform(F.filter(pairs, lambda p: p["name"] == name), lambda p: p["value"])
 
 
-def first_of_each(pairs: Column, key=lambda name: name) -> Column:
-    """Keep the first pair of every name (names compared through `key`)."""
-    keys = F.transform(pairs, lambda p: key(p["name"]))
-    return F.filter(pairs, lambda p, i: F.array_position(keys, key(p["name"])) == i + 1)
-
-
-def header_map(pairs: Column) -> Column:
-    """One value per header, the first; header names ignore case."""
-    kept = first_of_each(F.coalesce(pairs, F.array().cast(PAIRS)), F.lower)
-    return F.map_from_entries(kept)
+def first_values(names: Column, values: Column) -> Column:
+    """Map of every name to its first value. Pass plain columns: both are read per entry."""
+    distinct = F.array_distinct(names)
+    return F.map_from_arrays(
+        distinct, F.transform(distinct, lambda n: F.get(values, (F.array_position(names, n) - 1).cast("int")))
+    )
 
 
 def map_text(entries: Column) -> Column:

@@ -123,10 +123,5 @@ def coerce(text: Column, kind: str) -> Column:
 
 
 def coerce_or_default(text: Column, kind: str) -> Column:
-    """Coerced value; the default where the text is absent or empty."""
+    """Coerced value; the default where the text is absent or empty, null where it is rejected."""
     return F.when(F.coalesce(text, F.lit("")) == "", default(kind)).otherwise(coerce(text, kind))
-
-
-def is_rejected(text: Column, kind: str) -> Column:
-    """True where a non-empty text is no value of the type."""
-    return (F.coalesce(text, F.lit("")) != "") & coerce(text, kind).isNull()

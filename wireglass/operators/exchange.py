@@ -13,7 +13,8 @@ from wireglass.functions.types import attribute_type, default
 from wireglass.plans.buckets import Layout
 from wireglass.plans.checks import check_request_port
 from wireglass.plans.intervals import by_width, contained
-from wireglass.plans.ordered import running, sequence
+from wireglass.plans.ordered import Measure, measures, running, sequence
+from wireglass.plans.pinned import pinned
 
 # Defaults of the exchange.
 TIMEOUT = timedelta(seconds=15)
@@ -102,45 +103,41 @@ def response_from_json(df: DataFrame, column: str = "jsonString") -> DataFrame:
     no integer (such a row answers nobody). A field of the wrong type makes the
     answer a 400. Null fields take the defaults.
     """
-    document = F.try_parse_json(F.col(column))
-    doc = df.withColumn("__doc", document)
-
-    def typed(name: str) -> Column:
-        return F.schema_of_variant(F.try_variant_get("__doc", f"$.{name}", "variant"))
-
-    def absent(name: str) -> Column:
-        return typed(name).isNull() | (typed(name) == "VOID")
-
-    def text(name: str) -> Column:
-        return F.try_variant_get("__doc", f"$.{name}", "string")
-
-    header = F.try_variant_get("__doc", "$.header", "map<string,string>")
-    # every header value must be a text
-    header_ok = typed("header").startswith("OBJECT<") & ~typed("header").rlike(
-        r": (BIGINT|DECIMAL|DOUBLE|BOOLEAN|VOID|ARRAY|OBJECT|DATE|TIMESTAMP|BINARY|FLOAT)"
-    )
+    names = ("key", "response", "status", "contentType", "header")
+    doc = pinned(df, {"__doc": F.try_parse_json(F.col(column))})
+    parts = {f"__{name}": F.try_variant_get("__doc", f"$.{name}", "variant") for name in names}
+    doc = pinned(doc, parts)
+    # null and absent fields have the type VOID
+    kinds = {f"__{name}_type": F.coalesce(F.schema_of_variant(F.col(f"__{name}")), F.lit("VOID")) for name in names}
+    doc = pinned(doc, kinds)
+
+    def wrong(name: str, wanted: str) -> Column:
+        return ~F.col(f"__{name}_type").rlike(f"^(VOID|{wanted})$")
+
+    # every header value must be a text: `OBJECT<name: STRING, ...>`
     bad = (
-        (~absent("response") & (typed("response") != "STRING"))
-        | (~absent("status") & (typed("status") != "BIGINT"))
-        | (~absent("contentType") & (typed("contentType") != "STRING"))
-        | (~absent("header") & ~(header_ok | (typed("header") == "OBJECT<>")))
+        wrong("response", "STRING")
+        | wrong("status", "BIGINT")
+        | wrong("contentType", "STRING")
+        | wrong("header", "OBJECT<([^:]*: STRING,? ?)*>")
     )
-    key = F.when(typed("key") == "BIGINT", F.try_variant_get("__doc", "$.key", "bigint"))
-    bad = F.coalesce(bad, F.lit(False))
-    return doc.withColumns(
+    doc = doc.withColumn("__bad", bad)
+
+    def field(name: str, kind: str, fallback: Column) -> Column:
+        value = F.try_variant_get(f"__{name}", "$", kind)
+        return F.when(F.col("__bad"), fallback).otherwise(F.coalesce(value, fallback))
+
+    decoded = doc.withColumns(
         {
-            "key": key,
-            "response": F.when(bad, F.lit("")).otherwise(F.coalesce(text("response"), F.lit(""))),
-            "status": F.when(bad, F.lit(400)).otherwise(
-                F.coalesce(F.try_variant_get("__doc", "$.status", "int"), F.lit(DEFAULT_STATUS))
-            ),
-            "contentType": F.when(bad, F.lit(http.TEXT)).otherwise(F.coalesce(text("contentType"), F.lit(http.TEXT))),
-            "header": F.when(bad, F.create_map().cast("map<string,string>")).otherwise(
-                F.coalesce(header, F.create_map().cast("map<string,string>"))
-            ),
-            "error": F.when(key.isNull(), F.lit("missing tracking key")),
+            "key": F.when(F.col("__key_type") == "BIGINT", F.try_variant_get("__key", "$", "bigint")),
+            "response": field("response", "string", F.lit("")),
+            "status": F.when(F.col("__bad"), F.lit(400)).otherwise(field("status", "int", F.lit(DEFAULT_STATUS))),
+            "contentType": field("contentType", "string", F.lit(http.TEXT)),
+            "header": field("header", "map<string,string>", F.create_map().cast("map<string,string>")),
         }
-    ).drop("__doc")
+    )
+    decoded = decoded.withColumn("error", F.when(F.col("key").isNull(), F.lit("missing tracking key")))
+    return decoded.drop("__doc", "__bad", *parts, *kinds)
 
 
 def drop_markers(df: DataFrame, column: str = "is_punct") -> DataFrame:
@@ -233,7 +230,10 @@ def metrics(requests: DataFrame, responses: DataFrame, timeout: timedelta = TIME
 
 
 def active_gauge(correlated: DataFrame, layout: Layout | None = None) -> DataFrame:
-    """Requests in flight after every arrival and completion; completions first on ties."""
+    """Requests in flight after every arrival and completion; completions first on ties.
+
+    Reads its input twice: give it the written answers rather than the join.
+    """
     changes = F.array(
         F.struct(F.col("req_ts").alias("ts"), F.lit(1).alias("delta")),
         F.struct(F.col("done_ts").alias("ts"), F.lit(-1).alias("delta")),
@@ -246,15 +246,17 @@ def completion_order(correlated: DataFrame, layout: Layout | None = None) -> Dat
     """Arrival and completion number of answered requests, and whether one overtook.
 
     A request overtakes when it completes before one that arrived earlier.
+    Reads its input several times: give it the written answers.
     """
     done = correlated.where("outcome <> 'timeout'").select("key", "req_ts", "done_ts")
-    numbered = sequence(done, ["req_ts", "key"], "arrival_no", layout=layout)
+    arrival = {
+        "arrival_no": Measure(F.lit(1).cast("bigint")),
+        "__latest": Measure(F.col("done_ts"), how="max", inclusive=False),
+    }
+    numbered = measures(done, ["req_ts", "key"], arrival, layout=layout)
     numbered = sequence(numbered, ["done_ts", "key"], "completion_no", layout=layout)
-    latest_done = running(
-        numbered, ["req_ts", "key"], "__latest", F.col("done_ts"), how="max", layout=layout, inclusive=False
-    )
     overtook = F.coalesce(F.col("done_ts") < F.col("__latest"), F.lit(False))
-    return latest_done.withColumn("overtook", overtook).drop("__latest")
+    return numbered.withColumn("overtook", overtook).drop("__latest")
 
 
 # ---- work between request and response ----------------------------------------------
@@ -280,19 +282,20 @@ def form_to_map(df: DataFrame, payload: str = "request") -> DataFrame:
     Of a repeated name the last value stays; text behind a second `=` is
     ignored.
     """
-    entries = F.split(F.col(payload), "&")
-    pairs = F.transform(
-        F.filter(entries, lambda e: e != ""),
-        lambda e: F.struct(
-            F.split_part(e, F.lit("="), F.lit(1)).alias("name"), F.split_part(e, F.lit("="), F.lit(2)).alias("value")
-        ),
-    )
-    last = http.first_of_each(F.reverse(pairs))
-    error = F.when(F.coalesce(F.col(payload), F.lit("")) == "", "ERROR-noFormData").when(
-        F.array_contains(entries, ""), "ERROR-nameValueParse"
+    split = pinned(df, {"__all": F.split(F.col(payload), "&")})
+    split = pinned(split, {"__entries": F.reverse(F.filter("__all", lambda e: e != ""))})
+
+    def piece(number: int) -> Column:
+        return F.transform("__entries", lambda e: F.split_part(e, F.lit("="), F.lit(number)))
+
+    split = pinned(split, {"__names": piece(1), "__values": piece(2)})
+    empty = F.coalesce(F.col(payload), F.lit("")) == ""
+    nothing = F.create_map().cast("map<string,string>")
+    error = (
+        F.when(empty, "ERROR-noFormData").when(F.array_contains("__all", ""), "ERROR-nameValueParse").otherwise("")
     )
-    formdata = F.coalesce(F.map_from_entries(last), F.create_map().cast("map<string,string>"))
-    return df.withColumn("formdata", formdata).withColumn("error", F.coalesce(error, F.lit("")))
+    formdata = F.coalesce(http.first_values(F.col("__names"), F.col("__values")), nothing)
+    return pinned(split, {"formdata": formdata, "error": error}).drop("__all", "__entries", "__names", "__values")
 
 
 def form_status(df: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wireglass.functions import http
-from wireglass.functions.types import attribute_type, coerce_or_default, default, is_rejected
+from wireglass.functions.types import attribute_type, coerce_or_default, default
 from wireglass.plans.checks import check_inject
 from wireglass.plans.pinned import pinned
 
@@ -92,23 +92,20 @@ def parse_parameters(df: DataFrame) -> DataFrame:
     return with_error(parsed, F.when(broken, F.lit("bad parameter encoding")))
 
 
-def _reasons(checks: list[tuple[Column, str]]) -> Column:
-    return F.coalesce(*[F.when(bad, F.lit(text)) for bad, text in checks], F.lit(None).cast("string"))
-
-
 def inject_tuple(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Form posts to tuples: each attribute takes the first parameter of its name.
 
     Missing and empty parameters leave the default, unknown ones are ignored.
+    A rejected attribute is null.
     """
     parsed = parse_parameters(size_gate(method_gate(df, "GET", "HEAD", "POST")))
     kinds = {field.name: attribute_type(field) for field in schema.fields}
     texts = {f"__{name}": http.first_value(F.col("parameters"), name) for name in kinds}
     raw = pinned(parsed, texts)
-    checks = [(is_rejected(F.col(f"__{name}"), kind), f"bad value for {name}") for name, kind in kinds.items()]
-    checked = with_error(raw, _reasons(checks))
-    values = {name: coerce_or_default(F.col(f"__{name}"), kind) for name, kind in kinds.items()}
-    return checked.withColumns(values).drop(*texts)
+    # null = rejected text; typed once, then tested
+    typed = pinned(raw, {name: coerce_or_default(F.col(f"__{name}"), kind) for name, kind in kinds.items()})
+    bad = [F.when(F.col(name).isNull(), F.lit(f"bad value for {name}")) for name in kinds]
+    return with_error(typed, F.coalesce(*bad)).drop(*texts)
 
 
 def _others(schema: T.StructType, *taken: str) -> dict[str, Column]:
@@ -147,6 +144,23 @@ def inject_blob(df: DataFrame, schema: T.StructType) -> DataFrame:
     return gated.withColumns(values)
 
 
+def header_map(df: DataFrame, pairs: Column, name: str = "headers") -> DataFrame:
+    """Add one value per header from a list of (name, value) pairs.
+
+    The first value of a name counts; names ignore case and keep their first spelling.
+    """
+    listed = pinned(df.withColumn("__pairs", pairs), {"__names": F.col("__pairs.name"), "__values": F.col("__pairs.value")})
+    listed = pinned(listed, {"__lower": F.transform("__names", F.lower)})
+    places = pinned(
+        listed,
+        {"__at": F.transform(F.array_distinct("__lower"), lambda n: (F.array_position("__lower", n) - 1).cast("int"))},
+    )
+    headers = F.map_from_arrays(
+        F.transform("__at", lambda i: F.get("__names", i)), F.transform("__at", lambda i: F.get("__values", i))
+    )
+    return places.withColumn(name, headers).drop("__pairs", "__names", "__values", "__lower", "__at")
+
+
 def split_ports(df: DataFrame, ports: int) -> dict[int, DataFrame]:
     """One frame per output port of a routed frame."""
     return {number: df.where(F.col("port") == number) for number in range(ports)}

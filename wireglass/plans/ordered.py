@@ -7,10 +7,12 @@ table without keys nor a key that holds most of the rows ends up in one task.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.window import WindowSpec
 
 from wireglass.plans.buckets import Layout, measure
 
@@ -32,41 +34,70 @@ def _bucketed(df: DataFrame, order: Sequence[str], layout: Layout | None) -> tup
     return df.withColumn(_BUCKET, layout.number(F.col(order[0]), df.schema[order[0]].dataType)), layout
 
 
-def running(
+@dataclass(frozen=True)
+class Measure:
+    """A running sum or max; `inclusive=False` leaves the row's own value out."""
+
+    value: Column
+    how: str = "sum"
+    inclusive: bool = True
+
+    def fold(self, name: str) -> Column:
+        return F.sum(name) if self.how == "sum" else F.max(name)
+
+    def join(self, before: Column, inside: Column) -> Column:
+        both = before + inside if self.how == "sum" else F.greatest(before, inside)
+        known = F.coalesce(both, inside, before)
+        return F.coalesce(known, F.lit(0)) if self.how == "sum" else known
+
+
+def measures(
     df: DataFrame,
     order: Sequence[str],
-    name: str,
-    value: Column,
-    how: str = "sum",
+    wanted: Mapping[str, Measure],
     keys: Sequence[str] = (),
     layout: Layout | None = None,
-    inclusive: bool = True,
 ) -> DataFrame:
-    """Add the running sum or max of `value` in `order`, per `keys`.
+    """Add running measures over one `order`, per `keys`.
 
     `order` must be total; its first column must be an integer or a timestamp.
-    `inclusive=False` leaves the row's own value out.
+    The input is read twice (rows and bucket totals, the latter with few columns).
     """
-    fold: Callable[[str], Column] = {"sum": F.sum, "max": F.max}[how]
-    join: Callable[[Column, Column], Column] = {"sum": lambda a, b: a + b, "max": F.greatest}[how]
-    rows, layout = _bucketed(df.withColumn("__value", value), order, layout)
-    end = Window.currentRow if inclusive else -1
-    inside = Window.partitionBy(*keys, _BUCKET).orderBy(*order).rowsBetween(Window.unboundedPreceding, end)
-    rows = rows.withColumn("__inside", fold("__value").over(inside))
+    values = {f"__v_{name}": measure_.value for name, measure_ in wanted.items()}
+    rows, layout = _bucketed(df.withColumns(values), order, layout)
+
+    def window(inclusive: bool) -> WindowSpec:
+        end = Window.currentRow if inclusive else -1
+        return Window.partitionBy(*keys, _BUCKET).orderBy(*order).rowsBetween(Window.unboundedPreceding, end)
+
+    inside = {f"__i_{n}": m.fold(f"__v_{n}").over(window(m.inclusive)) for n, m in wanted.items()}
+    before = {f"__b_{n}": F.lit(None) for n in wanted}
+    totals_source = rows
+    rows = rows.withColumns(inside)
     if layout.count > 1:
         # one row per (keys, bucket), so this window sees summaries only
         across = Window.partitionBy(*keys).orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
-        totals = _bucketed(df.withColumn("__value", value), order, layout)[0]
-        totals = totals.groupBy(*keys, _BUCKET).agg(fold("__value").alias("__total"))
-        carry = totals.withColumn("__before", fold("__total").over(across)).drop("__total")
-        rows = _attach(rows, carry, keys, ["__before"])
-        both = join(F.col("__inside"), F.col("__before"))
-        result = F.coalesce(both, F.col("__inside"), F.col("__before"))
+        totals = totals_source.groupBy(*keys, _BUCKET).agg(*[m.fold(f"__v_{n}").alias(f"__t_{n}") for n, m in wanted.items()])
+        carry = totals.withColumns({f"__b_{n}": m.fold(f"__t_{n}").over(across) for n, m in wanted.items()})
+        rows = _attach(rows, carry, keys, list(before))
+        result = {n: m.join(F.col(f"__b_{n}"), F.col(f"__i_{n}")) for n, m in wanted.items()}
     else:
-        result = F.col("__inside")
-    if how == "sum":
-        result = F.coalesce(result, F.lit(0))
-    return rows.withColumn(name, result).drop("__value", "__inside", "__before", _BUCKET)
+        result = {n: F.coalesce(F.col(f"__i_{n}"), F.lit(0)) if m.how == "sum" else F.col(f"__i_{n}") for n, m in wanted.items()}
+    return rows.withColumns(result).drop(*values, *inside, *before, _BUCKET)
+
+
+def running(
+    df: DataFrame,
+    order: Sequence[str],
+    name: str,
+    value: Column,
+    how: str = "sum",
+    keys: Sequence[str] = (),
+    layout: Layout | None = None,
+    inclusive: bool = True,
+) -> DataFrame:
+    """One running measure; see `measures`."""
+    return measures(df, order, {name: Measure(value, how, inclusive)}, keys, layout)
 
 
 def sequence(

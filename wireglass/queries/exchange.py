@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 from wireglass.functions import http
 from wireglass.functions.types import schema
 from wireglass.operators import exchange, ingest
+from wireglass.plans.buckets import measure
 from wireglass.queries import derive
 from wireglass.queries.registry import query, table
+from wireglass.session import landed
 
 # ---- request side --------------------------------------------------------------------
 
@@ -194,7 +196,8 @@ def request_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     "SELECT key, ts, cast(delta AS int) AS delta, cast(sum(delta) OVER (ORDER BY ts, delta, key) AS bigint) AS active FROM ev"
 )
 def active_gauge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return exchange.active_gauge(_correlated(spark, sf_dir))
+    answers = landed(_correlated(spark, sf_dir).select("key", "req_ts", "done_ts"), "answers")
+    return exchange.active_gauge(answers, measure(answers, "req_ts"))
 
 
 @query(
@@ -204,7 +207,8 @@ def active_gauge(spark: SparkSession, sf_dir: str) -> DataFrame:
     "FROM cor WHERE outcome <> 'timeout'"
 )
 def out_of_order(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ordered = exchange.completion_order(_correlated(spark, sf_dir))
+    answers = landed(_correlated(spark, sf_dir).select("key", "req_ts", "done_ts", "outcome"), "answers")
+    ordered = exchange.completion_order(answers, measure(answers, "req_ts"))
     return ordered.select("key", "arrival_no", "completion_no", "overtook")
 
 

@@ -270,8 +270,8 @@ def header_map(spark: SparkSession, sf_dir: str) -> DataFrame:
         pair("X-User", F.lit(-1)),
     )
     kept = F.filter(listed, lambda p: (p["name"] != "Cookie") | (F.col("event_id") % 3 == 0))
-    headers = http.map_text(http.header_map(kept))
-    return table(spark, sf_dir, "events").select("event_id", headers.alias("headers"))
+    with_headers = ingest.header_map(table(spark, sf_dir, "events"), kept)
+    return with_headers.select("event_id", http.map_text(F.col("headers")).alias("headers"))
 
 
 _DOC_TYPE = (

@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -41,3 +41,13 @@ def shared_dir(spark: SparkSession, name: str) -> str:
         return tempfile.mkdtemp(prefix=f"wireglass-{name}-")
     token = spark.sparkContext._jvm.java.util.UUID.randomUUID().toString()
     return os.path.join(root, f"wireglass-{name}-{token}")
+
+
+def landed(df: DataFrame, name: str) -> DataFrame:
+    """Write a frame that is read several times to the shared folder and read it back.
+
+    Cuts the lineage: a lost executor costs a re-read, not a recomputation.
+    """
+    path = shared_dir(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
