@@ -48,14 +48,14 @@ def body_text(body: Column) -> Column:
 def split_pairs(encoded: Column) -> Column:
     """`a=1&b` -> [{a,1},{b,}]; decoded. A field that cannot be decoded is null."""
     pieces = F.filter(F.split(F.coalesce(encoded, F.lit("")), "&"), lambda piece: piece != "")
-
-    def pair(piece: Column) -> Column:
-        at = F.instr(piece, "=")
-        name = F.when(at > 0, F.substring(piece, F.lit(1), at - 1)).otherwise(piece)
-        value = F.when(at > 0, F.substring(piece, at + 1, F.length(piece))).otherwise(F.lit(""))
-        return F.struct(F.try_url_decode(name).alias("name"), F.try_url_decode(value).alias("value"))
-
-    return F.transform(pieces, pair)
+    halves = F.transform(pieces, lambda piece: F.split(piece, "=", 2))
+    return F.transform(
+        halves,
+        lambda half: F.struct(
+            F.try_url_decode(half[0]).alias("name"),
+            F.try_url_decode(F.coalesce(F.get(half, F.lit(1)), F.lit(""))).alias("value"),
+        ),
+    )
 
 
 def first_value(pairs: Column, name: str) -> Column:

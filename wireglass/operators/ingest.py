@@ -86,7 +86,7 @@ def parse_parameters(df: DataFrame) -> DataFrame:
     """Add `parameters`: decoded (name, value) pairs of the query, then of a form body."""
     form = F.col("method").isin("POST", "PUT") & http.has_content_type(F.col("content_type"), http.FORM)
     body = F.when(form, http.body_text(F.col("body")))
-    pairs = F.concat(http.split_pairs(http.url_query(F.col("url"))), http.split_pairs(body))
+    pairs = http.split_pairs(F.concat_ws("&", http.url_query(F.col("url")), body))
     parsed = pinned(df, {"parameters": pairs})
     broken = F.exists("parameters", lambda p: p["name"].isNull() | p["value"].isNull())
     return with_error(parsed, F.when(broken, F.lit("bad parameter encoding")))

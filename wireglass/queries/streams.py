@@ -27,10 +27,8 @@ def stream_last_n(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = table(spark, sf_dir, "events").schema
     stream = stream_landed(spark, sf_dir, schema, glob="events.parquet")
     live = LiveView(spark, shared_dir(spark, "view"), ViewSpec(derive.ORDER, 16, ["user_id"], trigger=4))
-    running = live.start(stream.select("event_id", "ts", "user_id", "event_type"))
-    running.awaitTermination()
-    last = running.lastProgress["batchId"]
-    return live.contents(last).select("event_id", "user_id", "event_type")
+    live.start(stream.select("event_id", "ts", "user_id", "event_type")).awaitTermination()
+    return live.contents().select("event_id", "user_id", "event_type")
 
 
 def _land(df: DataFrame, path: str) -> None:

@@ -43,19 +43,38 @@ class LiveView:
     def _path(self, batch: int) -> str:
         return f"{self.root}/state/batch={batch}"
 
-    def _exists(self, path: str) -> bool:
-        jvm = self.spark.sparkContext._jvm
-        where = jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
-        return where.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
+    def _files(self):
+        """File system and root path, as the cluster's storage sees them."""
+        context = self.spark.sparkContext
+        root = context._jvm.org.apache.hadoop.fs.Path(f"{self.root}/state")
+        return root.getFileSystem(context._jsc.hadoopConfiguration()), root
+
+    def batches(self) -> list[int]:
+        """Ids of the completely written states, oldest first."""
+        files, root = self._files()
+        if not files.exists(root):
+            return []
+        found = []
+        for entry in files.listStatus(root):
+            path = entry.getPath()
+            if files.exists(path.suffix("/_SUCCESS")):
+                found.append(int(path.getName().split("=")[1]))
+        return sorted(found)
 
     def update(self, rows: DataFrame, batch: int) -> None:
         """foreachBatch function: merge a micro-batch into the state."""
-        previous = self._path(batch - 1)
-        old = self.spark.read.parquet(previous) if batch > 0 and self._exists(previous) else None
+        earlier = [b for b in self.batches() if b < batch]
+        if batch > 0 and (not earlier or earlier[-1] != batch - 1):
+            raise RuntimeError(f"state of batch {batch - 1} is missing below {self.root}")
+        old = self.spark.read.parquet(self._path(batch - 1)) if batch > 0 else None
         merged = merge_state(old, rows, self.spec, self._trigger)
         if self.evict_after is not None:
             merged = self._evict(merged)
         merged.write.mode("overwrite").parquet(self._path(batch))
+        # only the last batch can be run again, and it reads the one before it
+        files, root = self._files()
+        for done in earlier[:-1]:
+            files.delete(root.suffix(f"/batch={done}"), True)
 
     def _evict(self, state: DataFrame) -> DataFrame:
         ts, keys = self.spec.order[0], list(self.spec.keys)
@@ -72,8 +91,10 @@ class LiveView:
             .start()
         )
 
-    def contents(self, batch: int) -> DataFrame:
-        """Rows visible after a batch."""
+    def contents(self, batch: int | None = None) -> DataFrame:
+        """Rows visible after a batch, by default the last one."""
+        if batch is None:
+            batch = self.batches()[-1]
         return visible(self.spark.read.parquet(self._path(batch)), self.spec, self._trigger)
 
 
