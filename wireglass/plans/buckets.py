@@ -107,8 +107,8 @@ def plan_layout(n: int, low: int, high: int, quantiles: list[int], rows: int) ->
     """Choose slots and splits so that a bucket holds about `rows` rows."""
     span = high - low + 1
     slots = max(1, min(SLOTS, span, math.ceil(n / rows)))
-    width = math.ceil(span / slots)
-    steps = len(quantiles) - 1
+    width = -(-span // slots)
+    steps = max(len(quantiles) - 1, 1)
     splits = []
     for slot in range(slots):
         # share of the quantiles that fall into the slot = share of the rows

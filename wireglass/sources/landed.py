@@ -82,7 +82,11 @@ def stream_landed(
 
 
 def read_blobs(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
-    """Binary payload files as octet-stream requests, one per file."""
+    """Binary payload files as octet-stream requests, one per file.
+
+    Spark's file scan leaves out files of length zero; an empty post has to
+    come from a request table.
+    """
     files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path)
     return files.select(
         F.col("modificationTime").alias("ts"),
