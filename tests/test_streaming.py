@@ -1,0 +1,111 @@
+"""Streaming forms give the rows of the batch forms, over several micro-batches."""
+
+from datetime import datetime, timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from wireglass.functions.types import schema
+from wireglass.operators import exchange, ingest, view
+from wireglass.operators.view import ViewSpec
+from wireglass.session import shared_dir
+from wireglass.sources import RAW_REQUESTS, stream_landed, write_frame
+from wireglass.streaming.correlate import correlate_streams
+from wireglass.streaming.live_view import LiveView
+
+T0 = datetime(2024, 1, 1)
+
+
+def land(df, path):
+    """One file, so that the order of the files is the order of the writes."""
+    df.coalesce(1).write.mode("append").parquet(path)
+
+
+@pytest.mark.parametrize(
+    "port",
+    [
+        ViewSpec(["id"], 4, ["k"]),
+        ViewSpec(["id"], 4, ["k"], trigger=3),
+        ViewSpec(["id"], 5, tumbling=True),
+        ViewSpec(["id"], 3, ["k", "j"], tumbling=True),
+    ],
+)
+def test_live_view_equals_batch(spark, tmp_path, port):
+    rows = spark.range(60).select("id", F.when(F.col("id") % 5 == 0, None).otherwise(F.col("id") % 2).alias("k"), (F.col("id") % 3).alias("j"))
+    path = str(tmp_path / "in")
+    live = LiveView(spark, str(tmp_path / "live"), port)
+    for low, high in ((0, 17), (17, 18), (18, 60)):
+        land(rows.where((F.col("id") >= low) & (F.col("id") < high)), path)
+        # a restart of the query in between
+        live.start(stream_landed(spark, path, rows.schema, max_files=1)).awaitTermination()
+        wanted = view.snapshot(rows.where(F.col("id") < high), port)
+        got = live.contents()
+        assert sorted(map(str, got.select(*rows.columns).collect())) == sorted(map(str, wanted.collect()))
+    assert live.batches() == [1, 2]
+
+
+def test_live_view_batch_can_run_again(spark, tmp_path):
+    port = ViewSpec(["id"], 3, ["k"])
+    live = LiveView(spark, str(tmp_path), port)
+    frame = spark.range(10).withColumn("k", F.col("id") % 2)
+    live.update(frame.where("id < 5"), 0)
+    live.update(frame.where("id >= 5"), 1)
+    live.update(frame.where("id >= 5"), 1)
+    assert sorted(r["id"] for r in live.contents().collect()) == [4, 5, 6, 7, 8, 9]
+    with pytest.raises(RuntimeError, match="missing"):
+        live.update(frame, 7)
+
+
+def test_idle_partitions_are_evicted(spark, tmp_path):
+    port = ViewSpec(["ts"], 3, ["k"])
+    live = LiveView(spark, str(tmp_path), port, evict_after=timedelta(minutes=10))
+    rows = [(T0, "old"), (T0 + timedelta(minutes=1), "new")]
+    live.update(spark.createDataFrame(rows, "ts timestamp, k string"), 0)
+    assert live.contents().count() == 2
+    live.update(spark.createDataFrame([(T0 + timedelta(minutes=10, seconds=30), "new")], "ts timestamp, k string"), 1)
+    assert {r["k"] for r in live.contents().collect()} == {"new"}
+
+
+def test_correlation_equals_batch(spark, tmp_path):
+    asked = spark.range(1, 21).select(F.col("id").alias("key"), (F.lit(T0) + F.make_dt_interval(secs=F.col("id") * 10)).alias("req_ts"))
+    answers = asked.select(
+        "key",
+        (F.col("req_ts") + F.make_dt_interval(secs=F.col("key") % 4 * 6)).alias("rsp_ts"),
+        F.col("key").alias("rsp_id"),
+        F.concat(F.lit("r"), "key").alias("response"),
+        F.when(F.col("key") % 7 == 0, 999).otherwise(200).alias("status"),
+    )
+    again = answers.withColumn("rsp_ts", F.col("rsp_ts") + F.expr("interval 1 second")).withColumn("rsp_id", F.col("rsp_id") + 100)
+    told = answers.unionByName(again)
+    end = F.lit(T0 + timedelta(hours=1))
+    close_asked = spark.range(1).select(F.lit(0).cast("long").alias("key"), end.alias("req_ts"))
+    close_told = spark.range(1).select(
+        F.lit(0).cast("long").alias("key"), end.alias("rsp_ts"), F.lit(0).cast("long").alias("rsp_id"), F.lit("").alias("response"), F.lit(200).alias("status")
+    )
+    root = shared_dir(spark, "test")
+    middle = F.lit(T0 + timedelta(seconds=100))
+    for part in (asked.where(F.col("req_ts") < middle), asked.where(F.col("req_ts") >= middle), close_asked):
+        land(part, f"{root}/req")
+    for part in (told.where(F.col("rsp_ts") < middle), told.where(F.col("rsp_ts") >= middle), close_told):
+        land(part, f"{root}/rsp")
+    left = stream_landed(spark, f"{root}/req", asked.schema, "req_ts", "30 seconds", max_files=1)
+    right = stream_landed(spark, f"{root}/rsp", told.schema, "rsp_ts", "30 seconds", max_files=1)
+    write_frame(correlate_streams(left, right), f"{root}/out", checkpoint=f"{root}/cp").awaitTermination()
+    got = spark.read.parquet(f"{root}/out").where("key > 0")
+    names = ["key", "status", "outcome", "response", "rsp_id", "done_ts"]
+    wanted = exchange.correlate(asked, told).select(*names).collect()
+    assert sorted(map(str, got.select(*names).collect())) == sorted(map(str, wanted))
+    assert {r["outcome"] for r in wanted} == {"responded", "timeout", "error"}
+
+
+def test_streaming_ingest_keeps_rejects(spark, tmp_path):
+    port = schema([("a", "int32")])
+    rows = [(i, T0, "GET", f"/Op/ports/output/0/inject?a={'x' if i % 3 == 0 else i}", None, {}, b"") for i in range(9)]
+    land(spark.createDataFrame(rows, RAW_REQUESTS), str(tmp_path / "in"))
+    stream = stream_landed(spark, str(tmp_path / "in"), RAW_REQUESTS, "ts")
+    injected = ingest.inject_tuple(ingest.route_requests(stream), port).select("request_id", "a", "error")
+    write_frame(injected, str(tmp_path / "out"), checkpoint=str(tmp_path / "cp")).awaitTermination()
+    out = spark.read.parquet(str(tmp_path / "out"))
+    assert out.where("error is null").count() == 6 and out.where("error is not null").count() == 3
+    with pytest.raises(ValueError):
+        write_frame(injected, str(tmp_path / "x"))
