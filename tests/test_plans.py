@@ -34,6 +34,17 @@ def test_no_window_over_all_rows(spark):
     assert "HashAggregate" in below
 
 
+def test_rows_are_shuffled_once_per_running_measure(spark):
+    events = table(spark, SMALL, "events").select("ts", "event_id", "user_id")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(sequence(events, ["ts", "event_id"], keys=["user_id"]))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # the join reads the window over the rows as it is: no exchange or sort in between
+    assert re.search(r"SortMergeJoin \[__key#\d+, __bucket#\d+L\][^\n]*\n\s*:- Window", text)
+
+
 def test_top_rows_without_a_full_sort(spark):
     events = table(spark, SMALL, "events")
     assert "TakeOrderedAndProject" in plan(view.last_n(events, 16, derive.ORDER))

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -16,22 +17,32 @@ from pyspark.sql.window import WindowSpec
 
 from wireglass.plans.buckets import Layout, measure
 
-_BUCKET = "__bucket"
+_BUCKET, _KEY = "__bucket", "__key"
 
 
-def _attach(rows: DataFrame, carry: DataFrame, keys: Sequence[str], extra: Sequence[str]) -> DataFrame:
-    """Join one carry row per (keys, bucket) to the rows; null keys match too."""
-    on = [*keys, _BUCKET]
-    renamed = carry.select(*[F.col(k).alias(f"__carry_{k}") for k in on], *extra)
-    condition = F.lit(True)
-    for k in on:
-        condition = condition & F.col(k).eqNullSafe(F.col(f"__carry_{k}"))
-    return rows.join(renamed, condition, "left").drop(*[f"__carry_{k}" for k in on])
+def _bucketed(
+    df: DataFrame, order: Sequence[str], keys: Sequence[str], layout: Layout | None
+) -> tuple[DataFrame, list[str], Layout]:
+    """Rows with their key and bucket, the names of both, and the layout.
 
-
-def _bucketed(df: DataFrame, order: Sequence[str], layout: Layout | None) -> tuple[DataFrame, Layout]:
+    The keys travel as one struct: it is never null and equal for equal keys,
+    nulls included, so that the window, the totals and the join between them
+    all partition by the same columns and the rows are shuffled once.
+    """
     layout = layout or measure(df, order[0])
-    return df.withColumn(_BUCKET, layout.number(F.col(order[0]), df.schema[order[0]].dataType)), layout
+    number = F.coalesce(layout.number(F.col(order[0]), df.schema[order[0]].dataType), F.lit(-1))
+    rows = df.withColumn(_BUCKET, number)
+    if keys:
+        rows = rows.withColumn(_KEY, F.struct(*keys))
+    return rows, [_KEY] if keys else [], layout
+
+
+def _attach(rows: DataFrame, carry: DataFrame, keys: Sequence[str], extra: Sequence[str]) -> DataFrame:
+    """Join the one carry row of each (key, bucket) to its rows."""
+    on = [*keys, _BUCKET]
+    renamed = carry.select(*[F.col(k).alias(f"__carry{k}") for k in on], *extra)
+    same = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"__carry{k}") for k in on])
+    return rows.join(renamed, same, "left").drop(*[f"__carry{k}" for k in on])
 
 
 @dataclass(frozen=True)
@@ -64,26 +75,25 @@ def measures(
     The input is read twice (rows and bucket totals, the latter with few columns).
     """
     values = {f"__v_{name}": measure_.value for name, measure_ in wanted.items()}
-    rows, layout = _bucketed(df.withColumns(values), order, layout)
+    source, part, layout = _bucketed(df.withColumns(values), order, keys, layout)
 
     def window(inclusive: bool) -> WindowSpec:
         end = Window.currentRow if inclusive else -1
-        return Window.partitionBy(*keys, _BUCKET).orderBy(*order).rowsBetween(Window.unboundedPreceding, end)
+        return Window.partitionBy(*part, _BUCKET).orderBy(*order).rowsBetween(Window.unboundedPreceding, end)
 
     inside = {f"__i_{n}": m.fold(f"__v_{n}").over(window(m.inclusive)) for n, m in wanted.items()}
-    before = {f"__b_{n}": F.lit(None) for n in wanted}
-    totals_source = rows
-    rows = rows.withColumns(inside)
+    rows = source.withColumns(inside)
+    before = {n: F.lit(None) for n in wanted}
     if layout.count > 1:
-        # one row per (keys, bucket), so this window sees summaries only
-        across = Window.partitionBy(*keys).orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
-        totals = totals_source.groupBy(*keys, _BUCKET).agg(*[m.fold(f"__v_{n}").alias(f"__t_{n}") for n, m in wanted.items()])
+        # one row per (key, bucket), so this window sees summaries only
+        across = Window.partitionBy(*part).orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
+        totals = source.groupBy(*part, _BUCKET).agg(*[m.fold(f"__v_{n}").alias(f"__t_{n}") for n, m in wanted.items()])
         carry = totals.withColumns({f"__b_{n}": m.fold(f"__t_{n}").over(across) for n, m in wanted.items()})
-        rows = _attach(rows, carry, keys, list(before))
-        result = {n: m.join(F.col(f"__b_{n}"), F.col(f"__i_{n}")) for n, m in wanted.items()}
-    else:
-        result = {n: F.coalesce(F.col(f"__i_{n}"), F.lit(0)) if m.how == "sum" else F.col(f"__i_{n}") for n, m in wanted.items()}
-    return rows.withColumns(result).drop(*values, *inside, *before, _BUCKET)
+        rows = _attach(rows, carry, part, [f"__b_{n}" for n in wanted])
+        before = {n: F.col(f"__b_{n}") for n in wanted}
+    result = {n: m.join(before[n], F.col(f"__i_{n}")) for n, m in wanted.items()}
+    helpers = [f"__{kind}_{n}" for n in wanted for kind in "vib"]
+    return rows.withColumns(result).drop(*helpers, *part, _BUCKET)
 
 
 def running(
@@ -123,21 +133,21 @@ def neighbours(
     They are null at the ends. Same as lag and lead, but a key with very many
     rows is spread over the buckets.
     """
-    rows, layout = _bucketed(df, order, layout)
+    source, part, layout = _bucketed(df, order, keys, layout)
     own = F.struct(*columns)
-    inside = Window.partitionBy(*keys, _BUCKET).orderBy(*order)
-    rows = rows.withColumn("prev", F.lag(own).over(inside)).withColumn("next", F.lead(own).over(inside))
+    inside = Window.partitionBy(*part, _BUCKET).orderBy(*order)
+    rows = source.withColumn("prev", F.lag(own).over(inside)).withColumn("next", F.lead(own).over(inside))
     if layout.count > 1:
         place = F.struct(*order)
-        ends = _bucketed(df, order, layout)[0].groupBy(*keys, _BUCKET).agg(
+        ends = source.groupBy(*part, _BUCKET).agg(
             F.min_by(own, place).alias("__first"), F.max_by(own, place).alias("__last")
         )
-        across = Window.partitionBy(*keys).orderBy(_BUCKET)
+        across = Window.partitionBy(*part).orderBy(_BUCKET)
         carry = ends.withColumn("__before", F.lag("__last").over(across)).withColumn(
             "__after", F.lead("__first").over(across)
         )
-        rows = _attach(rows, carry, keys, ["__before", "__after"])
+        rows = _attach(rows, carry, part, ["__before", "__after"])
         rows = rows.withColumn("prev", F.coalesce("prev", "__before")).withColumn(
             "next", F.coalesce("next", "__after")
         )
-    return rows.drop("__before", "__after", _BUCKET)
+    return rows.drop("__before", "__after", *part, _BUCKET)
