@@ -19,11 +19,6 @@ def _without_fragment(url: Column) -> Column:
     return F.split_part(url, F.lit("#"), F.lit(1))
 
 
-def url_path(url: Column) -> Column:
-    """Path of an absolute or origin-form URL, `` when there is none."""
-    return F.regexp_extract(url, r"^(?:[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)?([^?#]*)", 1)
-
-
 def url_query(url: Column) -> Column:
     """Raw, undecoded query string; null when the URL has no `?`."""
     plain = _without_fragment(url)

@@ -17,7 +17,10 @@ from wireglass.plans.checks import check_inject
 from wireglass.plans.pinned import pinned
 
 # The URL forms below `/ports` and what each direction offers.
-ROUTE = r"^(?:/([^/]+))?/([^/]+)/ports/(output|input|analyze)/([0-9]+)(/.*)?$"
+ROUTE = (
+    r"(?s)^(?:[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)?(?:/([^/?#]+))?/([^/?#]+)/ports"
+    r"/(output|input|analyze)/([0-9]+)(/[^?#]*)?(?:[?#].*)?$"
+)
 OUTPUT_ACTIONS = ("inject", "form", "info", "wsinject")
 INPUT_ACTIONS = ("tuples", "attribute", "info", "wssend")
 CONTENT_TYPES = {"json": http.JSON, "xml": http.XML, "blob": http.OCTETS}
@@ -36,9 +39,13 @@ def route_requests(df: DataFrame) -> DataFrame:
     `/ctx/Op/ports/...` carries a context and a base name, `/full.name/ports/...`
     a full operator name. Requests below no port get the error `no route`.
     """
-    context, operator, side, port, rest = (F.regexp_extract("__path", ROUTE, group) for group in range(1, 6))
-    parts = {"context": context, "operator": operator, "__side": side, "__port": port, "__rest": rest}
-    routed = pinned(df.withColumn("__path", http.url_path(F.col("url"))), parts)
+    # one pass of the pattern: its groups, joined by a character no URL holds
+    groups = F.split(F.regexp_replace(F.col("url"), ROUTE, "$1\u0001$2\u0001$3\u0001$4\u0001$5"), "\u0001")
+    split = pinned(df, {"__parts": F.coalesce(groups, F.array().cast("array<string>"))})
+    matched = F.size("__parts") == 5
+    names = ("context", "operator", "__side", "__port", "__rest")
+    parts = {name: F.when(matched, F.get("__parts", F.lit(at))).otherwise(F.lit("")) for at, name in enumerate(names)}
+    routed = pinned(split, parts)
     analyze = F.col("__side") == "analyze"
     name = F.substring(F.col("__rest"), F.lit(2), F.length("__rest"))
     offered = ((F.col("__side") == "output") & name.isin(*OUTPUT_ACTIONS)) | (
@@ -60,7 +67,7 @@ def route_requests(df: DataFrame) -> DataFrame:
         }
     )
     routed = routed.withColumns({"context": kept(F.col("context")), "operator": kept(F.col("operator"))})
-    return with_error(routed.drop("__path", "__side", "__port", "__rest"), F.when(~known, F.lit("no route")))
+    return with_error(routed.drop("__parts", "__side", "__port", "__rest"), F.when(~known, F.lit("no route")))
 
 
 def content_type_gate(df: DataFrame, payload: str) -> DataFrame:

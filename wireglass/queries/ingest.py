@@ -12,15 +12,14 @@ from wireglass.queries import derive
 from wireglass.queries.registry import query, table
 
 
-def _quoted(text: str) -> str:
-    return "'" + text.replace("'", "''") + "'"
+_PATH = "regexp_extract(url, '^(?:[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)?([^?#]*)', 1)"
 
 
-_PATH = "regexp_extract(url, '^(?:[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)?([^?#]*)', 1)"
+_ROUTE_SQL = "^(?:/([^/]+))?/([^/]+)/ports/(output|input|analyze)/([0-9]+)(/.*)?$"
 
 
 def _group(number: int) -> str:
-    return f"regexp_extract(path, {_quoted(ingest.ROUTE)}, {number})"
+    return f"regexp_extract(path, '{_ROUTE_SQL}', {number})"
 
 
 _ROUTED_SQL = (
