@@ -41,7 +41,7 @@ def _rows(table) -> list[tuple]:
 def difference(result: DataFrame, connection: duckdb.DuckDBPyConnection, sql: str) -> str | None:
     """None when both sides have the same columns, types and rows."""
     left = result.toArrow()
-    right = connection.execute(sql).to_arrow_table()
+    right = connection.sql(sql).to_arrow_table()
     kinds = [{n: str(t.schema.field(n).type).replace("large_", "") for n in t.column_names} for t in (left, right)]
     if kinds[0] != kinds[1]:
         return f"schema: {set(kinds[0].items()) ^ set(kinds[1].items())}"
