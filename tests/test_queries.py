@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 
-QUERIES, ORACLES = contract.queries(), contract.oracle_sql()
+QUERIES = {k: q for k, q in contract.queries().items() if k not in contract.LLM_QUERIES}
+ORACLES = {k: q for k, q in contract.oracle_sql().items() if k not in contract.LLM_QUERIES}
 
 
 @pytest.fixture(scope="module")

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import re
+import shutil
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -33,12 +36,18 @@ def build_session(
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A new folder all executors can reach, for streaming state and landed tables.
 
-    The cluster names the shared folder in `spark.checkpoint.dir`. Only where
-    that is unset (tests, a laptop) a local temporary folder is used.
+    The cluster names the shared folder in `spark.checkpoint.dir`. Without it a
+    local temporary folder is used if the session runs in this one process, and
+    removed when the process ends; on a cluster its absence is an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        return tempfile.mkdtemp(prefix=f"wireglass-{name}-")
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+            raise ValueError(f"spark.checkpoint.dir must name a folder that all executors of {master} share")
+        folder = tempfile.mkdtemp(prefix=f"wireglass-{name}-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        return folder
     token = spark.sparkContext._jvm.java.util.UUID.randomUUID().toString()
     return os.path.join(root, f"wireglass-{name}-{token}")
 
