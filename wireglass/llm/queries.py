@@ -6,12 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wireglass.llm import decontaminate, simhash
+from wireglass.llm import decontaminate, mixing, simhash, tokens
 from wireglass.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.roundtrip(table(spark, sf_dir, "documents"))
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.digest(simhash.groups(table(spark, sf_dir, "documents")))
 
@@ -21,5 +29,5 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest(found)
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op8_simhash, op10_decontaminate)}
-ORACLES: dict[str, str] = {}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op5_mixing, op7_token_files, op8_simhash, op10_decontaminate)}
+ORACLES: dict[str, str] = {"op5_mixing": mixing.SQL}
