@@ -6,12 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wireglass.llm import decontaminate, mixing, simhash, tokens
+from wireglass.llm import decontaminate, mixing, simhash, tokens, toxicity
 from wireglass.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = toxicity.predict(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", "held_out", "score", "predicted")
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
@@ -29,5 +34,5 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest(found)
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op5_mixing, op7_token_files, op8_simhash, op10_decontaminate)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op4_toxicity, op5_mixing, op7_token_files, op8_simhash, op10_decontaminate)}
 ORACLES: dict[str, str] = {"op5_mixing": mixing.SQL}
