@@ -1,20 +1,28 @@
-"""Toxicity by two class-conditional Kneser-Ney models over words.
+"""Toxicity by two class-conditional Kneser-Ney models over words and their beginnings.
 
-The history of a word is its text's class c (toxic, ordinary):
+The history of an expression w is its text's class c (toxic, ordinary):
 
     p_c(w) = max(n_c(w) - D, 0) / N_c + L_c p(w),    L_c = sum over v of min(n_c(v), D) / N_c
 
-with the class's counts n_c and p(w) the shared backoff: the number of different
-texts, of both classes together, that w continues, over the sum of that number.
-So a word that is rare in one class is judged by what both have in common, and a
-word rare in both says nothing. The counts of the larger class are scaled to the
-size of the smaller first, so that the same discount D means the same evidence.
-A text's score compares the two log-likelihoods per word, over the whole text and
-over its worst stretch of STRETCH words; a logistic curve turns both into a
+n_c(w) is a continuation count: the number of different words that w follows in
+the class, but no more than the texts that hold it. So a passage that is copied a
+thousand times, or a word that one text repeats, counts little. p(w) is the shared
+backoff, the number of classes w continues (one or two) over the sum of that
+number: a word that is rare in one class is judged by what both have in common,
+and a word rare in both says nothing. The counts of the larger class are
+scaled to the size of the smaller first, so that the same discount D means the
+same evidence. Different predecessors are counted in 64 bits per word and class
+(linear counting); where nearly all bits are set, the texts count.
+Expressions are words and their first 8, 6, 5 and 4 letters. A word with evidence
+of its own in a class is judged by it; any other word backs off to its longest
+beginning that has some, so that an unseen form of a known stem is recognised.
+
+A text's score compares the two log-likelihoods per word (a repeated pair of words
+counts once), over the whole text and over its worst stretch of STRETCH words; a logistic curve turns both into a
 probability.
 
 Spark counts the words of all labelled texts that are neither held out nor set
-aside for the curve, and joins nothing wider than words. What is broadcast is a
+aside for the curve. What is broadcast is a
 table of fixed size: SLOTS log ratios, each slot holding the most frequent of the
 words that share it, with two check bytes; any other word has the ratio of a word
 without evidence. Words whose discounted counts are zero in both classes need no
@@ -29,26 +37,32 @@ count once per label row. Extra columns are ignored.
 from __future__ import annotations
 
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wireglass.llm.common import fold, small_batches
 from wireglass.session import landed
 
 DISCOUNT = 1.5
+CLASSES = ("toxic", "ordinary")
+#: Set bits from which the 64 no longer tell numbers apart.
+FULL = 60
 STRETCH = 20
 SLOTS = 1 << 22
 CURVE_ROWS = 20_000
 HELD_OUT = 2
 THRESHOLD = 0.3
-#: Distinct words a task holds before it hands them on, or remembers while scoring.
-HELD_WORDS = 300_000
+#: Lengths of the beginnings of a word that are counted besides the word, longest first.
+STARTS = (8, 6, 5, 4)
+#: Expressions a task counts before it hands them on, and words it remembers while scoring.
+HELD_KEYS, HELD_WORDS = 500_000, 300_000
 WORD = re.compile(r"\w+")
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -69,45 +83,88 @@ def slot_of(keys: np.ndarray, slots: int) -> tuple[np.ndarray, np.ndarray]:
     return (numbers % np.uint64(slots)).astype(np.int64), (numbers >> np.uint64(48)).astype(np.uint16)
 
 
+class Expressions(dict):
+    """Keys of a word and of its beginnings, longest first."""
+
+    def __missing__(self, word: str) -> tuple[int, ...]:
+        starts = [word[:n] for n in STARTS if n < len(word)]
+        self[word] = (key_of(word + "\n"), *map(key_of, starts))
+        return self[word]
+
+
+class Bits(dict):
+    """The bit of a word among 64."""
+
+    def __missing__(self, word: str) -> int:
+        self[word] = 1 << (zlib.crc32(word.encode("utf-8", "surrogatepass")) & 63)
+        return self[word]
+
+
 def count(texts: DataFrame) -> DataFrame:
-    """key, toxic, ordinary, texts of the words of (text, toxic), summed per task before the shuffle."""
+    """key, toxic, ordinary (texts), toxic_before, ordinary_before (bits of the words before) of all expressions.
+
+    Summed per task before the shuffle.
+    """
 
     def task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        sums = (Counter(), Counter(), Counter())
+        keys, bits, sums, before = Expressions(), Bits(), (Counter(), Counter()), ({}, {})
         for batch in batches:
             for text, toxic in zip(batch["text"], batch["toxic"]):
                 found = words(text)
-                sums[0 if toxic else 1].update(found)
-                sums[2].update(set(found))
-            if len(sums[2]) > HELD_WORDS:
-                yield _counted(sums)
-                sums = (Counter(), Counter(), Counter())
-        yield _counted(sums)
+                sums[int(toxic)].update({k for w in set(found) for k in keys[w]})
+                seen = before[int(toxic)]
+                for last, word in dict.fromkeys(zip(["", *found], found)):
+                    bit = bits[last]
+                    for k in keys[word]:
+                        seen[k] = seen.get(k, 0) | bit
+            if len(before[0]) + len(before[1]) > HELD_KEYS:
+                yield _counted(sums, before)
+                keys, bits, sums, before = Expressions(), Bits(), (Counter(), Counter()), ({}, {})
+        yield _counted(sums, before)
+
+    counted = texts.mapInPandas(
+        task, "key long, toxic long, ordinary long, toxic_before long, ordinary_before long"
+    )
+    return counted.groupBy("key").agg(
+        *[F.sum(c).alias(c) for c in CLASSES], *[F.bit_or(f"{c}_before").alias(f"{c}_before") for c in CLASSES]
+    )
+
 
-    counted = texts.mapInPandas(task, "key long, toxic long, ordinary long, texts long")
-    return counted.groupBy("key").agg(*[F.sum(c).alias(c) for c in ("toxic", "ordinary", "texts")])
+def _counted(sums: tuple[Counter, Counter], before: tuple[dict, dict]) -> pd.DataFrame:
+    found = list(before[0].keys() | before[1].keys())
+    columns = {"key": np.array(found, np.int64)}
+    for c, name in ((1, "toxic"), (0, "ordinary")):
+        columns[name] = np.fromiter((sums[c][k] for k in found), np.int64, len(found))
+        columns[f"{name}_before"] = np.fromiter((before[c].get(k, 0) for k in found), np.uint64, len(found)).view(np.int64)
+    return pd.DataFrame(columns)
 
 
-def _counted(sums: tuple[Counter, Counter, Counter]) -> pd.DataFrame:
-    rows = [(key_of(w), sums[0][w], sums[1][w], n) for w, n in sums[2].items()]
-    return pd.DataFrame(rows, columns=["key", "toxic", "ordinary", "texts"]).astype("int64")
+def different(texts: Column, bits: Column) -> Column:
+    """Number of different predecessors, at most the number of texts."""
+    ones = F.bit_count(bits)
+    estimate = F.least(-64.0 * F.log(1.0 - ones / 64.0), texts.cast("double"))
+    return F.when(ones < FULL, estimate).otherwise(texts.cast("double"))
 
 
 def log_ratios(counts: DataFrame, discount: float = DISCOUNT) -> tuple[DataFrame, float]:
     """(key, n, ratio) of the words with evidence, and the ratio of all others: log p_toxic / p_ordinary."""
+    counts = counts.select(
+        "key",
+        *[different(F.col(c), F.col(f"{c}_before")).alias(c) for c in CLASSES],
+        (F.when(F.col("toxic") > 0, 1).otherwise(0) + F.when(F.col("ordinary") > 0, 1).otherwise(0)).alias("n"),
+    )
     counts = landed(counts, "words")
-    total = counts.agg(F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary"), F.sum("texts").alias("texts"))
-    total = total.first()
-    size = float(min(total["toxic"], total["ordinary"]))
-    scaled = {c: F.col(c) * F.lit(size / total[c]) for c in ("toxic", "ordinary")}
-    masses = counts.agg(*[F.sum(F.least(scaled[c], F.lit(discount))).alias(c) for c in scaled]).first()
-    backoff = {c: masses[c] / size for c in scaled}
-    above = {c: F.greatest(scaled[c] - discount, F.lit(0.0)) / size for c in scaled}
-    shared = F.col("texts") / F.lit(float(total["texts"]))
-    likely = {c: above[c] + backoff[c] * shared for c in scaled}
+    total = counts.agg(*[F.sum(c).alias(c) for c in (*CLASSES, "n")]).first()
+    size = float(min(total["toxic"], total["ordinary"])) or 1.0
+    scaled = {c: F.col(c) * F.lit(size / max(total[c], 1.0)) for c in CLASSES}
+    masses = counts.agg(*[F.sum(F.least(scaled[c], F.lit(discount))).alias(c) for c in CLASSES]).first()
+    backoff = {c: max(masses[c], 1e-9) / size for c in CLASSES}
+    above = {c: F.greatest(scaled[c] - discount, F.lit(0.0)) / size for c in CLASSES}
+    shared = F.col("n") / F.lit(float(total["n"]))
+    likely = {c: above[c] + backoff[c] * shared for c in CLASSES}
     known = counts.where((above["toxic"] > 0) | (above["ordinary"] > 0))
     ratio = F.log(likely["toxic"] / likely["ordinary"])
-    return known.select("key", "texts", ratio.alias("ratio")), float(np.log(backoff["toxic"] / backoff["ordinary"]))
+    return known.select("key", F.greatest(*above.values()).alias("n"), ratio.alias("ratio")), float(np.log(backoff["toxic"] / backoff["ordinary"]))
 
 
 def to_slots(ratios: DataFrame, slots: int) -> tuple[np.ndarray, np.ndarray]:
@@ -120,7 +177,7 @@ def to_slots(ratios: DataFrame, slots: int) -> tuple[np.ndarray, np.ndarray]:
 
     placed = ratios.withColumn("place", place("key"))
     best = placed.groupBy("place.slot").agg(
-        F.max(F.struct("texts", "key", F.col("place.mark").alias("mark"), "ratio")).alias("best")
+        F.max(F.struct("n", "key", F.col("place.mark").alias("mark"), "ratio")).alias("best")
     )
     rows = best.select("slot", F.col("best.mark").alias("mark"), F.col("best.ratio").cast("float").alias("ratio"))
     marks, values = np.zeros(slots, np.uint16), np.full(slots, np.nan, np.float32)
@@ -132,18 +189,22 @@ def to_slots(ratios: DataFrame, slots: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Ratios(dict):
-    """Log ratio by word, looked up once per distinct word."""
+    """Log ratio by word: that of the word or else of its longest beginning with evidence."""
 
     def __init__(self, marks: np.ndarray, values: np.ndarray, other: float):
         super().__init__()
-        self.marks, self.values, self.other = marks, values, other
+        self.marks, self.values, self.other, self.keys_of = marks, values, other, Expressions()
 
     def __missing__(self, word: str) -> float:
-        number = key_of(word) % (1 << 64)
-        slot = number % len(self.values)
-        ratio = float(self.values[slot]) if self.marks[slot] == number >> 48 else self.other
-        self[word] = self.other if np.isnan(ratio) else ratio
-        return self[word]
+        found = self.other
+        for key in self.keys_of.__missing__(word):
+            slot, mark = key % len(self.values), (key >> 48) & 0xFFFF
+            if self.marks[slot] == mark and not np.isnan(self.values[slot]):
+                found = float(self.values[slot])
+                break
+        self.keys_of.clear()
+        self[word] = found
+        return found
 
 
 def features(ratios: Ratios, texts) -> np.ndarray:
@@ -153,6 +214,8 @@ def features(ratios: Ratios, texts) -> np.ndarray:
         ratios.clear()
     for row, text in enumerate(texts):
         found = words(text)
+        # a pair of words that the text repeats counts at its first place only
+        found = [w for _, w in dict.fromkeys(zip(["", *found], found))]
         if found:
             sums = np.zeros(len(found) + 1)
             np.cumsum(np.fromiter(map(ratios.__getitem__, found), float, len(found)), out=sums[1:])
@@ -209,7 +272,7 @@ class Model:
         return docs.withColumn("score", of("text"))
 
 
-def fit(docs: DataFrame, labels: DataFrame, slots: int = SLOTS, curve_rows: int = CURVE_ROWS) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, slots: int = SLOTS, curve_rows: int = CURVE_ROWS, discount: float = DISCOUNT) -> Model:
     """Learn from labelled rows that are not held out: four fifths count, one fifth sets the curve."""
     small_batches(docs.sparkSession)
     known = labels.where(F.col("toxic").isNotNull()).select("doc_id", (F.col("toxic") != 0).cast("int").alias("toxic"))
@@ -224,7 +287,7 @@ def fit(docs: DataFrame, labels: DataFrame, slots: int = SLOTS, curve_rows: int
     # of the labelled rows, those with the smallest draws set the curve: a fifth, but a bounded number
     limit = int(1_000_000 * min(0.2, curve_rows / shares["n"]))
     counts = count(learned.where(F.col("draw") >= limit).select("text", "toxic"))
-    ratios, other = log_ratios(counts)
+    ratios, other = log_ratios(counts, discount)
     table = (*to_slots(ratios, slots), other)
     shared = docs.sparkSession.sparkContext.broadcast(table)
 
