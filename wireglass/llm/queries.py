@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wireglass.llm import decontaminate, html, mixing, simhash, tokens, toxicity
+from wireglass.llm import decontaminate, html, language, mixing, simhash, tokens, toxicity
 from wireglass.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,6 +16,11 @@ def op1_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
 
 
+def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = language.predict(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "held_out", "lang_pred", "score")
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = toxicity.predict(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return scored.select("doc_id", "held_out", "score", "predicted")
@@ -38,5 +43,5 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest(found)
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_html_text, op4_toxicity, op5_mixing, op7_token_files, op8_simhash, op10_decontaminate)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_html_text, op3_language, op4_toxicity, op5_mixing, op7_token_files, op8_simhash, op10_decontaminate)}
 ORACLES: dict[str, str] = {"op5_mixing": mixing.SQL}
