@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wireglass.llm import decontaminate, html, language, mixing, simhash, tokens, toxicity
+from wireglass.llm import decontaminate, html, language, mixing, neighbours, simhash, tokens, toxicity
 from wireglass.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,6 +30,11 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op6_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return neighbours.search(vectors, vectors.where("vec_id % 100 = 0"))
+
+
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.roundtrip(table(spark, sf_dir, "documents"))
 
@@ -43,5 +48,5 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest(found)
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_html_text, op3_language, op4_toxicity, op5_mixing, op7_token_files, op8_simhash, op10_decontaminate)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_html_text, op3_language, op4_toxicity, op5_mixing, op6_neighbours, op7_token_files, op8_simhash, op10_decontaminate)}
 ORACLES: dict[str, str] = {"op5_mixing": mixing.SQL}
