@@ -170,8 +170,8 @@ WITH s AS (
   SELECT *, row_number() OVER (ORDER BY 2.0 * source_size / weight, source NULLS LAST) AS k,
     count(*) OVER () AS n FROM w
 ), c AS (  -- the first k sources closed: what each open weight then gets
-  SELECT b.k, (max(b.total) - coalesce(sum(2.0::DOUBLE * a.source_size) FILTER (a.k < b.k), 0.0::DOUBLE))
-      / (sum(a.weight) FILTER (a.k >= b.k))::DOUBLE AS share,
+  SELECT b.k, (max(b.total) - coalesce(sum(2.0::DOUBLE * a.source_size) FILTER (WHERE a.k < b.k), 0.0::DOUBLE))
+      / (sum(a.weight) FILTER (WHERE a.k >= b.k))::DOUBLE AS share,
     max(2.0::DOUBLE * b.source_size) AS full_size, max(b.weight) AS weight
   FROM o a CROSS JOIN o b GROUP BY b.k
 ), level AS (
@@ -190,7 +190,7 @@ WITH s AS (
   SELECT *, p > 0 AND sum(size) OVER (PARTITION BY source ORDER BY u, doc_id ROWS UNBOUNDED PRECEDING) <= words_left AS chosen
   FROM q
 ), gap AS (
-  SELECT source, max(words_left) - coalesce(sum(size) FILTER (chosen), 0) AS gap FROM d GROUP BY source
+  SELECT source, max(words_left) - coalesce(sum(size) FILTER (WHERE chosen), 0) AS gap FROM d GROUP BY source
 ), best AS (
   SELECT d.doc_id FROM d JOIN gap ON d.source IS NOT DISTINCT FROM gap.source
   WHERE NOT chosen AND p > 0 AND abs(size - gap) < gap

@@ -6,7 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wireglass.llm import decontaminate, html, language, mixing, neighbours, simhash, tokens, toxicity
+from wireglass.llm import (
+    decontaminate,
+    html,
+    language,
+    licenses,
+    line_dedup,
+    mixing,
+    neighbours,
+    simhash,
+    tokens,
+    toxicity,
+)
 from wireglass.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,6 +27,11 @@ def op1_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = line_dedup.remove(table(spark, sf_dir, "documents"))
+    return cleaned.select("doc_id", "text", "n_lines", "n_removed")
+
+
 def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = language.predict(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "held_out", "lang_pred", "score")
@@ -43,10 +59,28 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.digest(simhash.groups(table(spark, sf_dir, "documents")))
 
 
+def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.scan(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return decontaminate.digest(found)
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_html_text, op3_language, op4_toxicity, op5_mixing, op6_neighbours, op7_token_files, op8_simhash, op10_decontaminate)}
-ORACLES: dict[str, str] = {"op5_mixing": mixing.SQL}
+QUERIES: dict[str, Query] = {
+    f.__name__: f
+    for f in (
+        op1_html_text,
+        op2_line_dedup,
+        op3_language,
+        op4_toxicity,
+        op5_mixing,
+        op6_neighbours,
+        op7_token_files,
+        op8_simhash,
+        op9_licenses,
+        op10_decontaminate,
+    )
+}
+ORACLES: dict[str, str] = {"op2_line_dedup": line_dedup.SQL, "op5_mixing": mixing.SQL}
