@@ -102,7 +102,7 @@ def test_streaming_ingest_keeps_rejects(spark, tmp_path):
     port = schema([("a", "int32")])
     rows = [(i, T0, "GET", f"/Op/ports/output/0/inject?a={'x' if i % 3 == 0 else i}", None, {}, b"") for i in range(9)]
     land(spark.createDataFrame(rows, RAW_REQUESTS), str(tmp_path / "in"))
-    stream = stream_landed(spark, str(tmp_path / "in"), RAW_REQUESTS, "ts")
+    stream = stream_landed(spark, str(tmp_path / "in"), RAW_REQUESTS, "ts", "0 seconds")
     injected = ingest.inject_tuple(ingest.route_requests(stream), port).select("request_id", "a", "error")
     write_frame(injected, str(tmp_path / "out"), checkpoint=str(tmp_path / "cp")).awaitTermination()
     out = spark.read.parquet(str(tmp_path / "out"))

@@ -18,6 +18,8 @@ from wireglass.plans.pinned import pinned
 
 # Defaults of the exchange.
 TIMEOUT = timedelta(seconds=15)
+# what stands for a status number out of range
+NO_STATUS = -1
 DEFAULT_STATUS = 200
 TIMEOUT_STATUS = 408
 
@@ -131,7 +133,10 @@ def response_from_json(df: DataFrame, column: str = "jsonString") -> DataFrame:
         {
             "key": F.when(F.col("__key_type") == "BIGINT", F.try_variant_get("__key", "$", "bigint")),
             "response": field("response", "string", F.lit("")),
-            "status": F.when(F.col("__bad"), F.lit(400)).otherwise(field("status", "int", F.lit(DEFAULT_STATUS))),
+            # a number no int holds is no status, and becomes a 500 like any other outside 100..599
+            "status": F.when(F.col("__bad"), F.lit(400)).otherwise(
+                F.coalesce(field("status", "bigint", F.lit(DEFAULT_STATUS)).try_cast("int"), F.lit(NO_STATUS))
+            ),
             "contentType": field("contentType", "string", F.lit(http.TEXT)),
             "header": field("header", "map<string,string>", F.create_map().cast("map<string,string>")),
         }
@@ -149,17 +154,27 @@ def drop_markers(df: DataFrame, column: str = "is_punct") -> DataFrame:
 
 
 def _first_responses(requests: DataFrame, responses: DataFrame, timeout: timedelta, tie: str) -> DataFrame:
-    """Earliest response of each request inside [req_ts, req_ts + timeout).
+    """(__key, __ts, __id): earliest response of each request inside [req_ts, req_ts + timeout).
 
     The join key holds the time bucket as well, so that a key with very many
     responses is spread, and only the narrow request keys are repeated. The
-    minimum is taken before the rows are brought together by key.
+    minimum is taken over two narrow columns before rows are brought together by key.
     """
     asked = requests.select("key", F.col("req_ts").alias("__from"), (F.col("req_ts") + F.lit(timeout)).alias("__to"))
     width = max(round(timeout.total_seconds() * 1e6), 1)
     inside = contained(responses, asked, "rsp_ts", "__from", "__to", by_width(width), keys=["key"])
+    # by time first, so that both steps keep plain numbers and can hash
+    by_time = inside.groupBy("key", "rsp_ts").agg(F.min(tie).alias(tie))
+    first = by_time.groupBy("key").agg(F.min("rsp_ts").alias("__ts"), F.min_by(tie, "rsp_ts").alias("__id"))
+    return first.withColumnRenamed("key", "__key")
+
+
+def _answers(requests: DataFrame, responses: DataFrame, timeout: timedelta, tie: str) -> DataFrame:
+    """key and answer: the whole first response, fetched by its id after the narrow minimum."""
+    first = _first_responses(requests, responses.select("key", "rsp_ts", tie), timeout, tie)
+    same = (F.col("key") == F.col("__key")) & (F.col("rsp_ts") == F.col("__ts")) & (F.col(tie) == F.col("__id"))
     answer = F.struct(*[c for c in responses.columns if c != "key"])
-    return inside.groupBy("key").agg(F.min_by(answer, F.struct("rsp_ts", tie)).alias("answer"))
+    return responses.join(first, same).select("key", answer.alias("answer"))
 
 
 def correlate(requests: DataFrame, responses: DataFrame, timeout: timedelta = TIMEOUT, tie: str = "rsp_id") -> DataFrame:
@@ -169,7 +184,7 @@ def correlate(requests: DataFrame, responses: DataFrame, timeout: timedelta = TI
     the tie-break column and the fields of `response_defaults`. The first
     response wins. A status outside 100..599 turns the answer into a 500.
     """
-    first = _first_responses(requests, responses, timeout, tie)
+    first = _answers(requests, responses, timeout, tie)
     joined = requests.join(first, "key", "left")
     answered = F.col("answer").isNotNull()
     given = F.col("answer.status")
@@ -202,7 +217,7 @@ def unmatched_responses(
     Joined on key and the response's own id: no hot key.
     """
     first = _first_responses(requests, responses.select("key", "rsp_ts", tie), timeout, tie)
-    used = first.select("key", F.col(f"answer.{tie}").alias(tie))
+    used = first.select(F.col("__key").alias("key"), F.col("__id").alias(tie))
     return responses.join(used, ["key", tie], "left_anti")
 
 

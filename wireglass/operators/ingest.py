@@ -37,7 +37,8 @@ def route_requests(df: DataFrame) -> DataFrame:
     """Add context, operator, direction, port, action, context_path and path_info.
 
     `/ctx/Op/ports/...` carries a context and a base name, `/full.name/ports/...`
-    a full operator name. Requests below no port get the error `no route`.
+    a full operator name. Requests below no port get the error `no route`, and so
+    do port numbers above the int range.
     """
     # one pass of the pattern: its groups, joined by a character no URL holds
     groups = F.split(F.regexp_replace(F.col("url"), ROUTE, "$1\u0001$2\u0001$3\u0001$4\u0001$5"), "\u0001")
@@ -52,6 +53,8 @@ def route_requests(df: DataFrame) -> DataFrame:
         (F.col("__side") == "input") & name.isin(*INPUT_ACTIONS)
     )
     routed = routed.withColumn("action", F.when(analyze, F.lit("analyze")).when(offered, name).otherwise(F.lit("")))
+    number = F.col("__port").try_cast("int")
+    routed = routed.withColumn("action", F.when(number.isNull(), "").otherwise(F.col("action")))
     known = F.col("action") != ""
 
     def kept(value: Column) -> Column:
@@ -61,7 +64,7 @@ def route_requests(df: DataFrame) -> DataFrame:
     routed = routed.withColumns(
         {
             "direction": kept(F.when(analyze, F.lit("output")).otherwise(F.col("__side"))),
-            "port": F.when(known, F.col("__port").try_cast("int")),
+            "port": F.when(known, number),
             "context_path": kept(F.concat(prefix, F.lit("/ports"))),
             "path_info": F.when(analyze, F.col("__rest")).otherwise(F.lit("")),
         }
@@ -169,10 +172,16 @@ def header_map(df: DataFrame, pairs: Column, name: str = "headers") -> DataFrame
 
 
 def split_ports(df: DataFrame, ports: int) -> dict[int, DataFrame]:
-    """One frame per output port of a routed frame."""
+    """One frame per output port of a routed frame; all other rows are `no_port`."""
     return {number: df.where(F.col("port") == number) for number in range(ports)}
 
 
+def no_port(df: DataFrame, ports: int) -> DataFrame:
+    """The rows of a routed frame for none of the ports, with an error."""
+    other = ~F.coalesce(F.col("port").between(0, ports - 1), F.lit(False))
+    return with_error(df.where(other), F.lit("no route"))
+
+
 def accepted(df: DataFrame, schema: T.StructType, *carried: str) -> DataFrame:
     """The tuples of an inject step, without rejects."""
     return df.where("error is null").select(*carried, *schema.fieldNames())

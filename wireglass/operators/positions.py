@@ -12,6 +12,8 @@ from wireglass.functions.types import schema
 
 # Display format, default layer, marker names and sphere radius (metres).
 TIME_FORMAT = "M/d/yyyy, h:mm:ss a"
+# milliseconds of the years 1 to 9999
+MILLIS = (-62_135_596_800_000, 253_402_300_799_999)
 DEFAULT_LAYER = "Markers"
 MARKERS = ("BLUE", "GREEN", "YELLOW", "RED", "WARNING", "AWARD")
 RADIUS = 6378137.0
@@ -52,7 +54,10 @@ def live_table(df: DataFrame, raw: bool = False) -> DataFrame:
         if isinstance(kind, T.TimestampType | T.TimestampNTZType):
             value = F.date_format(value, TIME_FORMAT)
         elif isinstance(kind, T.LongType) and "time" in field.name.lower():
-            value = F.date_format(F.timestamp_millis(value), TIME_FORMAT)
+            # other units than milliseconds can lie outside the calendar: shown as numbers
+            inside = value.between(*MILLIS)
+            shown = F.date_format(F.timestamp_millis(F.when(inside, value)), TIME_FORMAT)
+            value = F.when(value.isNull() | inside, shown).otherwise(value.cast("string"))
         elif isinstance(kind, T.FloatType | T.DoubleType):
             value = two_decimals(value)
         columns.append(value.alias(field.name))

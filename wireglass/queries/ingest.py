@@ -307,3 +307,10 @@ def split_ports(spark: SparkSession, sf_dir: str) -> DataFrame:
         first = F.col(port.fieldNames()[0]).alias("number")
         rows.append(tuples.select(F.lit(number).alias("port"), "request_id", first))
     return rows[0].unionByName(rows[1])
+
+
+@query(f"WITH {_FORM_SQL} SELECT request_id, 'no route' AS error FROM checked WHERE request_id % 2 <> 0")
+def split_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Requests for a port that an operator with one port does not have."""
+    routed = ingest.route_requests(derive.requests(spark, sf_dir))
+    return ingest.no_port(routed, 1).select("request_id", "error")

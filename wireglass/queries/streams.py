@@ -17,7 +17,7 @@ from wireglass.queries.registry import query, table
 from wireglass.queries.views import _BY_USER
 from wireglass.session import shared_dir
 from wireglass.sources.landed import stream_landed, write_frame
-from wireglass.streaming.correlate import correlate_streams
+from wireglass.streaming.correlate import correlate_streams, settle_late
 from wireglass.streaming.live_view import LiveView
 
 
@@ -34,33 +34,46 @@ def stream_last_n(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _land(df: DataFrame, path: str) -> None:
     """Write a landed table; instants instead of local times, so it can carry a watermark."""
     local = [f.name for f in df.schema.fields if f.dataType.simpleString() == "timestamp_ntz"]
-    df.withColumns({name: F.col(name).cast("timestamp") for name in local}).write.parquet(path)
+    df.withColumns({name: F.col(name).cast("timestamp") for name in local}).write.mode("append").parquet(path)
 
 
 @query(CORRELATE_SQL)
 def stream_correlate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Landed requests and responses, correlated by a stream-stream join.
+    """Landed requests and responses, correlated by a stream-stream join over several micro-batches.
 
-    A closing row an hour after the end on both sides moves the watermarks past
-    the last timeout; it has the key 0, which no request has, and is left out.
+    Each side is landed in three files by time, the last two exchanged, and
+    read one file at a time; the delay of the watermark covers that disorder. A
+    closing row after the delay on both sides moves the watermarks past the last
+    timeout; it has the key 0, which no request has, and is left out. Requests
+    that came behind the watermark all the same are settled from the landed tables.
     """
     root = shared_dir(spark, "correlate")
     requests = derive.asked(spark, sf_dir).select("key", "req_ts")
     responses = derive.told(spark, sf_dir)
-    end = responses.agg((F.max("rsp_ts") + F.expr("interval 1 hour")).alias("t"))
-    closing = {"key": F.lit(0), "req_ts": F.col("t"), "rsp_ts": F.col("t")}
+    span = responses.agg(F.min("rsp_ts").alias("low"), F.max("rsp_ts").alias("high")).first()
+    delay = max(int((span["high"] - span["low"]).total_seconds()), 1)
 
-    def closed(df: DataFrame) -> DataFrame:
-        row = [closing.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in df.schema]
-        return df.unionByName(end.select(*row))
+    def land(df: DataFrame, time: str, path: str) -> None:
+        end = {"key": F.lit(0), time: F.lit(span["high"]) + F.expr(f"interval {2 * delay + 3600} seconds")}
+        row = [end.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in df.schema]
+        cut = [F.lit(span["low"]) + F.expr(f"interval {delay * k // 3} seconds") for k in (1, 2)]
+        part = sum((F.when(F.col(time) >= c, 1).otherwise(0) for c in cut), F.lit(0))
+        for k in (0, 2, 1):
+            _land(df.where(part == k).coalesce(1), path)
+        _land(spark.range(1).select(*row), path)
 
-    _land(closed(requests), f"{root}/req")
-    _land(closed(responses), f"{root}/rsp")
-    asked = stream_landed(spark, f"{root}/req", spark.read.parquet(f"{root}/req").schema, "req_ts")
-    told = stream_landed(spark, f"{root}/rsp", spark.read.parquet(f"{root}/rsp").schema, "rsp_ts")
+    land(requests, "req_ts", f"{root}/req")
+    land(responses, "rsp_ts", f"{root}/rsp")
+    kinds = [spark.read.parquet(f"{root}/{side}").schema for side in ("req", "rsp")]
+    allowed = f"{delay} seconds"
+    asked = stream_landed(spark, f"{root}/req", kinds[0], "req_ts", allowed, max_files=1)
+    told = stream_landed(spark, f"{root}/rsp", kinds[1], "rsp_ts", allowed, max_files=1)
     write_frame(correlate_streams(asked, told), f"{root}/out", checkpoint=f"{root}/checkpoint").awaitTermination()
+    out = spark.read.parquet(f"{root}/out")
+    rows = [spark.read.schema(kind).parquet(f"{root}/{side}").where("key <> 0") for kind, side in zip(kinds, ("req", "rsp"))]
+    settled = settle_late(*rows, out).select(*out.columns)
     local = {name: F.col(name).cast("timestamp_ntz") for name in ("req_ts", "done_ts")}
-    return spark.read.parquet(f"{root}/out").where("key <> 0").withColumns(local)
+    return out.where("key <> 0").unionByName(settled).withColumns(local)
 
 
 @query(

@@ -7,6 +7,8 @@ frame with these columns.
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -61,12 +63,18 @@ def stream_landed(
     path: str,
     schema: T.StructType,
     event_time: str | None = None,
-    delay: str = "0 seconds",
+    delay: str | None = None,
     fmt: str = "parquet",
     max_files: int | None = None,
     glob: str | None = None,
 ) -> DataFrame:
-    """Streaming read of a folder, with a watermark on the event time."""
+    """Streaming read of a folder, with a watermark on the event time.
+
+    The watermark needs a delay: rows later than it are left out of stateful
+    results, and the caller says how late a row may be.
+    """
+    if event_time is not None and delay is None:
+        raise ValueError("a watermark needs its delay")
     reader = spark.readStream.schema(schema).format(fmt)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
@@ -84,10 +92,11 @@ def stream_landed(
 def read_blobs(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
     """Binary payload files as octet-stream requests, one per file.
 
-    Spark's file scan leaves out files of length zero; an empty post has to
-    come from a request table.
+    Spark's file scan leaves out files of length zero; they are added from the
+    folder's listing, as empty posts.
     """
     files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path)
+    files = files.unionByName(_empty_files(spark, path, glob, files.schema))
     return files.select(
         F.col("modificationTime").alias("ts"),
         F.lit("POST").alias("method"),
@@ -98,6 +107,20 @@ def read_blobs(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
     )
 
 
+def _empty_files(spark: SparkSession, path: str, glob: str, schema: T.StructType) -> DataFrame:
+    """Rows for the files of length zero of a folder, which are names only."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    place = hadoop.Path(path)
+    system = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    pattern = hadoop.Path(place, glob) if system.getFileStatus(place).isDirectory() else place
+    found = [s for s in system.globStatus(pattern) or [] if s.isFile() and s.getLen() == 0]
+    rows = [
+        (s.getPath().toString(), datetime.fromtimestamp(s.getModificationTime() / 1000, timezone.utc), 0, b"")
+        for s in found
+    ]
+    return spark.createDataFrame(rows, schema)
+
+
 def read_fence_lines(spark: SparkSession, path: str) -> DataFrame:
     """Lines of a geofence file as column `value`."""
     return spark.read.text(path)

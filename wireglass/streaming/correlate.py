@@ -12,7 +12,7 @@ from datetime import timedelta
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wireglass.operators.exchange import TIMEOUT, TIMEOUT_STATUS
+from wireglass.operators.exchange import TIMEOUT, TIMEOUT_STATUS, correlate
 
 
 def correlate_streams(requests: DataFrame, responses: DataFrame, timeout: timedelta = TIMEOUT) -> DataFrame:
@@ -50,3 +50,17 @@ def correlate_streams(requests: DataFrame, responses: DataFrame, timeout: timede
         F.timestamp_micros(done).alias("done_ts"),
         F.col("answer.rsp_id").alias("rsp_id"),
     )
+
+
+def late_requests(requests: DataFrame, outcomes: DataFrame) -> DataFrame:
+    """Landed requests that no outcome names: they came behind the watermark.
+
+    Together with the outcomes every request ends as responded, error, timeout
+    or late. Both are tables here: what the stream read and what it wrote.
+    """
+    return requests.join(outcomes.select("key"), "key", "left_anti")
+
+
+def settle_late(requests: DataFrame, responses: DataFrame, outcomes: DataFrame, timeout: timedelta = TIMEOUT) -> DataFrame:
+    """Outcomes of the late requests, by the batch join over the landed tables."""
+    return correlate(late_requests(requests, outcomes), responses, timeout)
