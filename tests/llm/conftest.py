@@ -1,0 +1,16 @@
+import os
+import sys
+
+import pytest
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+
+@pytest.fixture
+def frame(spark):
+    """A small table from rows and a schema."""
+
+    def make(rows, schema):
+        return spark.createDataFrame(rows, schema)
+
+    return make

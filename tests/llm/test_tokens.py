@@ -1,0 +1,99 @@
+"""Token files: exact round trip, random access, checksums."""
+
+import struct
+import zlib
+
+import numpy as np
+import pyarrow.fs
+import pytest
+
+from wireglass.llm import tokens
+from wireglass.session import shared_dir
+
+public = pytest.importorskip("public_tokenizers")
+TEXTS = [
+    "Plain words, twice. Plain words, twice.",
+    "",
+    None,
+    "a <|endoftext|> b <|startoftext|>",
+    "<|ENDOFTEXT|>, x. don't, we'll 5,6 a.., ...",
+    "É́cole é \x1c x\x1cy  z　q",
+    "^ ^^ a^b ^. x^",
+    "Ω ΑΣ. ΣΑΣ, İstanbul. 日本語。x, ½. ²,",
+    "long " * 80_000,
+]
+
+
+def plain(text):
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(public.path("word_bpe_49k.json"))
+    return np.array(tokenizer.encode(text or "", add_special_tokens=False).ids + [1], "<u4").tobytes()
+
+
+def rows():
+    return [(k * 7 - 20, t, "x") for k, t in enumerate(TEXTS)] + [(8, TEXTS[0], "x"), (8, TEXTS[0], "x"), (None, "null id", "x")]
+
+
+def test_round_trip(frame, spark):
+    docs = frame(rows(), "doc_id long, text string, ids string").repartition(3)
+    folder = shared_dir(spark, "tokens-test")
+    manifest = tokens.write(docs, folder)
+    got = sorted(tokens.read(manifest, folder).collect(), key=lambda r: r["start"])
+    order = sorted(rows(), key=lambda r: (r[0] is not None, r[0] or 0, 0))
+    assert [r["doc_id"] for r in got] == [r[0] for r in order]
+    start = 0
+    by_id = {}
+    for r in rows():
+        by_id.setdefault(r[0], []).append(plain(r[1]))
+    for r in got:
+        assert r["start"] == start and r["n_tokens"] == len(r["ids"]) // 4
+        assert bytes(r["ids"]) in by_id[r["doc_id"]]
+        start += r["n_tokens"]
+    sums = {(r["doc_id"], r["ids_crc32"]) for r in tokens.roundtrip(docs).collect()}
+    assert sums == {(i, zlib.crc32(x)) for i, xs in by_id.items() for x in xs}
+
+
+def test_empty_table(frame):
+    docs = frame([(1, "x")], "doc_id long, text string").limit(0)
+    assert tokens.roundtrip(docs).count() == 0
+
+
+def one_file(tmp_path, sizes):
+    path = str(tmp_path / "ids.zst")
+    data = [np.arange(n, dtype="<u4").tobytes() for n in sizes]
+    writer = tokens.Writer(pyarrow.fs.LocalFileSystem().open_output_stream(path, compression=None))
+    for k, d in enumerate(data):
+        writer.add(k, d)
+    writer.close()
+    return path, data
+
+
+def test_only_the_frames_asked_for_are_read(tmp_path):
+    path, data = one_file(tmp_path, [10, 200_000, 0, 3, 70_000, 5])
+    reader = tokens.Reader(pyarrow.fs.LocalFileSystem().open_input_file(path))
+    assert len(reader.frames) > 3
+    opened = []
+    frame = reader.frame
+    reader.frame = lambda k: opened.append(k) or frame(k)
+    assert reader.document(5) == data[5] and set(opened) == {len(reader.frames) - 1}
+    assert [reader.document(k) for k in (4, 0, 1, 2, 3)] == [data[k] for k in (4, 0, 1, 2, 3)]
+
+
+def test_frames_are_independent_zstandard(tmp_path):
+    """Any zstandard reader sees the ids: the tables are skippable frames."""
+    import zstandard
+
+    path, data = one_file(tmp_path, [100_000, 7])
+    with open(path, "rb") as f, zstandard.ZstdDecompressor().stream_reader(f, read_across_frames=True) as s:
+        assert s.read() == b"".join(data)
+    raw = open(path, "rb").read()
+    assert struct.unpack("<I", raw[-4:])[0] == 0x8F92EAB1
+
+
+def test_a_broken_frame_is_found(tmp_path):
+    path, _ = one_file(tmp_path, [50_000, 50_000])
+    reader = tokens.Reader(pyarrow.fs.LocalFileSystem().open_input_file(path))
+    reader.frames[0, 2] ^= 1
+    with pytest.raises(ValueError, match="checksum"):
+        reader.document(0)

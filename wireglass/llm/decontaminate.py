@@ -190,3 +190,31 @@ def remove_spans(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW) -> D
     clean = clean.select("__id", "__hash", F.coalesce("__clean", F.lit("")).alias("__clean"))
     whole = docs.join(clean, same, "left")
     return whole.withColumn("text", F.coalesce("__clean", "text")).select(*docs.columns)
+
+
+SQL = r"""
+WITH w AS (
+  SELECT row_number() OVER () AS k, doc_id, coalesce(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS ws
+  FROM documents
+), i AS (
+  SELECT item_id::VARCHAR AS item, regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws
+  FROM benchmark
+), ip AS (
+  SELECT item, ws, least(len(ws), 10) AS n, unnest(range(1, len(ws) - least(len(ws), 10) + 2)) AS p FROM i WHERE len(ws) > 0
+), iw AS (
+  SELECT DISTINCT item, n, array_to_string(ws[p:p + n - 1], ' ') AS win FROM ip
+), spot AS (
+  SELECT k, n, ws, unnest(range(1, len(ws) - n + 2)) AS p FROM w, (SELECT DISTINCT n FROM iw) WHERE len(ws) >= n
+), hit AS (
+  SELECT k, p, spot.n AS n, item FROM spot JOIN iw ON spot.n = iw.n AND array_to_string(ws[p:p + spot.n - 1], ' ') = win
+), h AS (
+  SELECT k, count(DISTINCT q) AS n_hit FROM (SELECT k, unnest(range(p, p + n)) AS q FROM hit) GROUP BY k
+), m AS (
+  SELECT k, count(DISTINCT item) AS n_items, string_agg(DISTINCT item, ',' ORDER BY item) AS items FROM hit GROUP BY k
+)
+SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM w LEFT JOIN h USING (k) LEFT JOIN m USING (k)
+"""

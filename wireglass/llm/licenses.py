@@ -130,7 +130,8 @@ class Matcher:
         self.names = [n for n, _ in templates]
         self.bags = [bigrams(normalised(t)) for _, t in templates]
         self.sizes = [sum(b.values()) for b in self.bags]
-        self.least, self.share = least, least / (2 - least)
+        # a hair below, so that rounding prunes nothing
+        self.least, self.share = least, least / (2 - least) - 1e-9
         self.longest = max(self.sizes) / self.share
         self.index: dict[tuple, list[tuple[int, int]]] = {}
         for k, bag in enumerate(self.bags):

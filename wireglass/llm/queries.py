@@ -83,4 +83,4 @@ QUERIES: dict[str, Query] = {
         op10_decontaminate,
     )
 }
-ORACLES: dict[str, str] = {"op2_line_dedup": line_dedup.SQL, "op5_mixing": mixing.SQL}
+ORACLES: dict[str, str] = {"op2_line_dedup": line_dedup.SQL, "op5_mixing": mixing.SQL, "op10_decontaminate": decontaminate.SQL}
