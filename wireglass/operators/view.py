@@ -6,12 +6,13 @@ rows before it stay visible until the next one.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 from datetime import timedelta
 from functools import reduce
 from itertools import product
-from urllib.parse import parse_qsl
+from urllib.parse import parse_qsl, unquote_plus
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -20,7 +21,7 @@ from pyspark.sql import types as T
 from wireglass.functions import http
 from wireglass.functions.types import FLOATS, attribute_type, coerce
 from wireglass.plans.buckets import Layout
-from wireglass.plans.checks import JSON_ATTRIBUTE
+from wireglass.plans.checks import JSON_ATTRIBUTE, ViewPort, check_views
 from wireglass.plans.ordered import running
 
 # ---- window contents ------------------------------------------------------------
@@ -133,22 +134,67 @@ def punct_window(df: DataFrame, punct: str, order: Sequence[str]) -> DataFrame:
 # ---- view specification and single requests ----------------------------------------
 
 
+@dataclass(frozen=True)
+class SlidingTime:
+    """Rows younger than `size` as of the newest row (of the key)."""
+
+    size: timedelta
+
+    def contents(self, df: DataFrame, order: Sequence[str], keys: Sequence[str]) -> DataFrame:
+        return sliding_time(df, self.size, order[0], keys)
+
+
+@dataclass(frozen=True)
+class TumblingTime:
+    """Rows of the newest ended window of `size`, aligned to the epoch plus `start`."""
+
+    size: timedelta
+    start: timedelta = timedelta(0)
+
+    def contents(self, df: DataFrame, order: Sequence[str], keys: Sequence[str]) -> DataFrame:
+        return tumbling_time(df, self.size, order[0], self.start)
+
+
+@dataclass(frozen=True)
+class Delta:
+    """Rows whose attribute is within `distance` of the newest row's value."""
+
+    attribute: str
+    distance: float | int
+
+    def contents(self, df: DataFrame, order: Sequence[str], keys: Sequence[str]) -> DataFrame:
+        return delta_window(df, self.attribute, self.distance, order, keys)
+
+
+@dataclass(frozen=True)
+class Punctuation:
+    """Rows of the last segment that a row with a true `column` closed."""
+
+    column: str
+
+    def contents(self, df: DataFrame, order: Sequence[str], keys: Sequence[str]) -> DataFrame:
+        return punct_window(df, self.column, order)
+
+
 @dataclass(frozen=True)
 class ViewSpec:
     """One view port: its window, order, keys and query rules.
 
+    Without `window` it is a count window of `n` rows.
+
     `attributes` are the columns of the port (technical order columns excluded);
     empty means all columns of the frame.
     """
 
     order: Sequence[str]
-    n: int
+    n: int = 1
     keys: Sequence[str] = ()
     tumbling: bool = False
     trigger: int = 1
     named: bool = False
     force_empty: bool = False
     attributes: Sequence[str] = ()
+    window: SlidingTime | TumblingTime | Delta | Punctuation | None = None
 
     def columns(self, df: DataFrame) -> list[str]:
         return list(self.attributes) or df.columns
@@ -168,7 +214,10 @@ class QueryError(ValueError):
 
 
 def snapshot(df: DataFrame, spec: ViewSpec) -> DataFrame:
-    """Contents of all partitions of the view."""
+    """Contents of all partitions of the view. Unknown or repeated keys are an error."""
+    check_views([ViewPort(df.schema, bool(spec.keys))], partition_by=[",".join(spec.keys)] if spec.keys else None)
+    if spec.window is not None:
+        return spec.window.contents(df, spec.order, spec.keys)
     return last_n(df, spec.n, spec.order, spec.keys, trigger=spec.n if spec.tumbling else spec.trigger)
 
 
@@ -176,8 +225,10 @@ def read_query(text: str, spec: ViewSpec) -> ViewQuery:
     """Interpret a `/tuples` query string for a port.
 
     In named mode `attribute`, `suppress` and `callback` are partition names
-    when a key is called so. Unknown names count as no partition given.
+    when a key is called so. Unknown names count as no partition given. A key
+    value that cannot be decoded is an error.
     """
+    _check_encoding(text or "", spec)
     pairs = parse_qsl(text or "", keep_blank_values=True)
     keys_taken = set(spec.keys) if spec.named else set()
 
@@ -198,6 +249,28 @@ def read_query(text: str, spec: ViewSpec) -> ViewQuery:
     return ViewQuery(values, listed("attribute"), listed("suppress") or ())
 
 
+def _check_encoding(text: str, spec: ViewSpec) -> None:
+    """Values of keys must be well encoded UTF-8."""
+    position = 0
+    for piece in filter(None, text.split("&")):
+        name, _, value = piece.partition("=")
+        name = unquote_plus(name)
+        if spec.named:
+            key = name if name in spec.keys else None
+        else:
+            key = spec.keys[position] if name == "partition" and position < len(spec.keys) else None
+            position += name == "partition"
+        if key is None:
+            continue
+        try:
+            broken = re.search("%(?![0-9A-Fa-f]{2})", value)
+            unquote_plus(value, errors="strict")
+        except UnicodeDecodeError:
+            broken = True
+        if broken:
+            raise QueryError(f"bad partition value for {key}")
+
+
 def _unsupported(kind: str) -> bool:
     return kind in FLOATS or kind in ("timestamp", "blob", "xml") or "<" in kind
 
@@ -274,12 +347,13 @@ def render_view(df: DataFrame, spec: ViewSpec, query_text: str = "") -> DataFram
 # ---- many requests -------------------------------------------------------------------
 
 
-def _coerced_key(df: DataFrame, key: str, text: Column) -> tuple[Column, Column]:
+def _coerced_key(df: DataFrame, key: str, text: Column, present: Column) -> tuple[Column, Column]:
+    """Typed value and error of a key; a value that is there but cannot be decoded is an error, not a wildcard."""
     kind = attribute_type(df.schema[key])
     if _unsupported(kind):
         return F.lit(None).cast(df.schema[key].dataType), F.lit(f"unsupported partition type for {key}")
     value = coerce(text, kind)
-    return value, F.when(text.isNotNull() & value.isNull(), F.lit(f"bad partition value for {key}"))
+    return value, F.when(present & value.isNull(), F.lit(f"bad partition value for {key}"))
 
 
 def read_requests(df: DataFrame, spec: ViewSpec, requests: DataFrame) -> DataFrame:
@@ -292,8 +366,12 @@ def read_requests(df: DataFrame, spec: ViewSpec, requests: DataFrame) -> DataFra
     given = http.all_values(F.col("__pairs"), "partition")
     errors = []
     for at, key in enumerate(spec.keys):
-        text = http.first_value(F.col("__pairs"), key) if spec.named else F.get(given, F.lit(at))
-        value, error = _coerced_key(df, key, text)
+        if spec.named:
+            text = http.first_value(F.col("__pairs"), key)
+            present = F.coalesce(F.array_contains(F.col("__pairs")["name"], key), F.lit(False))
+        else:
+            text, present = F.get(given, F.lit(at)), F.size(given) > at
+        value, error = _coerced_key(df, key, text, present)
         decoded = decoded.withColumn(f"q_{key}", value)
         errors.append(error)
     if not spec.named and spec.keys:
@@ -303,6 +381,11 @@ def read_requests(df: DataFrame, spec: ViewSpec, requests: DataFrame) -> DataFra
     return decoded.withColumn("error", error).drop("__pairs")
 
 
+def _mask(keys: Sequence[str]) -> Column:
+    """Which keys a request gives, as a text of 0 and 1."""
+    return F.concat(*[F.col(f"q_{k}").isNotNull().cast("int").cast("string") for k in keys])
+
+
 def answer_requests(contents: DataFrame, requests: DataFrame, spec: ViewSpec) -> DataFrame:
     """Rows of the snapshot for every request of `read_requests`.
 
@@ -314,10 +397,14 @@ def answer_requests(contents: DataFrame, requests: DataFrame, spec: ViewSpec) ->
     good = requests.where(F.col("error").isNull())
     if not keys:
         raise QueryError("a port without keys has one answer for all requests: use read_view")
-    masks = [mask for mask in product([0, 1], repeat=len(keys)) if any(mask) or not spec.force_empty]
-
-    def code(bits: Sequence[Column]) -> Column:
-        return F.concat(*[b.cast("string") for b in bits])
+    asked = good.withColumn("__mask_q", _mask(keys))
+    # only the subsets that occur: no more than requests, and no more than 2^keys
+    occurring = {row[0] for row in asked.select("__mask_q").distinct().collect()}
+    masks = [m for m in product([0, 1], repeat=len(keys)) if "".join(map(str, m)) in occurring]
+    if spec.force_empty:
+        masks = [mask for mask in masks if any(mask)]
+    if not masks:
+        masks = [(1,) * len(keys)]
 
     def mask_struct(mask: tuple[int, ...]) -> Column:
         parts = [F.lit("".join(map(str, mask))).alias("__mask")]
@@ -328,7 +415,6 @@ def answer_requests(contents: DataFrame, requests: DataFrame, spec: ViewSpec) ->
 
     repeated = contents.withColumn("__m", F.explode(F.array(*[mask_struct(m) for m in masks])))
     repeated = repeated.select(*contents.columns, "__m.*")
-    asked = good.withColumn("__mask_q", code([F.col(f"q_{k}").isNotNull().cast("int") for k in keys]))
     same = F.col("__mask_q") == F.col("__mask")
     for key in keys:
         same = same & F.col(f"q_{key}").eqNullSafe(F.col(f"__{key}"))

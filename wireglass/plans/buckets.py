@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import math
 from bisect import bisect_right
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -47,11 +47,16 @@ def position(column: Column, data_type: T.DataType) -> Column:
 
 @dataclass(frozen=True)
 class Layout:
-    """Slot s covers [low + s*width, low + (s+1)*width) and holds `splits[s]` buckets."""
+    """Slot s covers [low + s*width, low + (s+1)*width) and holds `splits[s]` buckets.
+
+    Positions are taken without their `drop` lowest bits, so that no difference
+    leaves the range of a long.
+    """
 
     low: int
     width: int
     splits: tuple[int, ...]
+    drop: int = 0
 
     @property
     def count(self) -> int:
@@ -61,7 +66,7 @@ class Layout:
         """Bucket number of a value; values outside the range go to the end buckets."""
         if self.count == 1:
             return F.lit(0).cast("bigint")
-        offset = position(column, data_type) - F.lit(self.low)
+        offset = _without_bits(position(column, data_type), self.drop) - F.lit(self.low)
         inside = F.greatest(F.lit(0), F.least(offset, F.lit(self.width * len(self.splits) - 1)))
         # exact integer division: a double quotient could misplace values near 2^53
         slot = F.call_function("div", inside, F.lit(self.width)).cast("int")
@@ -82,6 +87,10 @@ def _longs(values) -> Column:
     return F.expr("array(" + ",".join(f"{v}L" for v in values) + ")")
 
 
+def _without_bits(value: Column, drop: int) -> Column:
+    return F.shiftright(value, drop) if drop else value
+
+
 def measure(frame: DataFrame, column: str, rows_per_bucket: int | None = None) -> Layout:
     """Measure a layout for `column` in one pass over that column alone.
 
@@ -100,7 +109,11 @@ def measure(frame: DataFrame, column: str, rows_per_bucket: int | None = None) -
     if not row["n"]:
         return Layout(0, 1, (1,))
     rows = min(rows_per_bucket or ROWS_PER_BUCKET, math.ceil(row["n"] / cores))
-    return plan_layout(row["n"], row["low"], row["high"], row["q"], max(rows, 1))
+    low, high, quantiles = row["low"], row["high"], row["q"]
+    drop = 2 if high - low >= 1 << 62 else 0
+    if drop:
+        low, high, quantiles = low >> drop, high >> drop, [q >> drop for q in quantiles]
+    return replace(plan_layout(row["n"], low, high, quantiles, max(rows, 1)), drop=drop)
 
 
 def plan_layout(n: int, low: int, high: int, quantiles: list[int], rows: int) -> Layout:

@@ -292,3 +292,25 @@ def answer_view_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     tuples = events.select(*ORDER, "user_id")
     spec = ViewSpec(ORDER, 16, ["user_id"], trigger=4)
     return view.answer_as_of(tuples, requests, spec).select("request_id", "position", "event_id")
+
+
+# ---- any window behind a view -------------------------------------------------------
+
+
+@query(
+    "SELECT event_id, user_id FROM (SELECT *, max(ts) OVER (PARTITION BY user_id, event_type) AS m FROM events) "
+    "WHERE ts > m - INTERVAL 2 DAY AND event_type = 'view'"
+)
+def view_query_sliding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spec = ViewSpec(ORDER, keys=["user_id", "event_type"], named=True, window=view.SlidingTime(timedelta(days=2)))
+    return view.read_view(_events(spark, sf_dir), spec, "event_type=view&attribute=event_id&attribute=user_id")
+
+
+@query(
+    "SELECT event_type, count(*) AS n, cast(to_json(list({event_id: event_id} ORDER BY ts, event_id)) AS varchar) AS json "
+    "FROM (SELECT *, last_value(event_id) OVER (PARTITION BY event_type ORDER BY ts, event_id "
+    "ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS m FROM events) WHERE abs(m - event_id) <= 500 GROUP BY event_type"
+)
+def view_json_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spec = ViewSpec(ORDER, keys=["event_type"], attributes=["event_id"], window=view.Delta("event_id", 500))
+    return view.render_view(_events(spark, sf_dir), spec)

@@ -14,6 +14,7 @@ from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from wireglass.operators.view import ViewSpec
@@ -35,6 +36,11 @@ class LiveView:
     root: str
     spec: ViewSpec
     evict_after: timedelta | None = None
+    schema: T.StructType | None = None
+
+    def __post_init__(self) -> None:
+        if self.spec.window is not None:
+            raise ValueError("a live view keeps count windows only")
 
     @property
     def _trigger(self) -> int:
@@ -84,6 +90,7 @@ class LiveView:
 
     def start(self, stream: DataFrame) -> StreamingQuery:
         """Run over everything available; the state survives restarts."""
+        self.schema = stream.schema
         return (
             stream.writeStream.foreachBatch(self.update)
             .option("checkpointLocation", f"{self.root}/checkpoint")
@@ -92,9 +99,12 @@ class LiveView:
         )
 
     def contents(self, batch: int | None = None) -> DataFrame:
-        """Rows visible after a batch, by default the last one."""
+        """Rows visible after a batch, by default the last one; none before the first."""
         if batch is None:
-            batch = self.batches()[-1]
+            done = self.batches()
+            if not done:
+                return self.spark.createDataFrame([], self.schema or T.StructType())
+            batch = done[-1]
         return visible(self.spark.read.parquet(self._path(batch)), self.spec, self._trigger)
 
 
