@@ -103,7 +103,7 @@ def test_licences(frame):
     assert got[1]["license"] == "MIT" and got[1]["dice"] == 1.0
     assert got[2]["license"] == "MIT" and got[2]["dice"] > 0.9
     assert all(got[k]["license"] is None and got[k]["dice"] == 0 for k in (3, 4, 5, 7))
-    assert got[6]["licenses"] == ["CC-BY-NC-4.0", "proprietary"] and got[6]["n_passages"] == 2
+    assert got[6]["licenses"] == ["CC-BY-NC-4.0", "proprietary"] and got[6]["n_passages"] == 3
 
 
 def test_size_bounds_lose_no_template():

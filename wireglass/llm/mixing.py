@@ -8,8 +8,9 @@ With r = target / source size, every document of a source gets floor(r) whole
 copies for certain. The rest is a sample: each document has the inclusion
 probability p = r - floor(r) and the rank (u / (1 - u)) / (p / (1 - p)) with u
 uniform from a hash of its id; documents are taken in rank order as long as the
-words left over hold them, so the sample's size is fixed. The words that then
-still miss are filled with the one document of the rest whose size comes nearest
+words left over hold them, so the sample's size is fixed; a document that does not
+fit ends a round, and a few more rounds go on behind it. The words that then still
+miss are filled with the one document of the rest whose size comes nearest
 to them, if that brings the source closer. The prefix over a source is taken in
 two levels, per slice of u and within a slice, so a source with a third of all
 rows is no single task.
@@ -32,6 +33,8 @@ MOST_COPIES = 2
 SEED = "mix"
 #: Slices of the uniform number per source, for the two-level prefix.
 SLICES = 4096
+#: Times that rows are taken in rank order: a row that does not fit ends a round.
+ROUNDS = 3
 
 
 def word_count(text: Column) -> Column:
@@ -78,37 +81,42 @@ def targets(sizes: DataFrame, weights=WEIGHTS, budget: float = BUDGET, most: int
     return sources.withColumn("target", target)
 
 
-def order_sample(rows: DataFrame, keys: list[str], left: Column, slices: int = SLICES) -> DataFrame:
-    """Adds `chosen`: taken in order of `rank` as long as `left` words of the key hold them.
+def with_gap(drawn: DataFrame, key: str) -> DataFrame:
+    """Adds `gap`: the words of the key that the chosen rows leave of `left`."""
+    taken = F.sum(F.when(F.col("chosen"), F.col("size")).otherwise(0))
+    sums = drawn.groupBy(key).agg((F.max("left") - taken).alias("gap")).withColumnRenamed(key, "__key")
+    return drawn.join(sums, F.col(key).eqNullSafe(F.col("__key"))).drop("__key")
 
-    `rows` has the keys, size, rank, u (uniform, in the order of the rank within a
-    key), doc_id and tag (unique).
+
+def order_sample(drawn: DataFrame, key: str, slices: int = SLICES) -> DataFrame:
+    """Chooses more rows: in order of `rank`, as long as the words that miss hold them.
+
+    `drawn` has the key, size, rank (null: not in the draw), u (uniform, in the
+    order of the rank within a key), doc_id, tag (unique), left and chosen. Rows
+    larger than the gap can never be taken, and do not stand in the way.
     """
-    sliced = rows.withColumn("slice", F.floor(F.col("u") * slices).cast("int")).withColumn("left", left)
-    sums = sliced.groupBy(*keys, "slice").agg(F.sum("size").alias("inside"))
+    open_ = ~F.col("chosen") & F.col("rank").isNotNull() & (F.col("size") <= F.col("gap"))
+    rows = with_gap(drawn, key).withColumn("fitting", F.when(open_, F.col("size")).otherwise(0))
+    rows = rows.withColumn("slice", F.floor(F.col("u") * slices).cast("int"))
+    sums = rows.groupBy(key, "slice").agg(F.sum("fitting").alias("inside"))
     # at most `slices` rows per key
-    before = Window.partitionBy(*keys).orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sums.withColumn("before", F.coalesce(F.sum("inside").over(before), F.lit(0))).drop("inside")
-    starts = starts.select(*[F.col(k).alias(f"__{k}") for k in keys], F.col("slice").alias("__slice"), "before")
-    same = [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys] + [F.col("slice") == F.col("__slice")]
-    placed = sliced.join(starts, same).drop(*[f"__{k}" for k in keys], "__slice")
-    inside = Window.partitionBy(*keys, "slice").orderBy("rank", "doc_id", "size", "tag")
-    running = F.sum("size").over(inside.rowsBetween(Window.unboundedPreceding, 0))
-    chosen = (F.col("before") + running) <= F.col("left")
-    return placed.withColumn("chosen", chosen).drop("slice", "before")
+    before = Window.partitionBy(key).orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sums.withColumn("before", F.coalesce(F.sum("inside").over(before), F.lit(0)))
+    starts = starts.select(F.col(key).alias("__key"), F.col("slice").alias("__slice"), "before")
+    placed = rows.join(starts, F.col(key).eqNullSafe(F.col("__key")) & (F.col("slice") == F.col("__slice")))
+    inside = Window.partitionBy(key, "slice").orderBy("rank", "doc_id", "size", "tag")
+    running = F.col("before") + F.sum("fitting").over(inside.rowsBetween(Window.unboundedPreceding, 0))
+    chosen = F.col("chosen") | (open_ & (running <= F.col("gap")))
+    return placed.withColumn("chosen", chosen).drop("gap", "fitting", "slice", "before", "__key", "__slice")
 
 
 def fill_gap(drawn: DataFrame, key: str) -> DataFrame:
     """Chooses one more row per key: of those not chosen the one whose size is nearest to the words that miss."""
-    sums = drawn.groupBy(key).agg((F.max("left") - F.sum(F.when(F.col("chosen"), F.col("size")).otherwise(0))).alias("gap"))
-    sums = sums.select(F.col(key).alias("__key"), "gap")
     miss = F.abs(F.col("size") - F.col("gap"))
-    rest = drawn.where(~F.col("chosen") & F.col("rank").isNotNull())
-    rest = rest.join(sums, F.col(key).eqNullSafe(F.col("__key"))).where(miss < F.col("gap"))
+    rest = with_gap(drawn, key).where(~F.col("chosen") & F.col("rank").isNotNull() & (miss < F.col("gap")))
     best = rest.groupBy(key).agg(F.min(F.struct(miss, "rank", "doc_id", "size", "tag")).alias("best"))
-    best = best.select("best.tag").withColumnRenamed("tag", "__tag")
-    joined = drawn.join(best, F.col("tag") == F.col("__tag"), "left")
-    return joined.withColumn("chosen", F.col("chosen") | F.col("__tag").isNotNull()).drop("__tag", "left")
+    joined = drawn.join(best.select(F.col("best.tag").alias("__tag")), F.col("tag") == F.col("__tag"), "left")
+    return joined.withColumn("chosen", F.col("chosen") | F.col("__tag").isNotNull()).drop("__tag")
 
 
 def mix(
@@ -125,9 +133,10 @@ def mix(
     part = F.col("ratio") - F.col("whole")
     rows = rows.withColumn("rank", F.when(part > 0, odds(F.col("u")) / odds(part)))
     left = F.col("target") - F.col("whole") * F.col("source_size")
-    drawn = order_sample(rows, ["source"], left)
-    drawn = drawn.withColumn("chosen", F.col("chosen") & F.col("rank").isNotNull())
-    drawn = fill_gap(landed(drawn, "drawn"), "source")
+    drawn = rows.withColumn("left", left).withColumn("chosen", F.lit(False))
+    for _ in range(ROUNDS):
+        drawn = landed(order_sample(drawn, "source"), "drawn")
+    drawn = fill_gap(drawn, "source")
     extra = F.when(F.col("chosen"), 1).otherwise(0)
     drawn = drawn.withColumn("copies", (F.col("whole") + extra).cast("bigint"))
     return drawn.select(
@@ -185,10 +194,8 @@ WITH s AS (
   FROM s JOIN g ON s.source IS NOT DISTINCT FROM g.source
 ), q AS (
   SELECT *, floor(ratio)::BIGINT AS whole, ratio - floor(ratio) AS p,
-    target - floor(ratio)::BIGINT * source_size AS words_left FROM r
-), d AS (
-  SELECT *, p > 0 AND sum(size) OVER (PARTITION BY source ORDER BY u, doc_id ROWS UNBOUNDED PRECEDING) <= words_left AS chosen
-  FROM q
+    target - floor(ratio)::BIGINT * source_size AS words_left, false AS chosen FROM r
+), ROUNDS
 ), gap AS (
   SELECT source, max(words_left) - coalesce(sum(size) FILTER (WHERE chosen), 0) AS gap FROM d GROUP BY source
 ), best AS (
@@ -201,3 +208,17 @@ SELECT d.doc_id, size, source_size, target,
   whole + CASE WHEN chosen OR best.doc_id IS NOT NULL THEN 1 ELSE 0 END AS copies
 FROM d LEFT JOIN best ON d.doc_id = best.doc_id
 """
+
+
+def _round_sql(number: int) -> str:
+    """One round of the draw over the table of the round before."""
+    old, new = f"q{number - 1}" if number > 1 else "q", "d" if number == ROUNDS else f"q{number}"
+    return f"""g{number} AS (
+  SELECT source, max(words_left) - coalesce(sum(size) FILTER (WHERE chosen), 0) AS gap FROM {old} GROUP BY source
+), {new} AS (
+  SELECT * EXCLUDE (gap, chosen), chosen OR (p > 0 AND size <= gap AND sum(CASE WHEN NOT chosen AND p > 0 AND size <= gap
+      THEN size ELSE 0 END) OVER (PARTITION BY source ORDER BY u, doc_id ROWS UNBOUNDED PRECEDING) <= gap) AS chosen
+  FROM (SELECT {old}.*, gap FROM {old} JOIN g{number} ON {old}.source IS NOT DISTINCT FROM g{number}.source)"""
+
+
+SQL = SQL.replace("ROUNDS\n", "\n), ".join(map(_round_sql, range(1, ROUNDS + 1))) + "\n")
