@@ -222,7 +222,7 @@ def learn(docs: DataFrame, sample: int = SAMPLE, sample_all: int = SAMPLE_ALL, w
 
 
 def predict(docs: DataFrame, **options) -> DataFrame:
-    """All columns of `docs` with held_out, lang_pred and score."""
+    """All columns of `docs` with held_out, lang_pred and score (which replace columns of these names)."""
     small_batches(docs.sparkSession)
     model = learn(docs, **options)
     shared = docs.sparkSession.sparkContext.broadcast((model.net.arrays() if model.net else None, model.names))

@@ -61,25 +61,28 @@ def spread_lines(docs: DataFrame, least: int = LEAST, site: str = SITE_COLUMN) -
 
 
 def remove(docs: DataFrame, least: int = LEAST, site: str = SITE_COLUMN) -> DataFrame:
-    """All rows with their columns, text without boilerplate lines, n_lines (not empty) and n_removed."""
+    """All rows with their columns, text without boilerplate lines, n_lines (not empty) and n_removed.
+
+    The last two replace columns of these names.
+    """
     bad = landed(spread_lines(docs, least, site), "boilerplate")
     key = [F.col("doc_id"), F.xxhash64("text").alias("text_hash")]
     marked = docs.select(*key, F.explode(F.transform(lines(F.col("text")), line_hash)).alias("hash"))
     hit = marked.where(F.col("hash").isNotNull()).join(bad, "hash").groupBy("doc_id", "text_hash")
-    hits = hit.agg(F.collect_set("hash").alias("hashes"))
-    hits = hits.select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"), "hashes")
+    hits = hit.agg(F.collect_set("hash").alias("__hashes"))
+    hits = hits.select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"), "__hashes")
     same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.xxhash64("text") == F.col("__hash"))
     joined = docs.join(hits, same, "left").drop("__id", "__hash")
     pieces = F.transform(lines(F.col("text")), lambda x: F.struct(x.alias("line"), line_hash(x).alias("hash")))
     joined = joined.withColumn("__lines", pieces)
     # null-safe: an empty line has no hash and stays
-    stay = F.filter("__lines", lambda x: ~F.coalesce(F.array_contains("hashes", x["hash"]), F.lit(False)))
+    stay = F.filter("__lines", lambda x: ~F.coalesce(F.array_contains("__hashes", x["hash"]), F.lit(False)))
     clean = F.array_join(F.transform(stay, lambda x: x["line"]), "\n")
     full = F.size(F.filter("__lines", lambda x: x["hash"].isNotNull()))
     left = F.size(F.filter(stay, lambda x: x["hash"].isNotNull()))
     return joined.select(
-        *[c for c in docs.columns if c != "text"],
-        F.when(F.col("hashes").isNull(), F.col("text")).otherwise(clean).alias("text"),
+        *[c for c in docs.columns if c not in ("text", "n_lines", "n_removed")],
+        F.when(F.col("__hashes").isNull(), F.col("text")).otherwise(clean).alias("text"),
         F.coalesce(full, F.lit(0)).cast("bigint").alias("n_lines"),
         F.coalesce(full - left, F.lit(0)).cast("bigint").alias("n_removed"),
     )

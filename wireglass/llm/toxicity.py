@@ -31,7 +31,7 @@ rows, set aside by a hash of the id.
 
 Null and empty texts get the share of toxic labels. If a class has no labelled
 row, all scores are that share. Repeated rows are scored each; repeated labels
-count once per label row. Extra columns are ignored.
+count once per label row. Extra columns are kept.
 """
 
 from __future__ import annotations
@@ -258,8 +258,8 @@ class Model:
         p[[not words(t) for t in texts]] = self.share
         return p
 
-    def score(self, docs: DataFrame) -> DataFrame:
-        """All rows and columns of `docs` with `score`."""
+    def score(self, docs: DataFrame, name: str = "score") -> DataFrame:
+        """All rows and columns of `docs` with the score as column `name`."""
         small_batches(docs.sparkSession)
         shared = docs.sparkSession.sparkContext.broadcast((self.table, self.weights, self.share))
 
@@ -269,7 +269,7 @@ class Model:
             for texts in batches:
                 yield pd.Series(model.probabilities(texts.tolist()))
 
-        return docs.withColumn("score", of("text"))
+        return docs.withColumn(name, of("text"))
 
 
 def fit(docs: DataFrame, labels: DataFrame, slots: int = SLOTS, curve_rows: int = CURVE_ROWS, discount: float = DISCOUNT) -> Model:
@@ -304,7 +304,7 @@ def fit(docs: DataFrame, labels: DataFrame, slots: int = SLOTS, curve_rows: int
 
 
 def predict(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
-    """All columns of `docs`, held_out, score, predicted."""
+    """All columns of `docs`, held_out, score, predicted (which replace columns of these names)."""
     scored = fit(docs, labels, **options).score(docs)
     held = fold(F.col("doc_id")) == HELD_OUT
     return scored.withColumn("held_out", held).withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
@@ -312,5 +312,4 @@ def predict(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
 
 def keep_ordinary(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     """The documents that are not predicted toxic, with their columns."""
-    kept = predict(docs, labels, **options).where("predicted = 0")
-    return kept.select(*docs.columns)
+    return fit(docs, labels, **options).score(docs, "__score").where(F.col("__score") < THRESHOLD).drop("__score")
