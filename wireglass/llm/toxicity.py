@@ -18,8 +18,8 @@ of its own in a class is judged by it; any other word backs off to its longest
 beginning that has some, so that an unseen form of a known stem is recognised.
 
 A text's score compares the two log-likelihoods per word (a repeated pair of words
-counts once), over the whole text and over its worst stretch of STRETCH words; a logistic curve turns both into a
-probability.
+counts once), over the whole text and over its worst stretch of STRETCH words; a logistic curve turns both, and the
+length that makes a bad stretch likelier, into a probability.
 
 Spark counts the words of all labelled texts that are neither held out nor set
 aside for the curve. What is broadcast is a
@@ -50,7 +50,7 @@ from pyspark.sql import functions as F
 from wireglass.llm.common import fold, small_batches
 from wireglass.session import landed
 
-DISCOUNT = 1.5
+DISCOUNT = 2.0
 CLASSES = ("toxic", "ordinary")
 #: Set bits from which the 64 no longer tell numbers apart.
 FULL = 60
@@ -208,8 +208,8 @@ class Ratios(dict):
 
 
 def features(ratios: Ratios, texts) -> np.ndarray:
-    """Per text: log ratio per word, and per word of the worst stretch."""
-    out = np.zeros((len(texts), 2))
+    """Per text: log ratio per word, per word of the worst stretch, and the logarithm of the number of words."""
+    out = np.zeros((len(texts), 3))
     if len(ratios) > HELD_WORDS:
         ratios.clear()
     for row, text in enumerate(texts):
@@ -220,7 +220,7 @@ def features(ratios: Ratios, texts) -> np.ndarray:
             sums = np.zeros(len(found) + 1)
             np.cumsum(np.fromiter(map(ratios.__getitem__, found), float, len(found)), out=sums[1:])
             worst = (sums[STRETCH:] - sums[:-STRETCH]).max() if len(found) >= STRETCH else sums[-1]
-            out[row] = sums[-1] / len(found), worst / STRETCH
+            out[row] = sums[-1] / len(found), worst / STRETCH, np.log1p(len(found))
     return out
 
 
@@ -240,7 +240,7 @@ def fit_curve(features: np.ndarray, labels: np.ndarray, share: float, rounds: in
     return w
 
 
-SCALE = np.array([20.0, 5.0])
+SCALE = np.array([20.0, 5.0, 1.0])
 
 
 class Model:
@@ -282,7 +282,7 @@ def fit(docs: DataFrame, labels: DataFrame, slots: int = SLOTS, curve_rows: int
     learned = learned.select("doc_id", "text", "toxic", (F.abs(F.xxhash64("doc_id")) % 1_000_000).alias("draw"))
     shares = known.agg(F.count("*").alias("n"), F.sum("toxic").alias("toxic")).first()
     if not shares["n"] or not shares["toxic"] or shares["toxic"] == shares["n"]:
-        return Model(None, np.zeros(3), (shares["toxic"] or 0) / shares["n"] if shares["n"] else 0.0)
+        return Model(None, np.zeros(1 + len(SCALE)), (shares["toxic"] or 0) / shares["n"] if shares["n"] else 0.0)
     share = shares["toxic"] / shares["n"]
     # of the labelled rows, those with the smallest draws set the curve: a fifth, but a bounded number
     limit = int(1_000_000 * min(0.2, curve_rows / shares["n"]))
@@ -295,11 +295,11 @@ def fit(docs: DataFrame, labels: DataFrame, slots: int = SLOTS, curve_rows: int
         ratios = Ratios(*shared.value)
         for batch in batches:
             f = features(ratios, batch["text"].tolist())
-            yield pd.DataFrame({"a": f[:, 0], "b": f[:, 1], "toxic": batch["toxic"]})
+            yield pd.DataFrame({"a": f[:, 0], "b": f[:, 1], "c": f[:, 2], "toxic": batch["toxic"]})
 
     sample = learned.where(F.col("draw") < limit).select("text", "toxic")
-    rows = sample.mapInPandas(task, "a double, b double, toxic int").limit(2 * curve_rows).toPandas()
-    weights = fit_curve(rows[["a", "b"]].to_numpy(), rows["toxic"].to_numpy(float), share)
+    rows = sample.mapInPandas(task, "a double, b double, c double, toxic int").limit(2 * curve_rows).toPandas()
+    weights = fit_curve(rows[["a", "b", "c"]].to_numpy(), rows["toxic"].to_numpy(float), share)
     return Model(table, weights, share)
 
 
