@@ -1,10 +1,7 @@
-import os
-import sys
+"""Fixtures of these tests; `spark` is that of the whole suite."""
 
 import pytest
 
-sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-
 
 @pytest.fixture
 def frame(spark):

@@ -2,6 +2,7 @@
 
 import pytest
 
+from llm_fixtures import frame  # noqa: F401
 from wireglass.llm import html
 
 PAGE = """<!DOCTYPE html><html><head><title>x</title><style>p{}</style><script>var t="</p>";</script></head><body>

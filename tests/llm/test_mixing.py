@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from llm_fixtures import frame  # noqa: F401
 from wireglass.llm import mixing
 
 

@@ -2,6 +2,7 @@
 
 import numpy as np
 
+from llm_fixtures import frame  # noqa: F401
 from wireglass.llm import licenses, line_dedup, neighbours
 
 VECTORS = "vec_id long, embedding array<float>, label int"

@@ -3,6 +3,7 @@
 import numpy as np
 from pyspark.sql import functions as F
 
+from llm_fixtures import frame  # noqa: F401
 from wireglass.llm import language, toxicity
 
 DOCS = "doc_id long, text string, lang string, source string, score int"

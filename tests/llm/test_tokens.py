@@ -7,6 +7,7 @@ import numpy as np
 import pyarrow.fs
 import pytest
 
+from llm_fixtures import frame  # noqa: F401
 from wireglass.llm import tokens
 from wireglass.session import shared_dir
 
