@@ -70,24 +70,24 @@ def test_request_json_keeps_nulls(spark):
 
 
 def test_payload(spark):
-    cases = [("/p?THIS+is+a", "body", "THIS+is+a"), ("/p", "a\r\nb\nc", "abc"), ("/p?", "body", ""), ("/p#x?y", "b", "b")]
+    cases = [("/p?one+two", "body", "one+two"), ("/p", "a\r\nb\nc", "abc"), ("/p?", "body", ""), ("/p#x?y", "b", "b")]
     df = spark.createDataFrame([(u, b.encode()) for u, b, _ in cases], "url string, body binary")
     found = df.select(exchange.request_payload(F.col("url"), F.col("body")).alias("p")).collect()
     assert [r["p"] for r in found] == [c[2] for c in cases]
 
 
 def test_routing_by_path(spark):
-    message = "THIS+is+a+test+MESSAGE"
-    df = spark.createDataFrame([(p, message) for p in ("/Upper", "/Lower", "/L/O/N/G/L/O/W/E/R", "/Count", "/x")], "pathInfo string, request string")
+    message = "Kind+of+event:+test+Seen"
+    df = spark.createDataFrame([(p, message) for p in ("/text/loud", "/text/small", "/text/quiet", "/text/shout", "/x")], "pathInfo string, request string")
     request = F.col("request")
     lower = F.lower(request)
-    routes = {"/Upper": F.upper(request), "/Lower": lower, "/L/O/N/G/L/O/W/E/R": lower, "/Count": F.upper(request)}
+    routes = {"/text/loud": F.upper(request), "/text/small": lower, "/text/quiet": lower, "/text/shout": F.upper(request)}
     found = {r["pathInfo"]: r["response"] for r in exchange.route_by_path(df, routes).collect()}
     assert found == {
-        "/Upper": "THIS+IS+A+TEST+MESSAGE",
-        "/Lower": "this+is+a+test+message",
-        "/L/O/N/G/L/O/W/E/R": "this+is+a+test+message",
-        "/Count": "THIS+IS+A+TEST+MESSAGE",
+        "/text/loud": "KIND+OF+EVENT:+TEST+SEEN",
+        "/text/small": "kind+of+event:+test+seen",
+        "/text/quiet": "kind+of+event:+test+seen",
+        "/text/shout": "KIND+OF+EVENT:+TEST+SEEN",
     }
 
 

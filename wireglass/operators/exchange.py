@@ -18,6 +18,9 @@ from wireglass.plans.pinned import pinned
 
 # Defaults of the exchange.
 TIMEOUT = timedelta(seconds=15)
+# Texts a form answer reports.
+NO_FORM_DATA, BAD_PAIR = "ERROR-noFormData", "ERROR-nameValueParse"
+PARAMETERS_MISSING, NAME_MISSING = "ERROR-notRequiredParams", "ERROR-nameRequired"
 # what stands for a status number out of range
 NO_STATUS = -1
 DEFAULT_STATUS = 200
@@ -307,7 +310,7 @@ def form_to_map(df: DataFrame, payload: str = "request") -> DataFrame:
     empty = F.coalesce(F.col(payload), F.lit("")) == ""
     nothing = F.create_map().cast("map<string,string>")
     error = (
-        F.when(empty, "ERROR-noFormData").when(F.array_contains("__all", ""), "ERROR-nameValueParse").otherwise("")
+        F.when(empty, NO_FORM_DATA).when(F.array_contains("__all", ""), BAD_PAIR).otherwise("")
     )
     formdata = F.coalesce(http.first_values(F.col("__names"), F.col("__values")), nothing)
     return pinned(split, {"formdata": formdata, "error": error}).drop("__all", "__entries", "__names", "__values")
@@ -326,8 +329,8 @@ def form_status(df: DataFrame) -> DataFrame:
     )
     text = (
         F.when(F.col("error") != "", F.col("error"))
-        .when(~complete, "ERROR-notRequiredParams")
-        .when(form["name"] == "", "ERROR-nameRequired")
+        .when(~complete, PARAMETERS_MISSING)
+        .when(form["name"] == "", NAME_MISSING)
         .otherwise("")
     )
     return df.withColumn("status", status).withColumn("response", text)
