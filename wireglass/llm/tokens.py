@@ -22,6 +22,7 @@ import re
 import struct
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,10 +40,14 @@ END_ID = 1
 #: Bytes of ids in a frame; a longer document is cut over several frames.
 FRAME_BYTES = 1 << 18
 #: Distinct words whose ids a task remembers; beyond it the memory starts anew.
-REMEMBERED = 300_000
+REMEMBERED = 1_000_000
+#: A mark that stands between words encoded together; words that hold it are encoded alone.
+BETWEEN = "^"
 # fixed values of the seekable format
 INDEX_MAGIC, SEEK_MAGIC, SEEK_END, CHECKSUMS = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1, 0x80
 MANIFEST = "name string, first long, tie long, documents long, ids long"
+#: Bytes of text behind one file; a task that sees much text meets few new words.
+TEXT_BYTES = 256 << 20
 #: Bytes of ids in one batch of a reading task.
 READ_BYTES = 1 << 22
 NULL_ID = -(1 << 63)
@@ -58,39 +63,74 @@ def open_path(folder: str):
 class Encoder:
     """Ids of whole texts, remembering the ids of words.
 
-    The tokenizer's splitting never joins characters across ASCII white space,
-    and its normalisation does not either, so a text's ids are those of its words
-    in a row. Texts that may hold a special token are encoded whole.
+    The tokenizer's splitting never joins characters across white space, and its
+    normalisation does not either, so a text's ids are those of its words in a
+    row. Texts that may hold a special token, or a separator that only Python
+    counts as white space, are encoded whole.
     """
 
-    word = re.compile(r"[^ \t\n\r]+")
+    separators = re.compile("[\x1c-\x1f]")
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.known: dict[str, np.ndarray] = {}
+        self.known: dict[str, bytes] = {}
 
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        split = [None if any(s in t for s in self.special) else self.word.findall(t) for t in texts]
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text as little-endian unsigned 32-bit numbers."""
+        split = [None if any(s in t for s in self.special) or self.separators.search(t) else t.split() for t in texts]
         if len(self.known) > REMEMBERED:
             self.known = {}
         known = self.known
-        new = list({w for words in split if words for w in words if w not in known})
-        for at in range(0, len(new), 10_000):
-            part = new[at : at + 10_000]
-            for w, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                known[w] = np.array(e.ids, "<u4").tobytes()
+        fresh = [w for w in set().union(*[words for words in split if words]) if w not in known]
+        parts = [self._parts(w) for w in fresh]
+        self._learn([p for p in set().union(*parts) if p not in known])
+        for word, part in zip(fresh, parts):
+            known[word] = known[part[0]] if len(part) == 1 else known[part[0]] + known[part[1]]
         out = []
         for text, words in zip(texts, split):
             if words is None:
-                ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-                out.append(np.array(ids, "<u4").tobytes())
+                out.append(array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes())
             else:
                 out.append(b"".join([known[w] for w in words]))
         return out
 
+    @staticmethod
+    def _parts(word: str) -> tuple[str, ...]:
+        """Plain letters in lower case, and the mark behind them; any other word as it is.
+
+        Splitting and lower-casing are what the tokenizer does with such a word itself.
+        """
+        if word[-1] in ".,;:!?" and word.isascii() and word[:-1].isalpha():
+            return word[:-1].lower(), word[-1]
+        return (word.lower() if word.isascii() and word.isalpha() else word,)
+
+    def _learn(self, words: list[str]) -> None:
+        """Ids of new words: plain letters straight from the model, all others in one text, told apart by a mark."""
+        known, tokenize = self.known, self.tokenizer.model.tokenize
+        other = []
+        for word in words:
+            if word.isascii() and word.isalpha():
+                known[word] = array("I", [t.id for t in tokenize(word)]).tobytes()
+            else:
+                other.append(word)
+        mark = self.tokenizer.encode(BETWEEN, add_special_tokens=False).ids
+        together = [w for w in other if BETWEEN not in w] if len(mark) == 1 else []
+        alone = [w for w in other if BETWEEN in w] if len(mark) == 1 else other
+        for at in range(0, len(together), 500):
+            part = together[at : at + 500]
+            joined = self.tokenizer.encode(f" {BETWEEN} ".join(part), add_special_tokens=False)
+            ids = array("I", [*joined.ids, *mark])
+            start = 0
+            for word in part:
+                end = ids.index(mark[0], start)
+                known[word] = ids[start:end].tobytes()
+                start = end + 1
+        for word in alone:
+            known[word] = array("I", self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
+
 
 class Writer:
     """Appends documents to one file."""
@@ -216,7 +256,9 @@ def write(docs: DataFrame, folder: str, tokenizer: str | None = None, end_id: in
     # the hash lets rows that share an id be dealt to several tasks; a null id is the smallest number
     doc_id = F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NULL_ID)).alias("doc_id")
     dealt = docs.select(doc_id, F.xxhash64("text").alias("tie"), "text")
-    dealt = dealt.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie")
+    total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    files = max(-(-total // TEXT_BYTES), docs.sparkSession.sparkContext.defaultParallelism)
+    dealt = dealt.repartitionByRange(files, "doc_id", "tie").sortWithinPartitions("doc_id", "tie")
     return landed(dealt.mapInPandas(task, MANIFEST), "manifest")
 
 
