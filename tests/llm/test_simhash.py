@@ -94,3 +94,20 @@ def test_repeated_rows_nulls_and_keeping_one(frame, spark):
     assert kept.columns == docs.columns
     assert sorted(kept.select(F.coalesce("doc_id", F.lit(-1))).toPandas().iloc[:, 0]) == [-1, 1, 2]
     assert simhash.groups(docs.limit(0)).count() == 0 and simhash.keep_one(docs.limit(0)).count() == 0
+
+
+def kept_rows(docs):
+    return sorted(map(tuple, simhash.keep_one(docs).collect()), key=str)
+
+
+def test_keeping_one_row_of_every_group_not_of_every_id(frame):
+    schema = "doc_id long, text string, root string"
+    lonely, other, same = "lonely text of no id", "other words stand here now", "a b c d e"
+    # two groups without an id; a null id beside a numbered copy does not stand for them
+    rows = [(None, lonely, "s"), (None, other, "s"), (None, other, "r"), (1, same, "s"), (None, same, "s")]
+    assert kept_rows(frame(rows, schema)) == sorted([(None, lonely, "s"), (None, other, "r"), (1, same, "s")], key=str)
+    # one id over two groups: the smallest of the second only
+    rows = [(3, same, None), (5, same, None), (5, other, None), (5, other.upper(), None)]
+    assert kept_rows(frame(rows, schema)) == sorted([(3, same, None), (5, other.upper(), None)], key=str)
+    # and the smallest of both
+    assert len(kept_rows(frame([(5, same, None), (5, other, None), (None, None, "x"), (None, "", "x")], schema))) == 3

@@ -64,8 +64,8 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
     return int.from_bytes(bits.tobytes(), "big", signed=True)
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """doc_id and fingerprint `fp` of every row."""
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE, *more: Column) -> DataFrame:
+    """doc_id and fingerprint `fp` of every row, and `more` columns."""
     small_batches(docs.sparkSession)
 
     @F.pandas_udf("long")
@@ -73,7 +73,7 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
         for texts in batches:
             yield pd.Series([fingerprint(t, shingle) for t in texts], dtype="int64")
 
-    return docs.select("doc_id", of("text").alias("fp"))
+    return docs.select("doc_id", of("text").alias("fp"), *more)
 
 
 def _block(fp: Column, number: int) -> Column:
@@ -150,12 +150,17 @@ def components(edges: DataFrame) -> DataFrame:
         current = landed(small.union(lowest.select("u", F.col("m").alias("v"))).distinct(), "stars")
 
 
+def _rooted(fps: DataFrame) -> DataFrame:
+    """(fp, first, root) of every distinct fingerprint: its smallest doc_id and the fingerprint that names its component."""
+    firsts = fps.groupBy("fp").agg(F.min("doc_id").alias("first"))
+    roots = components(links(firsts.select("fp"))).withColumnRenamed("node", "fp")
+    return firsts.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+
+
 def groups(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """Per row: doc_id, fp, component_id (smallest doc_id of the component)."""
     marked = landed(fingerprints(docs, shingle), "fingerprints")
-    firsts = marked.groupBy("fp").agg(F.min("doc_id").alias("first"))
-    roots = components(links(firsts.select("fp"))).withColumnRenamed("node", "fp")
-    rooted = firsts.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    rooted = _rooted(marked)
     smallest = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
     named = rooted.select("fp", "root").join(smallest, "root").select("fp", "component_id")
     return marked.join(named, "fp").select("doc_id", "fp", "component_id")
@@ -167,16 +172,27 @@ def digest(grouped: DataFrame) -> DataFrame:
     return grouped.select("doc_id", text.alias("fingerprint"), "component_id")
 
 
+def _row_keys() -> list[Column]:
+    """Two 64-bit hashes of doc_id and text, `__a` and `__b`; a hash passes over nulls, so their places are hashed too."""
+    parts = [F.col("doc_id").isNull(), F.col("text").isNull(), F.col("doc_id"), F.col("text")]
+    return [F.xxhash64(*parts).alias("__a"), F.xxhash64(F.lit(SEED), *parts).alias("__b")]
+
+
 def keep_one(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """One row of each group, that of the smallest doc_id, with all its columns.
 
-    Rows that repeat that doc_id are reduced to one (the smallest by text, then
-    by the other columns); groups without any id keep one row.
+    Rows of the group that repeat that doc_id are reduced to one (the smallest by
+    text, then by the other columns); so are the rows of a group without any id.
+    An id that stands in several groups is kept in each of which it is the smallest.
     """
-    chosen = groups(docs, shingle).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    # all rows of a null id: one per fingerprint group is enough, they are told apart by text below
-    ids = chosen.select(F.col("doc_id").alias("__id")).distinct()
-    kept = docs.join(ids, F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi")
-    row = F.min(F.struct("text", *[c for c in docs.columns if c not in ("doc_id", "text")])).alias("__row")
-    one = kept.groupBy("doc_id").agg(row)
-    return one.select(*["doc_id" if c == "doc_id" else F.col(f"__row.{c}").alias(c) for c in docs.columns])
+    marked = landed(fingerprints(docs, shingle, *_row_keys()), "fingerprints")
+    rooted = landed(_rooted(marked).select("fp", "first", "root"), "roots")
+    smallest = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
+    # only these fingerprints can hold a kept row
+    holders = rooted.join(smallest, "root").where(F.col("first").eqNullSafe(F.col("component_id")))
+    rows = marked.join(holders.select("fp", F.col("root").alias("__root"), "component_id"), "fp")
+    rows = rows.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("__a", "__b", "__root").distinct()
+    kept = docs.withColumns(dict(zip(("__a", "__b"), _row_keys()))).join(rows, ["__a", "__b"])
+    row = F.min(F.struct("text", "doc_id", *[c for c in docs.columns if c not in ("doc_id", "text")])).alias("__row")
+    one = kept.groupBy("__root").agg(row)
+    return one.select(*[F.col(f"__row.{c}").alias(c) for c in docs.columns])
