@@ -70,6 +70,20 @@ def test_repeated_passages_are_no_evidence(frame):
     assert ratios["blorkheadish"] > ratios["quolq"] + 1
 
 
+def test_every_expression_with_evidence_counts(frame):
+    """Small shards change no score: nothing is pushed out, and shards that do not stay in memory are read again."""
+    rows = corpus()
+    docs, labels = frame(rows, DOCS), frame([(r[0], r[4]) for r in rows], "doc_id long, toxic int")
+    whole = toxicity.fit(docs, labels)
+    n = len(whole.table[0][0].value[0])
+    split = toxicity.fit(docs, labels, slots=n // 5 + 1)
+    assert len(whole.table[0]) == 1 and len(split.table[0]) == 5 > toxicity.RESIDENT
+    assert sum(len(s.value[0]) for s in split.table[0]) == n
+    want = {r["doc_id"]: r["score"] for r in whole.score(docs).collect()}
+    assert len(set(want.values())) > 100
+    assert {r["doc_id"]: r["score"] for r in split.score(docs.repartition(3)).collect()} == want
+
+
 def test_language_on_held_out_rows(frame):
     rows = corpus()
     docs = frame([*rows, *ODD], DOCS)

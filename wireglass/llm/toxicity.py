@@ -22,11 +22,13 @@ counts once), over the whole text and over its worst stretch of STRETCH words; a
 length that makes a bad stretch likelier, into a probability.
 
 Spark counts the words of all labelled texts that are neither held out nor set
-aside for the curve. What is broadcast is a
-table of fixed size: SLOTS log ratios, each slot holding the most frequent of the
-words that share it, with two check bytes; any other word has the ratio of a word
-without evidence. Words whose discounted counts are zero in both classes need no
-slot. The curve alone is fitted on a bounded sample (CURVE_ROWS) of labelled
+aside for the curve. Every expression with evidence keeps its log ratio, however
+many there are: the table is split by key into shards of about SLOTS expressions
+(their number is measured), each a broadcast of its own. The driver makes one
+shard at a time. Scoring looks up the new words of a bounded piece of the texts
+shard by shard; of many shards a Python worker holds RESIDENT, the others are
+read from the executor's disk in turn. Expressions whose discounted counts are
+zero in both classes have the ratio of an unseen one and need no entry. The curve alone is fitted on a bounded sample (CURVE_ROWS) of labelled
 rows, set aside by a hash of the id.
 
 Null and empty texts get the share of toxic labels. If a class has no labelled
@@ -39,11 +41,13 @@ from __future__ import annotations
 import re
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -55,7 +59,8 @@ CLASSES = ("toxic", "ordinary")
 #: Set bits from which the 64 no longer tell numbers apart.
 FULL = 60
 STRETCH = 20
-SLOTS = 1 << 22
+#: Expressions of one shard, and shards that a worker holds at a time.
+SLOTS, RESIDENT = 1 << 22, 2
 CURVE_ROWS = 20_000
 HELD_OUT = 2
 THRESHOLD = 0.3
@@ -63,8 +68,9 @@ THRESHOLD = 0.3
 STARTS = (8, 6, 5, 4)
 #: Expressions a task counts before it hands them on, and words it remembers while scoring.
 HELD_KEYS, HELD_WORDS = 500_000, 300_000
+#: Characters of the texts whose words are looked up together.
+PIECE = 4_000_000
 WORD = re.compile(r"\w+")
-_MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
 def words(text: str | None) -> list[str]:
@@ -77,12 +83,6 @@ def key_of(word: str) -> int:
     return number - (1 << 64) if number >> 63 else number
 
 
-def slot_of(keys: np.ndarray, slots: int) -> tuple[np.ndarray, np.ndarray]:
-    """Slot and check number of each key."""
-    numbers = keys.astype(np.int64).view(np.uint64)
-    return (numbers % np.uint64(slots)).astype(np.int64), (numbers >> np.uint64(48)).astype(np.uint16)
-
-
 class Expressions(dict):
     """Keys of a word and of its beginnings, longest first."""
 
@@ -147,7 +147,7 @@ def different(texts: Column, bits: Column) -> Column:
 
 
 def log_ratios(counts: DataFrame, discount: float = DISCOUNT) -> tuple[DataFrame, float]:
-    """(key, n, ratio) of the words with evidence, and the ratio of all others: log p_toxic / p_ordinary."""
+    """(key, ratio) of the words with evidence, and the ratio of all others: log p_toxic / p_ordinary."""
     counts = counts.select(
         "key",
         *[different(F.col(c), F.col(f"{c}_before")).alias(c) for c in CLASSES],
@@ -164,63 +164,99 @@ def log_ratios(counts: DataFrame, discount: float = DISCOUNT) -> tuple[DataFrame
     likely = {c: above[c] + backoff[c] * shared for c in CLASSES}
     known = counts.where((above["toxic"] > 0) | (above["ordinary"] > 0))
     ratio = F.log(likely["toxic"] / likely["ordinary"])
-    return known.select("key", F.greatest(*above.values()).alias("n"), ratio.alias("ratio")), float(np.log(backoff["toxic"] / backoff["ordinary"]))
-
-
-def to_slots(ratios: DataFrame, slots: int) -> tuple[np.ndarray, np.ndarray]:
-    """Fixed-size arrays (check number, log ratio): at most `slots` rows reach the driver."""
-
-    @F.pandas_udf("struct<slot:int,mark:int>")
-    def place(keys: pd.Series) -> pd.DataFrame:
-        slot, mark = slot_of(keys.to_numpy(np.int64), slots)
-        return pd.DataFrame({"slot": slot.astype(np.int32), "mark": mark.astype(np.int32)})
-
-    placed = ratios.withColumn("place", place("key"))
-    best = placed.groupBy("place.slot").agg(
-        F.max(F.struct("n", "key", F.col("place.mark").alias("mark"), "ratio")).alias("best")
-    )
-    rows = best.select("slot", F.col("best.mark").alias("mark"), F.col("best.ratio").cast("float").alias("ratio"))
-    marks, values = np.zeros(slots, np.uint16), np.full(slots, np.nan, np.float32)
-    for batch in rows.toArrow().to_batches():
-        slot = batch.column(0).to_numpy()
-        marks[slot] = batch.column(1).to_numpy().astype(np.uint16)
-        values[slot] = batch.column(2).to_numpy()
-    return marks, values
+    return known.select("key", ratio.alias("ratio")), float(np.log(backoff["toxic"] / backoff["ordinary"]))
+
+
+def to_shards(ratios: DataFrame, slots: int) -> list[Broadcast]:
+    """Broadcasts of (sorted keys, log ratios), one per remainder of the key: all rows of `ratios`, `slots` of them at a time on the driver."""
+    spark = ratios.sparkSession
+    n_shards = -(-ratios.count() // slots)
+    rows = ratios.select("key", F.col("ratio").cast("float").alias("ratio"), F.pmod("key", F.lit(max(n_shards, 1))).alias("shard"))
+    if n_shards > 1:
+        # a file holds few shards, so that each is read without the others
+        rows = landed(rows.repartition("shard").sortWithinPartitions("shard"), "ratios")
+    shards = []
+    for shard in range(n_shards):
+        found = rows.where(F.col("shard") == shard).select("key", "ratio").toArrow()
+        keys, values = found.column(0).to_numpy(), found.column(1).to_numpy()
+        order = np.argsort(keys)
+        shards.append(spark.sparkContext.broadcast((keys[order], values[order])))
+    return shards
 
 
 class Ratios(dict):
     """Log ratio by word: that of the word or else of its longest beginning with evidence."""
 
-    def __init__(self, marks: np.ndarray, values: np.ndarray, other: float):
+    def __init__(self, shards: list[Broadcast], other: float):
         super().__init__()
-        self.marks, self.values, self.other, self.keys_of = marks, values, other, Expressions()
+        self.shards, self.other, self.keys_of = shards, other, Expressions()
+
+    def learn(self, found: Iterable[str]) -> None:
+        """Look up the words that are not known yet, all in one turn of the shards."""
+        new = [w for w in dict.fromkeys(found) if w not in self]
+        if not new:
+            return
+        keys = [self.keys_of.__missing__(w) for w in new]
+        self.keys_of.clear()
+        values = self._look_up(np.fromiter(chain.from_iterable(keys), np.int64)).tolist()
+        at = 0
+        for word, some in zip(new, keys):
+            end = at + len(some)
+            # nan is the only value that differs from itself
+            self[word] = next((v for v in values[at:end] if v == v), self.other)
+            at = end
+
+    def _look_up(self, keys: np.ndarray) -> np.ndarray:
+        out = np.full(len(keys), np.nan)
+        home = keys % max(len(self.shards), 1)
+        for number, shard in enumerate(self.shards):
+            mine = np.flatnonzero(home == number)
+            if not len(mine):
+                continue
+            known, values = shard.value
+            if len(known):
+                at = np.minimum(np.searchsorted(known, keys[mine]), len(known) - 1)
+                same = known[at] == keys[mine]
+                out[mine[same]] = values[at[same]]
+            del known, values
+            if len(self.shards) > RESIDENT and number >= RESIDENT - 1:
+                # the next use reads it from disk again
+                vars(shard).pop("_value", None)
+        return out
 
     def __missing__(self, word: str) -> float:
-        found = self.other
-        for key in self.keys_of.__missing__(word):
-            slot, mark = key % len(self.values), (key >> 48) & 0xFFFF
-            if self.marks[slot] == mark and not np.isnan(self.values[slot]):
-                found = float(self.values[slot])
-                break
-        self.keys_of.clear()
-        self[word] = found
-        return found
+        self.learn([word])
+        return self[word]
+
+
+def _pieces(texts) -> Iterator[list[str | None]]:
+    """The texts in runs of about PIECE characters."""
+    piece, size = [], 0
+    for text in texts:
+        piece.append(text)
+        size += len(text or "")
+        if size >= PIECE:
+            yield piece
+            piece, size = [], 0
+    yield piece
 
 
 def features(ratios: Ratios, texts) -> np.ndarray:
     """Per text: log ratio per word, per word of the worst stretch, and the logarithm of the number of words."""
     out = np.zeros((len(texts), 3))
-    if len(ratios) > HELD_WORDS:
-        ratios.clear()
-    for row, text in enumerate(texts):
-        found = words(text)
-        # a pair of words that the text repeats counts at its first place only
-        found = [w for _, w in dict.fromkeys(zip(["", *found], found))]
-        if found:
-            sums = np.zeros(len(found) + 1)
-            np.cumsum(np.fromiter(map(ratios.__getitem__, found), float, len(found)), out=sums[1:])
-            worst = (sums[STRETCH:] - sums[:-STRETCH]).max() if len(found) >= STRETCH else sums[-1]
-            out[row] = sums[-1] / len(found), worst / STRETCH, np.log1p(len(found))
+    row = -1
+    for piece in _pieces(texts):
+        if len(ratios) > HELD_WORDS:
+            ratios.clear()
+        # a pair of words that a text repeats counts at its first place only
+        split = [[w for _, w in dict.fromkeys(zip(["", *found], found))] for found in map(words, piece)]
+        ratios.learn(chain.from_iterable(split))
+        for row, found in enumerate(split, row + 1):
+            if found:
+                sums = np.zeros(len(found) + 1)
+                np.cumsum(np.fromiter(map(ratios.__getitem__, found), float, len(found)), out=sums[1:])
+                worst = (sums[STRETCH:] - sums[:-STRETCH]).max() if len(found) >= STRETCH else sums[-1]
+                out[row] = sums[-1] / len(found), worst / STRETCH, np.log1p(len(found))
     return out
 
 
@@ -261,11 +297,12 @@ class Model:
     def score(self, docs: DataFrame, name: str = "score") -> DataFrame:
         """All rows and columns of `docs` with the score as column `name`."""
         small_batches(docs.sparkSession)
-        shared = docs.sparkSession.sparkContext.broadcast((self.table, self.weights, self.share))
+        # broadcasts travel in the function itself, not inside another broadcast
+        table, weights, share = self.table, self.weights, self.share
 
         @F.pandas_udf("double")
         def of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-            model = Model(*shared.value)
+            model = Model(table, weights, share)
             for texts in batches:
                 yield pd.Series(model.probabilities(texts.tolist()))
 
@@ -288,11 +325,10 @@ def fit(docs: DataFrame, labels: DataFrame, slots: int = SLOTS, curve_rows: int
     limit = int(1_000_000 * min(0.2, curve_rows / shares["n"]))
     counts = count(learned.where(F.col("draw") >= limit).select("text", "toxic"))
     ratios, other = log_ratios(counts, discount)
-    table = (*to_slots(ratios, slots), other)
-    shared = docs.sparkSession.sparkContext.broadcast(table)
+    table = (to_shards(ratios, slots), other)
 
     def task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        ratios = Ratios(*shared.value)
+        ratios = Ratios(*table)
         for batch in batches:
             f = features(ratios, batch["text"].tolist())
             yield pd.DataFrame({"a": f[:, 0], "b": f[:, 1], "c": f[:, 2], "toxic": batch["toxic"]})
