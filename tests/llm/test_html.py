@@ -47,6 +47,15 @@ def test_odd_pages(page, text):
     assert html.main_text(page) == text
 
 
+@pytest.mark.parametrize(
+    "start",
+    ["<head><title>t</title><body>", "<head><meta charset=x><script>1</script>\n", "<head></head><body>", "<head><link rel=x></head>", ""],
+)
+def test_head_left_open(start):
+    assert html.main_text(f"<html>{start}<article><p>text, more text.</p></article>") == "text, more text."
+    assert html.main_text(f"<html>{start}text") == "text"
+
+
 def test_deep_and_long_pages():
     assert html.main_text("<div>" * 3000 + "deep text" + "</div>" * 3000) == "deep text"
     long = "<article>" + "<p>word, word and word again here</p>" * 20_000 + "</article>"

@@ -15,7 +15,8 @@ blocks are trimmed and joined in page order by an empty line.
 
 A null or empty page has an empty text. A page without any container keeps its
 visible blocks. Broken markup (unclosed or stray tags, a page that ends inside a
-tag) is read as far as it goes. Repeated rows are extracted each; extra columns
+tag) is read as far as it goes; a head without its end tag ends where the body's
+first tag or text stands. Repeated rows are extracted each; extra columns
 are kept by `extract`.
 """
 
@@ -46,6 +47,8 @@ ENDS_PARAGRAPH = set(
 # an opening of the key ends an open element of the values, up to the container
 SAME = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 SAME_UNTIL = {"ul", "ol", "dl", "table", "tbody", "thead", "tfoot", "select", "menu"}
+# what may stand in a head; anything else ends a head that was left open
+IN_HEAD = set("html head title meta link base basefont bgsound script style noscript noframes template".split())
 # what is never part of an article
 JUNK_TAGS = set(
     "nav footer aside form button select input option datalist menu dialog object embed canvas audio video map head "
@@ -104,6 +107,8 @@ class Page:
             pieces.clear()
 
         def add(text: str) -> None:
+            if stack[-1][0] == "head" and not text.isspace():
+                pop(len(stack) - 1)
             _, _, junk, link, headings = stack[-1]
             if junk or (headings and not any(t in HEADINGS for t, *_ in stack)):
                 return
@@ -127,6 +132,8 @@ class Page:
             if not name:
                 continue
             name, closing, attributes = name.lower(), bool(found.group(1) or found.group(4)), found.group(3) or found.group(6) or ""
+            if stack[-1][0] == "head" and not closing and name not in IN_HEAD:
+                pop(len(stack) - 1)
             if name == "br" or name == "hr":
                 add(" ")
                 if name == "hr":
