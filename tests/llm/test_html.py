@@ -56,6 +56,40 @@ def test_head_left_open(start):
     assert html.main_text(f"<html>{start}text") == "text"
 
 
+PROSE = "One sentence, long enough to count as prose, and another one, as long."
+
+
+@pytest.mark.parametrize(
+    "attributes",
+    [
+        "class='layout has-sidebar'",
+        "class='main overflow-hidden'",
+        "class='page no-sidebar'",
+        "class='content with-related'",
+        "id='search-result-page'",
+        "class='has-header'",
+        "title='The hidden garden'",
+        "data-hidden='false'",
+        "data-id='search-3'",
+        "data-class=ad",
+        "class='search'",
+        "id=header",
+        "class='sidebar widget-area'",
+    ],
+)
+def test_names_alone_drop_no_article(attributes):
+    aside = "<div class='left-sidebar'>Beside</div><div class=related><article>Card</article></div>"
+    for inner in (f"<article><p>{PROSE}</p></article>", f"<main><p>{PROSE}</p></main>", f"<p>{PROSE}</p>"):
+        assert html.main_text(f"<body>{aside}<div {attributes}>{inner}</div></body>") == PROSE
+    assert html.main_text(f"<body><article><div {attributes}><p>{PROSE}</p></div>{aside}</article></body>") == PROSE
+
+
+@pytest.mark.parametrize("attributes", ["class='x share-box'", "id=cookie-notice", "CLASS=siteFooter", "hidden", "role='search'", "class='ad-300x250'"])
+def test_junk_beside_the_article(attributes):
+    page = f"<main><article><p>{PROSE}</p><div {attributes}>Some more, which is junk.</div></article></main>"
+    assert html.main_text(page) == PROSE
+
+
 def test_deep_and_long_pages():
     assert html.main_text("<div>" * 3000 + "deep text" + "</div>" * 3000) == "deep text"
     long = "<article>" + "<p>word, word and word again here</p>" * 20_000 + "</article>"

@@ -8,7 +8,10 @@ density, the share of its text that stands in links. The best container, widened
 to the article or main element around it, is kept, with those of its siblings
 that score well or are paragraphs of text. Menus, headers, footers, sidebars,
 notices, adverts, forms, scripts, styles and comments are no candidates: they are
-known by their elements, roles and the words of their class and id.
+known by their elements, roles and the names in their class and id. A name must be
+made of such words as a whole ("site-footer", not "has-footer"), and is only a
+hint: an element with an article or most of the page's text stays a candidate,
+of half its points.
 
 Character references are decoded, white space inside a block becomes one space,
 blocks are trimmed and joined in page order by an empty line.
@@ -63,17 +66,29 @@ JUNK_WORDS = set(
     "sidebar sidebars sidenav signup skip social sponsor sponsored sponsors subscribe subscription subscriptions tagcloud teaser teasers toc toolbar "
     "topbar trending widget widgets".split()
 )
+#: Parts of a name that say nothing of their own: "share-box", "left-sidebar".
+PLAIN_WORDS = set(
+    "area articles bar bars block blocks body bottom box btn button buttons col column container desktop div el elem element entries "
+    "entry form full global group head heading icon icons id img inner item items js label left line link links list lists "
+    "lower main mini mobile module my node outer page pane panel primary region right row secondary section side site "
+    "small sub tab text thread title top unit upper view wrap wrapper zone posts news stories".split()
+)
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 SHARES = (1.0, 0.5, 1 / 6, 1 / 9, 1 / 12)
 #: A sibling is kept from this share of the best score on.
 SIBLING = 0.2
+#: Shares of a page's text that make an article its story, and a container too large to be judged by its name.
+STORY, MOST = 0.25, 0.5
+#: What is left of the points of a container that has a junk name all the same.
+LOWERED = 0.5
 
 TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
     r"|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)",
     re.S,
 )
-ATTRIBUTE = re.compile(r"\b(class|id|role|style|hidden|aria-hidden|itemprop)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
+# one attribute: its whole name, and its value in one of three groups
+ATTRIBUTE = re.compile(r"([^\s\"'<>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 NAME_WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 INVISIBLE = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
@@ -84,7 +99,12 @@ class Page:
     def __init__(self, html: str):
         self.parent, self.tag, self.text, self.links, self.points = [-1], ["#root"], [0], [0], [0.0]
         self.blocks: list[tuple[int, str]] = []
+        # elements whose name alone says junk or header, until the whole page is known
+        self.named: dict[int, str] = {}
+        self.lowered: set[int] = set()
         self._read(html)
+        if self.named:
+            self._judge()
         self._score()
 
     def _read(self, html: str) -> None:
@@ -180,6 +200,10 @@ class Page:
                 element = len(self.tag) - 1
             if not junk:
                 kind = self._kind(name, attributes, stack)
+                if kind.startswith("named "):
+                    kind = kind.removeprefix("named ")
+                    if name not in INLINE:
+                        self.named[element], kind = kind, ""
                 junk, headings = kind == "junk", headings or kind == "header"
             stack.append((name, element, junk, link or name == "a", headings))
         pop(1)
@@ -194,6 +218,7 @@ class Page:
             return "header" if inside else "junk"
         if not attributes or name in ("html", "body", "main"):
             return ""
+        named = ""
         for found in ATTRIBUTE.finditer(attributes):
             key, value = found.group(1).lower(), found.group(2) or found.group(3) or found.group(4) or ""
             if key == "hidden" or (key == "aria-hidden" and value.lower() == "true"):
@@ -203,12 +228,50 @@ class Page:
             if key == "role" and value.lower() in JUNK_ROLES:
                 return "junk"
             if key in ("class", "id"):
-                words = {w.lower() for w in NAME_WORDS.findall(value)}
-                if words & JUNK_WORDS and not (name == "article" and "comment" not in words and "comments" not in words):
-                    return "junk"
-                if "header" in words and name not in HEADINGS:
-                    return "header" if inside else "junk"
-        return ""
+                for token in value.split():
+                    words = {w.lower() for w in NAME_WORDS.findall(token)}
+                    if not all(w in JUNK_WORDS or w in PLAIN_WORDS or w == "header" or w.isdigit() or len(w) == 1 for w in words):
+                        continue
+                    if words & JUNK_WORDS and not (name == "article" and not words & {"comment", "comments"}):
+                        named = "named junk"
+                    elif "header" in words and name not in HEADINGS and not named:
+                        named = "named header" if inside else "named junk"
+        return named
+
+    def _judge(self) -> None:
+        """Drop the blocks of elements with a junk name, but for those that hold the page's story or most of its text."""
+        size, last, text = len(self.tag), list(range(len(self.tag))), list(self.text)
+        # elements are in page order: those inside one are the numbers up to its last
+        for element in range(size - 1, 0, -1):
+            above = self.parent[element]
+            text[above] += text[element]
+            last[above] = max(last[above], last[element])
+        stories = [e for e in range(1, size) if self.tag[e] in ("article", "main") and e not in self.named and text[e] >= STORY * text[0] > 0]
+        dropped = dict.fromkeys(range(size), "")
+        heading = [False] * size
+        for element in range(1, size):
+            above = self.parent[element]
+            dropped[element] = dropped[above]
+            heading[element] = heading[above] or self.tag[element] in HEADINGS
+            kind = self.named.get(element)
+            if not kind or dropped[element] == "junk":
+                continue
+            holds = any(element <= s <= last[element] for s in stories)
+            # a story beside it, neither around nor within, leaves no doubt about the name
+            beside = any(s > last[element] or last[s] < element for s in stories)
+            if holds or (text[element] > MOST * text[0] and not beside):
+                self.lowered.add(element)
+            else:
+                dropped[element] = kind
+        kept = [(e, t) for e, t in self.blocks if not dropped[e] or (dropped[e] == "header" and heading[e])]
+        if not kept:
+            # names alone do not empty a page
+            self.lowered.update(self.named)
+            return
+        if len(kept) < len(self.blocks):
+            for element in {e for e, _ in self.blocks if dropped[e] and not (dropped[e] == "header" and heading[e])}:
+                self.text[element] = self.links[element] = 0
+            self.blocks = kept
 
     def _above(self, element: int) -> Iterator[int]:
         while element > 0:
@@ -222,6 +285,8 @@ class Page:
             start = self.parent[element] if self.tag[element] in ("p", "pre", "li", "td", "blockquote", *HEADINGS) else element
             for share, above in zip(SHARES, self._above(start)):
                 self.points[above] += share * points
+        for element in self.lowered:
+            self.points[element] *= LOWERED
         for element in range(len(self.tag) - 1, 0, -1):
             self.text[self.parent[element]] += self.text[element]
             self.links[self.parent[element]] += self.links[element]
