@@ -117,3 +117,20 @@ def test_size_bounds_lose_no_template():
                 best = max(best, 2 * sum((bag & other).values()) / (sum(bag.values()) + sum(other.values())))
             found = matcher.match(change)
             assert (found[1] if found else 0) == (best if best >= licenses.LEAST - 1e-12 else 0)
+
+
+def test_what_follows_a_copyright_statement(frame):
+    texts = {
+        "Copyright (c) 2024 Acme Ltd. All rights reserved.": ["proprietary"],
+        "Copyright 2024 Acme Ltd, All Rights Reserved": ["proprietary"],
+        "  © 2024 Acme. Licensed under CC BY 4.0.": ["CC-BY-4.0"],
+        "Copyright © 2019 - 2024 J. R. Smith | Licensed under CC BY-SA 4.0.": ["CC-BY-SA-4.0"],
+        "(c) 2024 Acme - Released under the MIT License.": ["MIT"],
+        "Copyright (c) 2024 J. R. Smith and others": [],
+        "Copyright (c) 2024 Acme Inc.": [],
+    }
+    assert {t: sorted({n for n, _ in licenses.Matcher().scan(t)}) for t in texts} == texts
+    got = licenses.scan(frame([(1, next(iter(texts)))], "doc_id long, text string")).first()
+    assert (got["license"], got["dice"], got["n_passages"]) == ("proprietary", 1.0, 1)
+    # a wrapped line of a licence is no statement
+    assert licenses.normalised("the above\ncopyright notice and\nCOPYRIGHT HOLDERS BE") == "the above copyright notice and copyright holders be".split()

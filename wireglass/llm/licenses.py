@@ -2,7 +2,8 @@
 
 A text's passages are its lines, its paragraphs (runs of lines without an empty
 one) and the whole text. Passage and template are normalised alike: lower case,
-words of letters and digits, copyright lines dropped. With A and B their bags of
+words of letters and digits, copyright statements (not what follows them on their
+line) dropped. With A and B their bags of
 word bigrams the coefficient is 2 |A and B| / (|A| + |B|). It cannot reach LEAST
 unless |A| lies between LEAST / (2 - LEAST) and (2 - LEAST) / LEAST times |B|, so
 only templates of that size are compared, and of these only the ones that share
@@ -26,7 +27,13 @@ from wireglass.llm.common import small_batches
 
 LEAST = 0.8
 WORD = re.compile(r"[^\W_]+")
-COPYRIGHT = re.compile(r"^\W*(?:copyright\b|\(c\)|©).*$", re.I | re.M)
+# a statement at the start of a line ends with its sentence, at a bar or dash, or where a licence begins
+COPYRIGHT = re.compile(
+    r"^\W*(?:copyright\b(?!\s+(?:notices?|holders?|owners?|laws?|licen[cs]es?|statements?|and|or|in|is)\b)|\(c\)|©)"
+    r".*?(?:(?<![\s.][a-z])[.;](?=\s)|\s[|•·](?=\s)|\s[-–—]+(?=\s+[^\W\d])|$"
+    r"|(?=\b(?:(?:all|some)\s+rights\s+reserved|(?:is\s+)?(?:licensed|released|distributed)\s+under|permission\s+is\s+hereby)\b))",
+    re.I | re.M,
+)
 
 # The wording of public licences and of the notices that name them.
 _WARRANTY_MIT = (
