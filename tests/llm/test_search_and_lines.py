@@ -134,3 +134,36 @@ def test_what_follows_a_copyright_statement(frame):
     assert (got["license"], got["dice"], got["n_passages"]) == ("proprietary", 1.0, 1)
     # a wrapped line of a licence is no statement
     assert licenses.normalised("the above\ncopyright notice and\nCOPYRIGHT HOLDERS BE") == "the above copyright notice and copyright holders be".split()
+
+
+def test_notices_inside_long_texts(frame):
+    """Notices of several paragraphs, and inside lines, wherever they stand."""
+    long = {n: t for n, t in licenses.TEMPLATES if len(t) > 500}
+    prose = "\n\n".join(f"Chapter {k}. The house by the river, and the software of the year, are described in part {k}." for k in range(400))
+
+    def parted(text, *ends):
+        for end in ends:
+            assert end in text
+            text = text.replace(end, end + "\n\n")
+        return text
+
+    mit = parted(long["MIT"], "following conditions:", "portions of the Software.")
+    bsd = parted(long["BSD-3-Clause"], "are met:", "this list of conditions and the following disclaimer. ", "distribution. ", "permission. ")
+    gpl = parted(long["GPL-3.0-or-later"], "any later version.", "for more details.")
+    rows = [
+        (1, f"{prose}\n\nMIT License\n\nCopyright (c) 2024 Somebody\n\n{mit}\n\n{prose}"),
+        (2, f"{prose}\n\n{bsd}\n\n{prose}"),
+        (3, f"{prose}\n\n{gpl}\n\n{prose}"),
+        (4, "This is a book. Released under the MIT License. More prose follows here, and more."),
+        (5, "The tool, which is licensed under CC BY 4.0, was written in a winter and is used by few people in the city."),
+        (6, f"{prose}\n\n{mit}\n\n{prose}\n\n{bsd}\n\n{mit}\n\n{prose}"),
+        (7, prose),
+        (8, f"{prose} {mit.replace('any person', 'any good person of the town').replace('without limitation', 'with no limits')} {prose}"),
+    ]
+    got = {r["doc_id"]: r for r in licenses.scan(frame(rows, "doc_id long, text string")).collect()}
+    assert (got[1]["licenses"], got[1]["dice"], got[1]["n_passages"]) == (["MIT"], 1.0, 2)
+    assert (got[2]["licenses"], got[2]["dice"], got[2]["n_passages"]) == (["BSD-3-Clause"], 1.0, 1)
+    assert (got[3]["licenses"], got[3]["dice"], got[3]["n_passages"]) == (["GPL-3.0-or-later"], 1.0, 1)
+    assert (got[4]["licenses"], got[5]["licenses"]) == (["MIT"], ["CC-BY-4.0"])
+    assert (got[6]["licenses"], got[6]["n_passages"]) == (["BSD-3-Clause", "MIT"], 3)
+    assert got[7]["license"] is None and got[8]["license"] == "MIT" and 0.9 < got[8]["dice"] < 1

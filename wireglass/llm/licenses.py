@@ -1,7 +1,11 @@
 """License scans: normalised passages compared to licence templates by the Dice coefficient over word bigrams.
 
 A text's passages are its lines, its paragraphs (runs of lines without an empty
-one) and the whole text. Passage and template are normalised alike: lower case,
+one), the whole text, its sentences, and windows of words wherever a template of
+WINDOW words or more may stand: over several paragraphs of a long text, or inside
+a line. Sentences and windows count only where at least half of their words are
+in no passage found before. Windows are looked for in texts that hold enough of
+a template's bigrams, from bigram to bigram that the template has. Passage and template are normalised alike: lower case,
 words of letters and digits, copyright statements (not what follows them on their
 line) dropped. With A and B their bags of
 word bigrams the coefficient is 2 |A and B| / (|A| + |B|). It cannot reach LEAST
@@ -18,6 +22,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -26,7 +31,10 @@ from pyspark.sql import functions as F
 from wireglass.llm.common import small_batches
 
 LEAST = 0.8
+#: Words of the shortest template that is looked for inside sentences; shorter ones are only mentioned there.
+WINDOW = 5
 WORD = re.compile(r"[^\W_]+")
+SENTENCE = re.compile(r"(?<=[.!?;:])\s+")
 # a statement at the start of a line ends with its sentence, at a bar or dash, or where a licence begins
 COPYRIGHT = re.compile(
     r"^\W*(?:copyright\b(?!\s+(?:notices?|holders?|owners?|laws?|licen[cs]es?|statements?|and|or|in|is)\b)|\(c\)|©)"
@@ -62,6 +70,13 @@ _BSD_WARRANTY = (
     "WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF "
     "THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
 )
+_GNU_NOTICE = (
+    "This program is free software: you can redistribute it and/or modify it under the terms of the GNU {name} as published "
+    "by the Free Software Foundation, either version {version} of the License, or (at your option) any later version. This "
+    "program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of "
+    "MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU {name} for more details. You should have received a copy "
+    "of the GNU {name} along with this program. If not, see <https://www.gnu.org/licenses/>."
+)
 TEMPLATES: tuple[tuple[str, str], ...] = (
     ("MIT", "MIT License"),
     ("MIT", "Released under the MIT License."),
@@ -118,6 +133,46 @@ TEMPLATES: tuple[tuple[str, str], ...] = (
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
     ("CC-BY-NC-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
     ("proprietary", "All rights reserved."),
+    ("GPL-2.0-or-later", _GNU_NOTICE.format(name="General Public License", version="2")),
+    ("LGPL-2.1-or-later", _GNU_NOTICE.format(name="Lesser General Public License", version="2.1")),
+    ("LGPL-3.0-or-later", _GNU_NOTICE.format(name="Lesser General Public License", version="3")),
+    ("AGPL-3.0-or-later", _GNU_NOTICE.format(name="Affero General Public License", version="3")),
+    ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2."),
+    ("LGPL-3.0", "GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007"),
+    ("LGPL-2.1", "GNU LESSER GENERAL PUBLIC LICENSE Version 2.1, February 1999"),
+    ("AGPL-3.0", "GNU AFFERO GENERAL PUBLIC LICENSE Version 3, 19 November 2007"),
+    ("BSD-2-Clause", "Licensed under the BSD 2-Clause License."),
+    ("BSD-3-Clause", "Licensed under the BSD 3-Clause License."),
+    ("ISC", "Licensed under the ISC License."),
+    ("MPL-2.0", "Licensed under the Mozilla Public License, version 2.0."),
+    ("CC-BY-ND-4.0", "Licensed under CC BY-ND 4.0."),
+    ("CC-BY-ND-4.0", "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License."),
+    ("CC-BY-NC-SA-4.0", "Licensed under CC BY-NC-SA 4.0."),
+    (
+        "CC-BY-NC-SA-4.0",
+        "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License.",
+    ),
+    ("CC-BY-NC-ND-4.0", "Licensed under CC BY-NC-ND 4.0."),
+    (
+        "CC-BY-NC-ND-4.0",
+        "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License.",
+    ),
+    (
+        "Unlicense",
+        "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, "
+        "compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, "
+        "commercial or non-commercial, and by any means.",
+    ),
+    (
+        "Zlib",
+        "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable "
+        "for any damages arising from the use of this software. Permission is granted to anyone to use this software for any "
+        "purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following "
+        "restrictions: 1. The origin of this software must not be misrepresented; you must not claim that you wrote the original "
+        "software. If you use this software in a product, an acknowledgment in the product documentation would be appreciated "
+        "but is not required. 2. Altered source versions must be plainly marked as such, and must not be misrepresented as being "
+        "the original software. 3. This notice may not be removed or altered from any source distribution.",
+    ),
 )
 
 
@@ -144,6 +199,7 @@ class Matcher:
         for k, bag in enumerate(self.bags):
             for pair, n in bag.items():
                 self.index.setdefault(pair, []).append((k, n))
+        self.pairs = frozenset(self.index)
 
     def match(self, words: list[str]) -> tuple[str, float] | None:
         """Best template of a passage, if its coefficient reaches the threshold."""
@@ -163,26 +219,108 @@ class Matcher:
     def scan(self, text: str | None) -> list[tuple[str, float]]:
         """(licence, coefficient) of every matching passage of a text."""
         found = []
-        rows = [normalised(line) for line in (text or "").split("\n")]
-        for words in rows:
+        lines = (text or "").split("\n")
+        rows = [normalised(line) for line in lines]
+        # the words of a row start at its place in the text; passages found are marked there
+        starts = [0, *accumulate(map(len, rows))]
+        taken = bytearray(starts[-1])
+
+        def take(hit: tuple[str, float], start: int, end: int) -> None:
+            found.append(hit)
+            taken[start:end] = b"\1" * (end - start)
+
+        for row, words in enumerate(rows):
             if words and (hit := self.match(words)):
-                found.append(hit)
+                take(hit, starts[row], starts[row + 1])
         # paragraphs of several lines; the whole text if it has several paragraphs
-        run: list[list[str]] = []
-        runs = 0
-        for words, line in zip([*rows, []], [*(text or "").split("\n"), ""]):
+        paragraphs, first = [], None
+        for row, line in enumerate([*lines, ""]):
             if line.strip():
-                run.append(words)
-                continue
-            if run:
-                runs += 1
-                if len(run) > 1 and (hit := self.match(self._joined(run))):
-                    found.append(hit)
-            run = []
-        if runs > 1 and (hit := self.match(self._joined(rows))):
-            found.append(hit)
+                first = row if first is None else first
+            elif first is not None:
+                paragraphs.append((first, row))
+                first = None
+        for first, end in paragraphs:
+            if end - first > 1 and (hit := self.match(self._joined(rows[first:end]))):
+                take(hit, starts[first], starts[end])
+        if len(paragraphs) > 1 and (hit := self.match(self._joined(rows))):
+            take(hit, 0, starts[-1])
+
+        def free(start: int, end: int) -> bool:
+            return 2 * taken.count(1, start, end) <= end - start
+
+        words = [w for r in rows for w in r]
+        pairs = list(zip(words, words[1:]))
+        likely = self._likely(pairs)
+        if not likely:
+            return found
+        for first, end in paragraphs:
+            parts = SENTENCE.split(COPYRIGHT.sub(" ", "\n".join(lines[first:end])).strip())
+            at = starts[first]
+            for part in parts if len(parts) > 1 else ():
+                sentence = WORD.findall(part.lower())
+                if sentence and free(at, at + len(sentence)) and (hit := self.match(sentence)):
+                    take(hit, at, at + len(sentence))
+                at += len(sentence)
+        windows = [w for k in likely if self.sizes[k] + 1 >= WINDOW for w in self._windows(k, pairs)]
+        for dice, k, start, end in sorted(windows, key=lambda w: (-w[0], w[1], w[2])):
+            if free(start, end):
+                take((self.names[k], dice), start, end)
         return found
 
+    def _likely(self, pairs: list[tuple]) -> list[int]:
+        """Templates of which a text holds enough bigrams for any passage of it to match."""
+        bound: Counter = Counter()
+        for pair in set(pairs) & self.pairs:
+            for k, n in self.index[pair]:
+                bound[k] += n
+        return sorted(k for k, n in bound.items() if n >= self.share * self.sizes[k])
+
+    def _windows(self, k: int, pairs: list[tuple]) -> list[tuple[float, int, int, int]]:
+        """(coefficient, template, first word, end) of the best windows of words for a template, none over another."""
+        bag, size = self.bags[k], self.sizes[k]
+        hits = [i for i, pair in enumerate(pairs) if pair in bag]
+        best: list[tuple[float, int, int]] = []
+        # as long as the template, and as much longer as a passage can be
+        for longest in (size, int(size * 1.25), int(size / self.share)):
+            inside: Counter = Counter()
+            shared = left = 0
+            peaks: list[tuple[float, int, int]] = []
+            for right, at in enumerate(hits):
+                inside[pairs[at]] += 1
+                shared += inside[pairs[at]] <= bag[pairs[at]]
+                while hits[left] <= at - longest:
+                    old = pairs[hits[left]]
+                    shared -= inside[old] <= bag[old]
+                    inside[old] -= 1
+                    left += 1
+                dice = 2 * shared / (at - hits[left] + 1 + size)
+                # a little less may still win when its ends are cut
+                if dice < self.least / 1.5:
+                    continue
+                if not peaks or left > peaks[-1][2]:
+                    peaks.append((dice, left, right))
+                elif dice > peaks[-1][0]:
+                    peaks[-1] = (dice, left, right)
+            best += [self._cut(bag, size, pairs, hits, left, right) for _, left, right in peaks]
+        return [(d, k, hits[a], hits[b] + 2) for d, a, b in best if d >= self.least - 1e-12]
+
+    @staticmethod
+    def _cut(bag: Counter, size: int, pairs: list[tuple], hits: list[int], left: int, right: int) -> tuple[float, int, int]:
+        """The best coefficient of a window when hits at its start, then at its end, are left out."""
+        inside: Counter = Counter()
+        shared, best = 0, (0.0, left, right)
+        for a in range(right, left - 1, -1):
+            inside[pairs[hits[a]]] += 1
+            shared += inside[pairs[hits[a]]] <= bag[pairs[hits[a]]]
+            best = max(best, (2 * shared / (hits[right] - hits[a] + 1 + size), a, right))
+        left, inside, shared = best[1], Counter(), 0
+        for b in range(left, right + 1):
+            inside[pairs[hits[b]]] += 1
+            shared += inside[pairs[hits[b]]] <= bag[pairs[hits[b]]]
+            best = max(best, (2 * shared / (hits[b] - hits[left] + 1 + size), left, b))
+        return best
+
     def _joined(self, rows: list[list[str]]) -> list[str]:
         # a passage far too long is not put together
         return [w for r in rows for w in r] if sum(map(len, rows)) - 1 <= self.longest else []
