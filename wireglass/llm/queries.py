@@ -15,6 +15,7 @@ from wireglass.llm import (
     mixing,
     neighbours,
     simhash,
+    token_counts,
     tokens,
     toxicity,
 )
@@ -68,6 +69,11 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest(found)
 
 
+def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counted = token_counts.count(table(spark, sf_dir, "documents"))
+    return counted.select("doc_id", "n_bytes", "n_tokens", "over_limit")
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -81,6 +87,7 @@ QUERIES: dict[str, Query] = {
         op8_simhash,
         op9_licenses,
         op10_decontaminate,
+        op11_token_counts,
     )
 }
 ORACLES: dict[str, str] = {"op2_line_dedup": line_dedup.SQL, "op5_mixing": mixing.SQL, "op10_decontaminate": decontaminate.SQL}
