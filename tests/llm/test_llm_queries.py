@@ -16,7 +16,7 @@ def test_against_sql(spark, name):
     assert difference(QUERIES[name](spark, SMALL), connect(SMALL), ORACLES[name]) is None
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES) - {"op6_neighbours"}))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES) - {"op6_neighbours", "op13_hard_negatives"}))
 def test_one_row_each(spark, name):
     table = "pages" if name.startswith("op1_") else "documents"
     assert QUERIES[name](spark, SMALL).count() == spark.read.parquet(f"{SMALL}/{table}.parquet").count()

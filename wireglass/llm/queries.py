@@ -14,6 +14,7 @@ from wireglass.llm import (
     line_dedup,
     mixing,
     neighbours,
+    ranked_search,
     simhash,
     token_counts,
     tokens,
@@ -74,6 +75,10 @@ def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.select("doc_id", "n_bytes", "n_tokens", "over_limit")
 
 
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -88,6 +93,12 @@ QUERIES: dict[str, Query] = {
         op9_licenses,
         op10_decontaminate,
         op11_token_counts,
+        op12_ranked_search,
     )
 }
-ORACLES: dict[str, str] = {"op2_line_dedup": line_dedup.SQL, "op5_mixing": mixing.SQL, "op10_decontaminate": decontaminate.SQL}
+ORACLES: dict[str, str] = {
+    "op2_line_dedup": line_dedup.SQL,
+    "op5_mixing": mixing.SQL,
+    "op10_decontaminate": decontaminate.SQL,
+    "op12_ranked_search": ranked_search.SQL,
+}
