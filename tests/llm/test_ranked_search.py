@@ -87,7 +87,7 @@ def shard_of(docs, items):
     found = [rs.terms(t) for _, t in docs]
     wanted = [Counter(rs.terms(t)) for _, t in items]
     df = Counter(w for t in found for w in set(t))
-    asked = rs.Asked(wanted, len(docs), sum(map(len, found)), df)
+    asked = rs.Asked.weigh(wanted, len(docs), sum(map(len, found)), df)
     return asked, [rs.Document(i, t, asked) for (i, _), t in zip(docs, found)]
 
 

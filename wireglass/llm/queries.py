@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from wireglass.llm import (
     decontaminate,
+    hard_negatives,
     html,
     language,
     licenses,
@@ -79,6 +81,13 @@ def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = hard_negatives.quantised(vectors.withColumn("label", moved))
+    return hard_negatives.mine(rows, rows.where("vec_id % 100 = 0"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -94,6 +103,7 @@ QUERIES: dict[str, Query] = {
         op10_decontaminate,
         op11_token_counts,
         op12_ranked_search,
+        op13_hard_negatives,
     )
 }
 ORACLES: dict[str, str] = {
@@ -101,4 +111,5 @@ ORACLES: dict[str, str] = {
     "op5_mixing": mixing.SQL,
     "op10_decontaminate": decontaminate.SQL,
     "op12_ranked_search": ranked_search.SQL,
+    "op13_hard_negatives": hard_negatives.SQL,
 }

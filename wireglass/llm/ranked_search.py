@@ -78,14 +78,18 @@ def share(tf, norm):
 class Asked:
     """The items of one block: their terms with weights, by number of the term."""
 
-    def __init__(self, items: list[Counter], n_docs: int, n_terms: int, df: dict[bytes, int]):
-        self.n_docs, self.n_terms = n_docs, n_terms
+    def __init__(self, number: dict[bytes, int], items: list[tuple[np.ndarray, np.ndarray]], n_docs: int, n_terms: int):
+        self.number, self.items, self.n_docs, self.n_terms = number, items, n_docs, n_terms
+
+    @classmethod
+    def weigh(cls, items: list[Counter], n_docs: int, n_terms: int, df: dict[bytes, int]) -> Asked:
         known = sorted({t for item in items for t in item if df.get(t) and weight(n_docs, df[t]) > 0})
-        self.number = {t: i for i, t in enumerate(known)}
-        self.items: list[tuple[np.ndarray, np.ndarray]] = []
+        number = {t: i for i, t in enumerate(known)}
+        weighed = []
         for item in items:
-            pairs = sorted((self.number[t], c * weight(n_docs, df[t])) for t, c in item.items() if t in self.number)
-            self.items.append((np.array([p[0] for p in pairs], np.int64), np.array([p[1] for p in pairs], np.int64)))
+            pairs = sorted((number[t], c * weight(n_docs, df[t])) for t, c in item.items() if t in number)
+            weighed.append((np.array([p[0] for p in pairs], np.int64), np.array([p[1] for p in pairs], np.int64)))
+        return cls(number, weighed, n_docs, n_terms)
 
 
 def _hashes(found: Counter) -> np.ndarray:
@@ -255,10 +259,12 @@ def statistics(docs: DataFrame, wanted: frozenset[bytes]) -> tuple[int, int, dic
 
 def _answers(docs: DataFrame, keys: list[str], asked: Asked, k: int) -> DataFrame:
     """(key, doc_id, score): the k best of every task for each item of a block."""
-    shared = docs.sparkSession.sparkContext.broadcast((keys, asked))
+    # plain values: classes of this module travel in the function, not in the broadcast
+    shared = docs.sparkSession.sparkContext.broadcast((keys, (asked.number, asked.items, asked.n_docs, asked.n_terms)))
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, asked = shared.value
+        keys, parts = shared.value
+        asked = Asked(*parts)
         hashes = _hashes(asked.number)
         best = [Best(k) for _ in keys]
         for block in _blocks(batches, asked):
@@ -290,7 +296,7 @@ def search(docs: DataFrame, items: DataFrame, k: int = K) -> DataFrame:
         rows = texts.where(F.pmod(F.xxhash64("key"), F.lit(blocks)) == block).collect()
         keys, wanted = [r["key"] for r in rows], [Counter(terms(r["text"])) for r in rows]
         n_docs, n_terms, df = statistics(docs, frozenset().union(*wanted))
-        answers = _answers(docs, keys, Asked(wanted, n_docs, n_terms, df), k) if n_docs else found.limit(0)
+        answers = _answers(docs, keys, Asked.weigh(wanted, n_docs, n_terms, df), k) if n_docs else found.limit(0)
         # of several blocks each is finished before the next is asked
         found = found.union(landed(answers, "answers")) if blocks > 1 else answers
     order = [F.desc("score"), F.asc_nulls_last("doc_id")]
