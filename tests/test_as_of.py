@@ -1,0 +1,171 @@
+"""Requests answered as of their own time: any window, any subset of keys, texts."""
+
+import json
+import random
+from datetime import datetime, timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from wireglass.operators import as_of, view
+from wireglass.operators.view import ViewSpec
+
+SECOND = timedelta(seconds=1)
+START = datetime(2024, 1, 1)
+ORDER = ["ts", "id"]
+
+
+def made(seed, n=90):
+    """Tuples with ties in time, gaps, a hot key, and punctuations."""
+    draw, at, rows = random.Random(seed), START, []
+    for i in range(n):
+        at += SECOND * draw.choice([0, 0, 1, 1, 2, 9])
+        user = 1 if draw.random() < 0.5 else draw.randint(2, 4)
+        rows.append((i, at, user, draw.choice("ab"), draw.randint(0, 12), draw.random() < 0.1))
+    return rows
+
+
+SCHEMA = "id long, ts timestamp_ntz, user_id long, kind string, value long, p boolean"
+SPECS = [
+    ViewSpec(ORDER, 4, ["user_id", "kind"], named=True),
+    ViewSpec(ORDER, 5, ["user_id"], named=True, trigger=3),
+    ViewSpec(ORDER, 4, ["user_id", "kind"], named=True, tumbling=True),
+    ViewSpec(ORDER, 2, ["user_id"], named=True, trigger=5),
+    ViewSpec(ORDER, 6, named=True),
+    ViewSpec(ORDER, 3, ["user_id", "kind"], named=True, force_empty=True),
+    ViewSpec(ORDER, keys=["user_id", "kind"], named=True, window=view.SlidingTime(8 * SECOND)),
+    ViewSpec(ORDER, keys=["user_id"], named=True, window=view.TumblingTime(10 * SECOND, 3 * SECOND)),
+    ViewSpec(ORDER, keys=["user_id", "kind"], named=True, window=view.Delta("value", 2)),
+    ViewSpec(ORDER, keys=["user_id"], named=True, window=view.Delta("value", 0)),
+    ViewSpec(ORDER, keys=["user_id"], named=True, window=view.Punctuation("p")),
+    ViewSpec(ORDER, named=True, window=view.SlidingTime(5 * SECOND)),
+]
+
+
+def plain(rows, spec, at):
+    """The window of all rows up to a time, worked out row by row; rows that match come out in order."""
+    rows = sorted(r for r in rows if r[1] <= at) if not isinstance(at, tuple) else sorted(r for r in rows if (r[1], r[0]) <= at)
+    rows.sort(key=lambda r: (r[1], r[0]))
+    names = ["id", "ts", "user_id", "kind", "value", "p"]
+    parts = {}
+    for r in rows:
+        parts.setdefault(tuple(r[names.index(k)] for k in spec.keys), []).append(r)
+    w, out = spec.window, []
+    if isinstance(w, view.TumblingTime):
+        if not rows:
+            return []
+        zero, size = datetime(1970, 1, 1) + w.start, w.size
+        end = zero + ((rows[-1][1] - zero) // size) * size
+        return [r for r in rows if end - size <= r[1] < end]
+    if isinstance(w, view.Punctuation):
+        marks = [k for k, r in enumerate(rows) if r[5]]
+        return rows[(marks[-2] + 1 if len(marks) > 1 else 0) : marks[-1]] if marks else []
+    for part in parts.values():
+        if w is None:
+            trigger = spec.n if spec.tumbling else spec.trigger
+            shown = len(part) // trigger * trigger
+            out += part[max(shown - spec.n, 0) : shown]
+        elif isinstance(w, view.SlidingTime):
+            out += [r for r in part if r[1] > part[-1][1] - w.size]
+        else:
+            out += [r for r in part if abs(part[-1][4] - r[4]) <= w.distance]
+    return sorted(out, key=lambda r: (r[1], r[0]))
+
+
+TEXTS = ["", "user_id=1", "kind=b", "user_id=2&kind=a", "kind=a&user_id=1&attribute=id", "user_id=9", "nosuch=1", "user_id=x",
+         "attribute=value&attribute=id&attribute=value&attribute=no", "suppress=ts&suppress=id&user_id=1", "callback=f&attribute=id"]
+
+
+@pytest.mark.parametrize("spec", SPECS)
+def test_texts_equal_the_window_of_their_time(spark, spec):
+    rows = made(3)
+    frame = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    end = rows[-1][1]
+    times = [START - SECOND, rows[20][1], rows[47][1], rows[47][1] + SECOND / 2, end, end + timedelta(days=9)]
+    asked = [(i, t, 0, text) for i, (t, text) in enumerate((t, x) for t in times for x in TEXTS)]
+    requests = spark.createDataFrame(asked, "request_id long, ts timestamp_ntz, port int, query string")
+    spec = ViewSpec(**{**vars(spec), "attributes": ["id", "kind", "value"]})
+    got = {r["request_id"]: r for r in as_of.answer_texts({0: (frame, spec)}, requests).collect()}
+    assert set(got) == set(range(len(asked)))
+    for number, at, _, text in asked:
+        try:
+            query = view.read_query(text, spec)
+            if "user_id=x" in text and "user_id" in spec.keys:
+                raise view.QueryError
+        except view.QueryError:
+            assert got[number]["json"] is None and got[number]["error"]
+            continue
+        here = plain(rows, spec, at)
+        here = [r for r in here if all(str(r[2] if k == "user_id" else r[3]) == v for k, v in query.values.items())]
+        if spec.keys and spec.force_empty and not query.values:
+            here = []
+        names = view.projected(frame, spec, query)
+        want = [{n: {"id": r[0], "kind": r[3], "value": r[4]}[n] for n in names} for r in here]
+        found = got[number]["json"]
+        if "callback" in text:
+            assert found.startswith("f(") and found.endswith(");\n")
+            found = found[2:-3]
+        assert json.loads(found) == want, (number, text, at)
+        assert [list(e) for e in json.loads(found)] == [names] * len(want)
+        assert got[number]["n"] == len(want)
+
+
+def test_texts_equal_read_view(spark):
+    rows = made(5)
+    frame = spark.createDataFrame(rows, SCHEMA)
+    spec = ViewSpec(ORDER, 4, ["user_id", "kind"], named=True, trigger=2, attributes=["kind", "id"])
+    at = rows[60][1]
+    requests = spark.createDataFrame([(i, at, 3, t) for i, t in enumerate(TEXTS[:5])], "request_id long, ts timestamp_ntz, port int, query string")
+    got = {r["request_id"]: json.loads(r["json"]) for r in as_of.answer_texts({3: (frame, spec)}, requests).collect()}
+    before = frame.where(F.col("ts") <= F.lit(at))
+    for i, text in enumerate(TEXTS[:5]):
+        want = [r.asDict() for r in view.read_view(before, spec, text).collect()]
+        assert sorted(map(str, got[i])) == sorted(map(str, want))
+
+
+@pytest.mark.parametrize("spec", [s for s in SPECS if s.window is not None])
+def test_answers_honour_the_window(spark, spec):
+    rows = made(7)
+    frame = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    requests = frame.where("id % 4 = 1").withColumn("request_id", F.col("id") + 1000)
+    got = {}
+    for r in view.answer_as_of(frame, requests, spec).collect():
+        got.setdefault(r["request_id"], []).append((r["position"], r["id"]))
+    for i, at, user, kind, *_ in rows:
+        if i % 4 != 1:
+            continue
+        own = {"user_id": user, "kind": kind}
+        here = [r for r in plain(rows, spec, (at, i)) if all(r[2 if k == "user_id" else 3] == own[k] for k in spec.keys)]
+        assert sorted(got.get(i + 1000, [])) == [(k, r[0]) for k, r in enumerate(here, 1)]
+
+
+def test_reserved_names_are_keys_when_a_key_is_called_so(spark):
+    rows = [(1, START, "x", 5), (2, START + SECOND, "y", 6)]
+    frame = spark.createDataFrame(rows, "id long, ts timestamp_ntz, attribute string, suppress long")
+    named = ViewSpec(ORDER, 4, ["attribute", "suppress"], named=True, attributes=["id", "suppress"])
+    texts = [(1, START + SECOND, 0, "attribute=x"), (2, START + SECOND, 0, "suppress=6"), (3, START + SECOND, 0, "attribute=y&suppress=5")]
+    requests = spark.createDataFrame(texts, "request_id long, ts timestamp_ntz, port int, query string")
+    got = {r["request_id"]: r["json"] for r in as_of.answer_texts({0: (frame, named)}, requests).collect()}
+    assert got == {1: '[{"id":1,"suppress":5}]', 2: '[{"id":2,"suppress":6}]', 3: "[]"}
+    positional = ViewSpec(ORDER, 4, ["attribute"], attributes=["id", "suppress"])
+    texts = [(1, START + SECOND, 0, "partition=x&attribute=id"), (2, START + SECOND, 0, "partition=y&suppress=id")]
+    requests = spark.createDataFrame(texts, "request_id long, ts timestamp_ntz, port int, query string")
+    got = {r["request_id"]: r["json"] for r in as_of.answer_texts({0: (frame, positional)}, requests).collect()}
+    assert got == {1: '[{"id":1}]', 2: '[{"suppress":6}]'}
+
+
+def test_ports_nulls_repeats_and_json_attributes(spark):
+    rows = [(1, START, '{"a":1}'), (2, START, "broken"), (3, START, None)]
+    frame = spark.createDataFrame(rows, "id long, ts timestamp_ntz, jsonString string")
+    pure = ViewSpec(ORDER, 4, attributes=["jsonString"])
+    mixed = ViewSpec(ORDER, 4, attributes=["id", "jsonString"])
+    texts = [(1, START, 0, "attribute=id"), (1, START, 0, "attribute=id"), (2, START, 1, None), (3, None, 1, ""), (4, START, 7, ""), (5, START, None, "")]
+    requests = spark.createDataFrame(texts, "request_id long, ts timestamp_ntz, port int, query string")
+    got = sorted(as_of.answer_texts({0: (frame, pure), 1: (frame, mixed)}, requests).collect(), key=lambda r: r["request_id"])
+    assert [r["json"] for r in got] == ['[{"a":1},null,null]'] * 2 + [
+        '[{"id":1,"jsonString":{"a":1}},{"id":2,"jsonString":null},{"id":3,"jsonString":null}]', None, None, None,
+    ]
+    assert [r["error"] for r in got] == [None, None, None, "no time", "no such port", "no such port"]
+    empty = as_of.answer_texts({0: (frame.limit(0), pure)}, requests).where("port = 0").collect()
+    assert [r["json"] for r in empty] == ["[]", "[]"]
+    assert as_of.answer_texts({0: (frame, pure)}, requests.limit(0)).count() == 0

@@ -9,7 +9,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from wireglass.plans.buckets import Layout, measure, plan_layout
-from wireglass.plans.intervals import by_layout, by_width, contained
+from wireglass.plans.intervals import ancestors, by_layout, by_width, contained, levels, nearby, pieces
 from wireglass.plans.ordered import Measure, measures, neighbours, sequence
 
 T0 = datetime(2024, 3, 1)
@@ -125,3 +125,27 @@ def test_interval_join_against_nested_loops(spark, plan):
             (i, j) for i, at, k in points for j, a, e, key in spans if k == key and a <= at and (e is None or at < e)
         )
         assert sorted((r["id"], r["span"]) for r in rows) == wanted
+
+
+def test_tree_pieces_cover_each_bucket_once_and_are_few(spark):
+    depth = levels(Layout(0, 1, (1,) * 37))
+    pairs = [(a, b) for a in range(37) for b in range(a, 37)]
+    frame = spark.createDataFrame(pairs, "a long, b long").select("a", "b", pieces(F.col("a"), F.col("b"), depth).alias("p"))
+    over = {r["id"]: set(r["n"]) for r in spark.range(37).select("id", ancestors(F.col("id"), depth).alias("n")).collect()}
+    for r in frame.collect():
+        assert len(r["p"]) <= 2 * depth
+        for bucket in range(37):
+            assert len(over[bucket] & set(r["p"])) == (r["a"] <= bucket <= r["b"])
+
+
+def test_nearby_holds_every_pair_once(spark):
+    draw = random.Random(8)
+    points = [(i, draw.randint(0, 300)) for i in range(80)]
+    spans = [(i, s := draw.randint(0, 300), None if i % 9 == 0 else s + draw.choice([0, 3, 40, 250])) for i in range(60)]
+    p = spark.createDataFrame(points, "i long, at long")
+    q = spark.createDataFrame(spans, "j long, s long, e long")
+    for rows in (2, 9, 1000):
+        met = nearby(p, q, "at", F.col("s"), F.col("e"), measure(p, "at", rows))
+        got = met.where("at >= s AND (e IS NULL OR at <= e)").select("i", "j").collect()
+        want = [(i, j) for i, at in points for j, s, e in spans if s <= at and (e is None or at <= e)]
+        assert sorted(map(tuple, got)) == sorted(want)

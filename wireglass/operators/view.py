@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from datetime import timedelta
 from functools import reduce
 from itertools import product
@@ -316,6 +316,21 @@ def _keep_nulls(value: Column) -> Column:
     return F.to_json(value, {"ignoreNullFields": "false"})
 
 
+def json_cells(df: DataFrame, attributes: Sequence[str]) -> Column:
+    """The attributes of a row as JSON texts `"name":value`; of a pure JSON port the document itself."""
+
+    def text(field_: T.StructField) -> Column:
+        value = F.col(field_.name)
+        if list(attributes) == [JSON_ATTRIBUTE]:
+            return F.coalesce(F.try_parse_json(value).cast("string"), F.lit("null"))
+        if field_.name == JSON_ATTRIBUTE and isinstance(field_.dataType, T.StringType):
+            value = F.try_parse_json(value)
+        braced = _keep_nulls(F.struct(value.alias(field_.name)))
+        return F.substring(braced, F.lit(2), F.length(braced) - 2)
+
+    return F.array(*[text(df.schema[name]) for name in attributes]) if attributes else F.array().cast("array<string>")
+
+
 def render(
     contents: DataFrame, order: Sequence[str], attributes: Sequence[str], keys: Sequence[str] = ()
 ) -> DataFrame:
@@ -428,11 +443,14 @@ def answer_as_of(
     """What every request saw at its own time.
 
     Both frames carry the keys and the order columns of the view. A request
-    sees the tuples ordered at or before it, as of the last trigger. Tuples
-    and requests are numbered together, so that a request knows how many
-    tuples of its key came before; it then meets the one or two blocks of `n`
-    tuples that hold its rows.
+    sees the tuples ordered at or before it, as of the last trigger. In a count
+    window tuples and requests are numbered together, so that a request knows
+    how many tuples of its key came before; it then meets the one or two blocks
+    of `n` tuples that hold its rows. Any other window of the view is answered by
+    the spans in which its rows are shown. `position` counts the rows of an answer.
     """
+    if spec.window is not None:
+        return _answer_windows(tuples, requests, spec, request_id, layout)
     keys, order, n = list(spec.keys), list(spec.order), spec.n
     trigger = n if spec.tumbling else spec.trigger
     tuple_side = tuples.withColumn("__request", F.lit(0))
@@ -460,6 +478,21 @@ def answer_as_of(
     return joined.select(request_id, position, *tuples.columns)
 
 
+def _answer_windows(
+    tuples: DataFrame, requests: DataFrame, spec: ViewSpec, request_id: str, layout: Layout | None
+) -> DataFrame:
+    # that module is built on this one
+    from wireglass.operators.as_of import see
+
+    order = list(spec.order)
+    given = [F.col(k).alias(f"q_{k}") for k in spec.keys]
+    asked = requests.select(F.col(request_id).alias("__request_id"), *given, F.struct(*order).alias("__at"))
+    seen = see(tuples, asked, replace(spec, force_empty=False), "__at", layout=layout)
+    mine = Window.partitionBy("__request_id").orderBy(*order)
+    position = F.row_number().over(mine).cast("bigint").alias("position")
+    return seen.select(F.col("__request_id").alias(request_id), position, *tuples.columns)
+
+
 def latest(df: DataFrame, value: str, order: Sequence[str], ts: str, keys: Sequence[str] = ()) -> DataFrame:
     """Newest value and its arrival time per key; empty text means no content."""
     newest = F.max_by(F.struct(F.col(value), F.col(ts)), F.struct(*order)).alias("newest")

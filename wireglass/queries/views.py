@@ -7,7 +7,7 @@ from datetime import timedelta
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wireglass.operators import view
+from wireglass.operators import as_of, view
 from wireglass.operators.view import ViewSpec
 from wireglass.queries.derive import ORDER
 from wireglass.queries.registry import query, table
@@ -314,3 +314,101 @@ def view_query_sliding(spark: SparkSession, sf_dir: str) -> DataFrame:
 def view_json_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
     spec = ViewSpec(ORDER, keys=["event_type"], attributes=["event_id"], window=view.Delta("event_id", 500))
     return view.render_view(_events(spark, sf_dir), spec)
+
+
+# ---- requests as of their own time ----------------------------------------------------
+
+
+@query(
+    "SELECT q.event_id AS request_id, row_number() OVER (PARTITION BY q.event_id ORDER BY t.ts, t.event_id) AS position, "
+    "t.event_id FROM events q JOIN events t ON q.user_id = t.user_id AND t.ts > q.ts - INTERVAL 2 DAY "
+    "AND (t.ts < q.ts OR (t.ts = q.ts AND t.event_id <= q.event_id)) WHERE q.event_type = 'view'"
+)
+def answer_sliding_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every view event asks for the last two days of its user, as they were then."""
+    events = _events(spark, sf_dir)
+    requests = events.where("event_type = 'view'").withColumn("request_id", F.col("event_id"))
+    spec = ViewSpec(ORDER, keys=["user_id"], window=view.SlidingTime(timedelta(days=2)))
+    answers = view.answer_as_of(events.select(*ORDER, "user_id"), requests, spec)
+    return answers.select("request_id", "position", "event_id")
+
+
+@query(
+    "WITH w AS (SELECT *, time_bucket(INTERVAL 6 HOUR, ts, TIMESTAMP '1970-01-01') AS w FROM events) "
+    "SELECT q.event_id AS request_id, row_number() OVER (PARTITION BY q.event_id ORDER BY t.ts, t.event_id) AS position, "
+    "t.event_id FROM w q JOIN w t ON q.user_id = t.user_id AND t.w = q.w - INTERVAL 6 HOUR WHERE q.event_type = 'view'"
+)
+def answer_tumbling_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every view event asks for its user's rows of the window that ended last."""
+    events = _events(spark, sf_dir)
+    requests = events.where("event_type = 'view'").withColumn("request_id", F.col("event_id"))
+    spec = ViewSpec(ORDER, keys=["user_id"], window=view.TumblingTime(timedelta(hours=6)))
+    answers = view.answer_as_of(events.select(*ORDER, "user_id"), requests, spec)
+    return answers.select("request_id", "position", "event_id")
+
+
+# customers send request texts to two ports: events by user and type, orders by status and priority
+_TURN = "c_custkey % 40"
+_ASKED_USER = "cast(c_custkey % 150 AS string)"
+_ASKED_TYPE = "CASE c_custkey % 3 WHEN 0 THEN 'view' WHEN 1 THEN 'click' ELSE 'error' END"
+_EVENT_TEXT = (
+    f"CASE WHEN {_TURN} = 0 THEN 'event_type=' || {_ASKED_TYPE} WHEN {_TURN} = 2 THEN 'attribute=event_id' "
+    f"WHEN {_TURN} = 4 THEN 'user_id=x' WHEN {_TURN} < 14 THEN 'user_id=' || {_ASKED_USER} "
+    f"WHEN {_TURN} < 24 THEN 'user_id=' || {_ASKED_USER} || '&suppress=event_type&callback=show' "
+    f"ELSE 'event_type=' || {_ASKED_TYPE} || '&user_id=' || {_ASKED_USER} || '&attribute=event_type&attribute=event_id' END"
+)
+_ORDER_TEXT = (
+    f"CASE WHEN {_TURN} = 1 THEN 'attribute=o_orderkey' WHEN {_TURN} = 3 THEN 'partition=O' "
+    f"ELSE 'partition=' || {_STATUS} || '&partition=' || {_PRIORITY} END"
+)
+_ASKED_AT = (
+    "CASE WHEN c_custkey % 2 = 0 THEN timestamp '2024-01-01 00:00:00' + {seconds} "
+    "ELSE timestamp '1995-01-01 00:00:00' + {days} END"
+)
+_ASKED_AT_SQL = _ASKED_AT.format(
+    seconds="to_seconds(c_custkey * 7919 % 2592000)", days="to_days(cast(c_custkey * 31 % 2400 AS integer))"
+)
+_TEXTS_SQL = (
+    f"q AS (SELECT c_custkey AS request_id, cast(c_custkey % 2 AS integer) AS port, {_TURN} AS turn, {_ASKED_AT_SQL} AS asked_at, "
+    f"{_ASKED_USER} AS u, {_ASKED_TYPE} AS t, {_STATUS} AS s, replace({_PRIORITY}, '+', ' ') AS p FROM customer)"
+)
+
+
+@query(
+    f"WITH {_TEXTS_SQL}, "
+    "e AS (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) AS r FROM events), "
+    "m AS (SELECT request_id, turn, event_id, e.ts, event_type, r, max(r) OVER (PARTITION BY request_id, user_id, event_type) AS c "
+    "FROM q JOIN e ON port = 0 AND e.ts <= asked_at AND turn NOT IN (2, 4) AND (turn = 0 OR cast(user_id AS varchar) = u) "
+    "AND (turn BETWEEN 5 AND 23 OR event_type = t)), "
+    "ea AS (SELECT request_id, count(*) AS n, string_agg(CASE WHEN turn = 0 OR turn < 14 THEN "
+    "'{\"event_id\":' || event_id || ',\"event_type\":\"' || event_type || '\"}' WHEN turn < 24 THEN '{\"event_id\":' || event_id || '}' "
+    "ELSE '{\"event_type\":\"' || event_type || '\",\"event_id\":' || event_id || '}' END, ',' ORDER BY ts, event_id) AS rows "
+    "FROM m WHERE r <= c // 2 * 2 AND r > c // 2 * 2 - 8 GROUP BY request_id), "
+    "o AS (SELECT request_id, o_orderkey, o_orderdate, max(o_orderdate) OVER (PARTITION BY request_id, o_orderstatus, o_orderpriority) AS newest "
+    "FROM q JOIN orders ON port = 1 AND o_orderdate <= asked_at AND turn <> 3 AND (turn = 1 OR (o_orderstatus = s AND o_orderpriority = p))), "
+    "oa AS (SELECT request_id, count(*) AS n, string_agg('{\"o_orderkey\":' || o_orderkey || '}', ',' ORDER BY o_orderdate, o_orderkey) AS rows "
+    "FROM o WHERE o_orderdate > newest - INTERVAL 30 DAY GROUP BY request_id), "
+    "a AS (SELECT * FROM ea UNION ALL SELECT * FROM oa) "
+    "SELECT request_id, port, coalesce(n, 0) AS n, CASE WHEN turn = 4 OR turn = 3 THEN '' WHEN turn BETWEEN 14 AND 23 AND port = 0 "
+    "THEN 'show([' || coalesce(rows, '') || ']);' || chr(10) ELSE '[' || coalesce(rows, '') || ']' END AS json, "
+    "CASE turn WHEN 4 THEN 'bad partition value for user_id' WHEN 3 THEN 'too few partition values' ELSE '' END AS error "
+    "FROM q LEFT JOIN a USING (request_id)"
+)
+def answer_requests_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The texts of two ports: a count window behind named keys, a sliding time window behind positional ones."""
+    at = _ASKED_AT.format(
+        seconds="make_dt_interval(0, 0, 0, c_custkey * 7919 % 2592000)", days="make_dt_interval(cast(c_custkey * 31 % 2400 AS int))"
+    )
+    requests = table(spark, sf_dir, "customer").selectExpr(
+        "c_custkey AS request_id",
+        "cast(c_custkey % 2 AS int) AS port",
+        f"{at} AS ts",
+        f"CASE WHEN c_custkey % 2 = 0 THEN {_EVENT_TEXT} ELSE {_ORDER_TEXT} END AS query",
+    )
+    by_user = ViewSpec(
+        ORDER, 8, ["user_id", "event_type"], trigger=2, named=True, force_empty=True, attributes=["event_id", "event_type"]
+    )
+    by_status = ViewSpec(_ORDERS.order, keys=_ORDER_KEYS, window=view.SlidingTime(timedelta(days=30)), attributes=["o_orderkey"])
+    ports = {0: (_events(spark, sf_dir), by_user), 1: (table(spark, sf_dir, "orders"), by_status)}
+    answers = as_of.answer_texts(ports, requests)
+    return answers.withColumns({"json": F.coalesce("json", F.lit("")), "error": F.coalesce("error", F.lit(""))})
