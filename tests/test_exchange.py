@@ -242,3 +242,18 @@ def test_markers_and_json_tuples(spark):
     assert [r["error"] is not None for r in rows] == [False, True, False, True]
     back = exchange.tuple_to_json(rows and exchange.json_to_tuple(texts, port), ["a", "b"]).first()
     assert json.loads(back["jsonString"]) == {"a": 1, "b": "x"}
+
+
+def test_a_response_delivered_again_answers_once(spark):
+    at = datetime(2024, 1, 1)
+    asked = spark.createDataFrame([(1, at), (2, at)], "key long, req_ts timestamp_ntz")
+    one = (1, at, 10, "a", 200, {"h": "1"})
+    rows = [one] * 5 + [(1, at, 10, "b", 404, None), (1, at + timedelta(seconds=1), 11, "c", 200, None), (9, at, 12, "x", 200, None), (9, at, 12, "x", 200, None)]
+    told = spark.createDataFrame(rows, "key long, rsp_ts timestamp_ntz, rsp_id long, response string, status int, header map<string,string>").repartition(3)
+    answers = {r["key"]: (r["outcome"], r["response"]) for r in exchange.correlate(asked, told).collect()}
+    assert answers == {1: ("responded", "a"), 2: ("timeout", "")}
+    assert exchange.correlate(asked, told).count() == 2
+    counters = exchange.metrics(asked, told).first()
+    assert (counters["received"], counters["responded"], counters["timeouts"], counters["key_not_found"]) == (2, 1, 1, 8)
+    left = sorted((r["rsp_id"], r["response"]) for r in exchange.unmatched_responses(asked, told).collect())
+    assert left == [(10, "a")] * 4 + [(10, "b"), (11, "c"), (12, "x"), (12, "x")]

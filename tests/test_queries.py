@@ -40,7 +40,7 @@ def test_anchors_views(spark):
 def test_anchors_exchange(spark):
     row = QUERIES["request_metrics"](spark, MEDIUM).first()
     assert (row["received"], row["responded"] + row["errors"], row["timeouts"]) == (10000, 2416, 7584)
-    assert row["key_not_found"] == 8525
+    assert row["key_not_found"] == 9655
     assert QUERIES["active_gauge"](spark, MEDIUM).agg(F.max("active")).first()[0] == 3
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import timedelta
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -173,11 +173,21 @@ def _first_responses(requests: DataFrame, responses: DataFrame, timeout: timedel
 
 
 def _answers(requests: DataFrame, responses: DataFrame, timeout: timedelta, tie: str) -> DataFrame:
-    """key and answer: the whole first response, fetched by its id after the narrow minimum."""
+    """key and answer: the whole first response, fetched by its id after the narrow minimum.
+
+    A response may be there several times: of rows that agree in key, time and
+    id one answers (of different contents the least as JSON text).
+    """
     first = _first_responses(requests, responses.select("key", "rsp_ts", tie), timeout, tie)
-    same = (F.col("key") == F.col("__key")) & (F.col("rsp_ts") == F.col("__ts")) & (F.col(tie) == F.col("__id"))
     answer = F.struct(*[c for c in responses.columns if c != "key"])
-    return responses.join(first, same).select("key", answer.alias("answer"))
+    fetched = responses.join(first, _is_first(tie)).select("key", answer.alias("answer"))
+    # copies are cut to one per task before the shuffle; the sort by key serves the join with the requests too
+    one = F.row_number().over(Window.partitionBy("key").orderBy(F.to_json("answer")))
+    return fetched.withColumn("__copy", one).where(F.col("__copy") == 1).drop("__copy")
+
+
+def _is_first(tie: str) -> Column:
+    return (F.col("key") == F.col("__key")) & (F.col("rsp_ts") == F.col("__ts")) & (F.col(tie) == F.col("__id"))
 
 
 def correlate(requests: DataFrame, responses: DataFrame, timeout: timedelta = TIMEOUT, tie: str = "rsp_id") -> DataFrame:
@@ -185,7 +195,7 @@ def correlate(requests: DataFrame, responses: DataFrame, timeout: timedelta = TI
 
     `requests` has unique `key` and `req_ts`; `responses` has `key`, `rsp_ts`,
     the tie-break column and the fields of `response_defaults`. The first
-    response wins. A status outside 100..599 turns the answer into a 500.
+    response wins, however often it was delivered. A status outside 100..599 turns the answer into a 500.
     """
     first = _answers(requests, responses, timeout, tie)
     joined = requests.join(first, "key", "left")
@@ -215,13 +225,21 @@ def timeouts(requests: DataFrame, responses: DataFrame, timeout: timedelta = TIM
 def unmatched_responses(
     requests: DataFrame, responses: DataFrame, timeout: timedelta = TIMEOUT, tie: str = "rsp_id"
 ) -> DataFrame:
-    """Responses that answered no request: late, second or with an unknown key.
+    """Responses that answered no request: late, second, repeated or with an unknown key.
 
-    Joined on key and the response's own id: no hot key.
+    Joined on key and the response's own place: no hot key. The key is gone with its
+    first use, so of equal rows all but the one that answered are unmatched;
+    they are counted, not brought together.
     """
     first = _first_responses(requests, responses.select("key", "rsp_ts", tie), timeout, tie)
-    used = first.select(F.col("__key").alias("key"), F.col("__id").alias(tie))
-    return responses.join(used, ["key", tie], "left_anti")
+    row = F.struct(*responses.columns).alias("row")
+    copies = responses.join(first, _is_first(tie)).select("key", row)
+    copies = copies.groupBy("key", F.to_json("row").alias("text")).agg(F.first("row").alias("row"), F.count("*").alias("n"))
+    # one row per different content of a key's first response
+    answering = F.row_number().over(Window.partitionBy("key").orderBy("text")) == 1
+    left = copies.select("row", (F.col("n") - F.when(answering, 1).otherwise(0)).alias("n")).where("n > 0")
+    again = left.select("row", F.explode(F.sequence(F.lit(1).cast("bigint"), "n"))).select("row.*")
+    return responses.join(first, _is_first(tie), "left_anti").unionByName(again)
 
 
 def metrics(requests: DataFrame, responses: DataFrame, timeout: timedelta = TIMEOUT, tie: str = "rsp_id") -> DataFrame:

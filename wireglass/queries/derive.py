@@ -130,15 +130,15 @@ def _responses(key: str, ts: str, rsp_id: str, text: str) -> dict[str, str]:
 
 
 def told(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Responses: most after `value` seconds, some twice, some with an unknown key."""
+    """Responses: most after `value` seconds, some with a second one, some delivered again, some with an unknown key."""
     events = table(spark, sf_dir, "events")
     due = "ts + make_dt_interval(0, 0, 0, cast(value AS decimal(18, 6)))"
     known = events.where("event_id % 17 <> 0")
     first = _derive(known, _responses("event_id + 1", due, "event_id * 2", "first"))
-    again = known.where("event_id % 10 = 0")
-    second = _derive(again, _responses("event_id + 1", f"{due} + interval 1 second", "event_id * 2 + 1", "second"))
+    second = _derive(known.where("event_id % 10 = 0"), _responses("event_id + 1", f"{due} + interval 1 second", "event_id * 2 + 1", "second"))
     stray = _derive(events.where("event_id % 17 = 0"), _responses("-(event_id + 1)", "ts", "event_id * 2", "stray"))
-    return first.unionByName(second).unionByName(stray)
+    again = first.where("key % 13 = 0").unionByName(first.where("key % 26 = 0")).unionByName(stray.where("key % 13 = 0"))
+    return first.unionByName(second).unionByName(stray).unionByName(again)
 
 
 def _told_sql() -> str:
@@ -146,10 +146,12 @@ def _told_sql() -> str:
     first = _responses("event_id + 1", due, "event_id * 2", "first")
     second = _responses("event_id + 1", f"{due} + INTERVAL 1 SECOND", "event_id * 2 + 1", "second")
     stray = _responses("-(event_id + 1)", "ts", "event_id * 2", "stray")
+    answered = f"SELECT {_select(first)} FROM events WHERE event_id % 17 <> 0"
+    unknown = f"SELECT {_select(stray)} FROM events WHERE event_id % 17 = 0"
     return (
-        f"SELECT {_select(first)} FROM events WHERE event_id % 17 <> 0 UNION ALL "
+        f"{answered} UNION ALL {answered} AND (event_id + 1) % 13 = 0 UNION ALL {answered} AND (event_id + 1) % 26 = 0 UNION ALL "
         f"SELECT {_select(second)} FROM events WHERE event_id % 17 <> 0 AND event_id % 10 = 0 UNION ALL "
-        f"SELECT {_select(stray)} FROM events WHERE event_id % 17 = 0"
+        f"{unknown} UNION ALL {unknown} AND (event_id + 1) % 13 = 0"
     )
 
 

@@ -176,7 +176,8 @@ def timeouts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    f"WITH {_MATCH_SQL} SELECT key, rsp_ts, rsp_id, response FROM rsp ANTI JOIN cor ON cor.rsp_id = rsp.rsp_id"
+    f"WITH {_MATCH_SQL}, copies AS (SELECT *, row_number() OVER (PARTITION BY key, rsp_ts, rsp_id) AS copy FROM rsp) "
+    "SELECT key, rsp_ts, rsp_id, response FROM copies WHERE copy > 1 OR rsp_id NOT IN (SELECT rsp_id FROM cor WHERE rsp_id IS NOT NULL)"
 )
 def unmatched_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exchange.unmatched_responses(*_frames(spark, sf_dir)).select("key", "rsp_ts", "rsp_id", "response")

@@ -5,6 +5,8 @@ Each must give the rows of its batch form.
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,46 +33,54 @@ def stream_last_n(spark: SparkSession, sf_dir: str) -> DataFrame:
     return live.contents().select("event_id", "user_id", "event_type")
 
 
-def _land(df: DataFrame, path: str) -> None:
-    """Write a landed table; instants instead of local times, so it can carry a watermark."""
-    local = [f.name for f in df.schema.fields if f.dataType.simpleString() == "timestamp_ntz"]
-    df.withColumns({name: F.col(name).cast("timestamp") for name in local}).write.mode("append").parquet(path)
+# How far behind its newest row a landed part may still bring rows, and the parts that land one after the other.
+DISORDER = timedelta(minutes=10)
+PARTS = 4
 
 
 @query(CORRELATE_SQL)
 def stream_correlate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landed requests and responses, correlated by a stream-stream join over several micro-batches.
 
-    Each side is landed in three files by time, the last two exchanged, and
-    read one file at a time; the delay of the watermark covers that disorder. A
-    closing row after the delay on both sides moves the watermarks past the last
-    timeout; it has the key 0, which no request has, and is left out. Requests
-    that came behind the watermark all the same are settled from the landed tables.
+    Both sides land in PARTS by time, each written by as many tasks as Spark likes;
+    the stream is started again for every part and goes on from its checkpoint.
+    The watermark allows DISORDER, whatever the span of the data, so the state holds
+    the rows of that time and of the timeout. Every 50th request lands a part too
+    late: it is behind the watermark, and settled from the landed tables. A closing
+    row on both sides moves the watermarks past the last timeout; it has the key 0,
+    which no request has, and is left out.
     """
     root = shared_dir(spark, "correlate")
-    requests = derive.asked(spark, sf_dir).select("key", "req_ts")
-    responses = derive.told(spark, sf_dir)
-    span = responses.agg(F.min("rsp_ts").alias("low"), F.max("rsp_ts").alias("high")).first()
-    delay = max(int((span["high"] - span["low"]).total_seconds()), 1)
-
-    def land(df: DataFrame, time: str, path: str) -> None:
-        end = {"key": F.lit(0), time: F.lit(span["high"]) + F.expr(f"interval {2 * delay + 3600} seconds")}
-        row = [end.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in df.schema]
-        cut = [F.lit(span["low"]) + F.expr(f"interval {delay * k // 3} seconds") for k in (1, 2)]
-        part = sum((F.when(F.col(time) >= c, 1).otherwise(0) for c in cut), F.lit(0))
-        for k in (0, 2, 1):
-            _land(df.where(part == k).coalesce(1), path)
-        _land(spark.range(1).select(*row), path)
-
-    land(requests, "req_ts", f"{root}/req")
-    land(responses, "rsp_ts", f"{root}/rsp")
-    kinds = [spark.read.parquet(f"{root}/{side}").schema for side in ("req", "rsp")]
-    allowed = f"{delay} seconds"
-    asked = stream_landed(spark, f"{root}/req", kinds[0], "req_ts", allowed, max_files=1)
-    told = stream_landed(spark, f"{root}/rsp", kinds[1], "rsp_ts", allowed, max_files=1)
-    write_frame(correlate_streams(asked, told), f"{root}/out", checkpoint=f"{root}/checkpoint").awaitTermination()
+    sides = {"req": ("req_ts", derive.asked(spark, sf_dir).select("key", "req_ts")), "rsp": ("rsp_ts", derive.told(spark, sf_dir))}
+    instants = {
+        name: df.withColumns({f.name: F.col(f.name).cast("timestamp") for f in df.schema if f.dataType.simpleString() == "timestamp_ntz"})
+        for name, (_, df) in sides.items()
+    }
+    span = instants["rsp"].agg(F.min("rsp_ts").alias("low"), F.max("rsp_ts").alias("high")).first()
+    step = max((span["high"] - span["low"]) / PARTS, timedelta(seconds=1))
+    closing = F.lit(span["high"]) + F.expr("interval 30 days")
+
+    def part(name: str, k: int) -> DataFrame:
+        """What lands with part k; the last is the closing row alone."""
+        df, ts = instants[name], sides[name][0]
+        if k == PARTS:
+            row = {"key": F.lit(0), ts: closing}
+            return spark.range(1).select(*[row.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in df.schema])
+        cuts = [F.lit(span["low"] + step * i) for i in range(1, PARTS)]
+        home = sum((F.when(F.col(ts) >= c, 1).otherwise(0) for c in cuts), F.lit(0))
+        late = F.when(F.col("key") % 50 == 0, 1).otherwise(0) if name == "req" else F.lit(0)
+        return df.where(F.least(home + late, F.lit(PARTS - 1)) == k)
+
+    for k in range(PARTS + 1):
+        for name in sides:
+            part(name, k).write.mode("append").parquet(f"{root}/{name}")
+        streams = [
+            stream_landed(spark, f"{root}/{name}", instants[name].schema, ts, f"{DISORDER.total_seconds():.0f} seconds")
+            for name, (ts, _) in sides.items()
+        ]
+        write_frame(correlate_streams(*streams), f"{root}/out", checkpoint=f"{root}/checkpoint").awaitTermination()
     out = spark.read.parquet(f"{root}/out")
-    rows = [spark.read.schema(kind).parquet(f"{root}/{side}").where("key <> 0") for kind, side in zip(kinds, ("req", "rsp"))]
+    rows = [spark.read.schema(instants[name].schema).parquet(f"{root}/{name}").where("key <> 0") for name in sides]
     settled = settle_late(*rows, out).select(*out.columns)
     local = {name: F.col(name).cast("timestamp_ntz") for name in ("req_ts", "done_ts")}
     return out.where("key <> 0").unionByName(settled).withColumns(local)

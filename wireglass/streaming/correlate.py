@@ -19,9 +19,11 @@ def correlate_streams(requests: DataFrame, responses: DataFrame, timeout: timede
     """Answered and timed-out requests of two watermarked streams.
 
     `requests` has `key`, `req_ts`; `responses` has `key`, `rsp_ts`, `rsp_id`,
-    `status`, `response`. Times are in the result as instants.
+    `status`, `response`. Times are in the result as instants. A response that is
+    delivered again within the delay of its watermark is dropped before the join
+    keeps it; a later copy changes nothing, for the first response wins.
     """
-    right = responses.select(
+    right = responses.dropDuplicatesWithinWatermark(["key", "rsp_id"]).select(
         F.col("key").alias("__key"),
         "rsp_ts",
         # the event time itself must not pass through a second aggregation
