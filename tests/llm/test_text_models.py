@@ -107,3 +107,36 @@ def test_network_paths_agree():
     net = language.Network.new(3, rng)
     x = rng.integers(0, 256, (5, language.WINDOW)).astype(np.uint8)
     assert np.allclose(net.pooled(x)[0], language._pooled_for_training(net, x)[0], atol=1e-5)
+
+
+def test_predecessors_are_counted_at_every_size(spark):
+    bits = toxicity.Bits()
+    rows = []
+    for size in (1, 10, 60, 150, 400, 3000, 60_000):
+        together = 0
+        for i in range(size):
+            together |= bits[f"w{size}x{i}"]
+        parts = [together >> 64 * i & (1 << 64) - 1 for i in range(3)]
+        rows.append((size, 10 * size, *[p - (1 << 64) if p >> 63 else p for p in parts]))
+    frame = spark.createDataFrame(rows, "size long, texts long, a long, b long, c long")
+    for r in frame.select("size", toxicity.different(F.col("texts"), [F.col(c) for c in "abc"]).alias("n")).collect():
+        assert 0.5 * r["size"] <= r["n"] <= 2 * r["size"]
+    few = frame.select(toxicity.different(F.lit(7), [F.col(c) for c in "abc"]).alias("n")).collect()
+    assert all(r["n"] <= 7 for r in few)
+
+
+def test_one_strong_expression_shows_in_a_long_text():
+    ratios = toxicity.Ratios([], 0.0)
+    ratios.update({"bad": 4.0, **{f"w{i}": -0.05 for i in range(500)}})
+    plain = " ".join(f"w{i}" for i in range(500))
+    x = toxicity.features(ratios, [plain, plain + " bad", "", "bad"])
+    assert np.allclose([x[1][3], x[0][3], x[3][3]], [4.0, -0.05, 4.0]) and x[1][1] > x[0][1]
+    assert list(x[2]) == [0.0] * 5
+
+
+def test_a_column_named_like_the_score_stays(frame):
+    docs = [(i, "good words here" if i % 2 else "awful nasty words", 5) for i in range(40)]
+    table = frame(docs, "doc_id long, text string, __score int")
+    kept = toxicity.keep_ordinary(table, frame([(i, (i + 1) % 2) for i in range(40)], "doc_id long, toxic int"))
+    assert kept.columns == ["doc_id", "text", "__score"]
+    assert {r["__score"] for r in kept.collect()} <= {5}

@@ -30,3 +30,11 @@ def lower_az(text: Column) -> Column:
     """Lower-case A-Z only; texts of plain ASCII take the fast built-in."""
     plain = F.length(text) == F.octet_length(text)
     return F.when(plain, F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
+
+
+def unused(df: DataFrame, name: str) -> str:
+    """A column name like `name` that the table does not have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name

@@ -11,15 +11,19 @@ backoff, the number of classes w continues (one or two) over the sum of that
 number: a word that is rare in one class is judged by what both have in common,
 and a word rare in both says nothing. The counts of the larger class are
 scaled to the size of the smaller first, so that the same discount D means the
-same evidence. Different predecessors are counted in 64 bits per word and class
-(linear counting); where nearly all bits are set, the texts count.
+same evidence. Different predecessors are counted in 192 bits per word and class, which
+merge by OR: 64 for linear counting, and where these are nearly full MAPS bitmaps of
+16 bits, in which bit i is set with probability 2^-(i+1) (probabilistic counting,
+good for some 500,000 predecessors; the number of texts is the bound beyond).
 Expressions are words and their first 8, 6, 5 and 4 letters. A word with evidence
-of its own in a class is judged by it; any other word backs off to its longest
-beginning that has some, so that an unseen form of a known stem is recognised.
+of its own in a class is judged by it; any other word takes half the log ratio of its
+longest beginning that has some, so that an unseen form of a known stem is recognised
+and a made-up word that begins like one is not condemned.
 
 A text's score compares the two log-likelihoods per word (a repeated pair of words
-counts once), over the whole text and over its worst stretch of STRETCH words; a logistic curve turns both, and the
-length that makes a bad stretch likelier, into a probability.
+counts once), over the whole text and over its worst stretches of 1, 3 and 20 words:
+one strong expression shows in a text of any length. A logistic curve turns these, and
+the length that makes a bad stretch likelier, into a probability.
 
 Spark counts the words of all labelled texts that are neither held out nor set
 aside for the curve. Every expression with evidence keeps its log ratio, however
@@ -39,7 +43,6 @@ count once per label row. Extra columns are kept.
 from __future__ import annotations
 
 import re
-import zlib
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from itertools import chain
@@ -51,14 +54,15 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wireglass.llm.common import fold, small_batches
+from wireglass.llm.common import fold, small_batches, unused
 from wireglass.session import landed
 
 DISCOUNT = 2.0
 CLASSES = ("toxic", "ordinary")
-#: Set bits from which the 64 no longer tell numbers apart.
-FULL = 60
-STRETCH = 20
+#: Set bits from which the 64 no longer tell numbers apart, and bitmaps that do.
+FULL, MAPS = 60, 8
+#: Words of the stretches whose worst counts.
+STRETCHES = (20, 3, 1)
 #: Expressions of one shard, and shards that a worker holds at a time.
 SLOTS, RESIDENT = 1 << 22, 2
 CURVE_ROWS = 20_000
@@ -66,6 +70,8 @@ HELD_OUT = 2
 THRESHOLD = 0.3
 #: Lengths of the beginnings of a word that are counted besides the word, longest first.
 STARTS = (8, 6, 5, 4)
+#: What a word takes of the ratio of its beginning, if it has none of its own.
+LENT = 0.5
 #: Expressions a task counts before it hands them on, and words it remembers while scoring.
 HELD_KEYS, HELD_WORDS = 500_000, 300_000
 #: Characters of the texts whose words are looked up together.
@@ -93,15 +99,18 @@ class Expressions(dict):
 
 
 class Bits(dict):
-    """The bit of a word among 64."""
+    """The bits of a word among 192: one of 64, and one of MAPS bitmaps of 16."""
 
     def __missing__(self, word: str) -> int:
-        self[word] = 1 << (zlib.crc32(word.encode("utf-8", "surrogatepass")) & 63)
+        number = xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass"))
+        rest = number >> 16
+        level = min((rest & -rest).bit_length() - 1, 15) if rest else 15
+        self[word] = 1 << (number & 63) | 1 << (64 + 16 * (number >> 6 & MAPS - 1) + level)
         return self[word]
 
 
 def count(texts: DataFrame) -> DataFrame:
-    """key, toxic, ordinary (texts), toxic_before, ordinary_before (bits of the words before) of all expressions.
+    """key, toxic, ordinary (texts), and the bits of the words before (three longs per class) of all expressions.
 
     Summed per task before the shuffle.
     """
@@ -122,12 +131,9 @@ def count(texts: DataFrame) -> DataFrame:
                 keys, bits, sums, before = Expressions(), Bits(), (Counter(), Counter()), ({}, {})
         yield _counted(sums, before)
 
-    counted = texts.mapInPandas(
-        task, "key long, toxic long, ordinary long, toxic_before long, ordinary_before long"
-    )
-    return counted.groupBy("key").agg(
-        *[F.sum(c).alias(c) for c in CLASSES], *[F.bit_or(f"{c}_before").alias(f"{c}_before") for c in CLASSES]
-    )
+    bits = [f"{c}_before{i}" for c in CLASSES for i in range(3)]
+    counted = texts.mapInPandas(task, "key long, toxic long, ordinary long, " + ", ".join(f"{b} long" for b in bits))
+    return counted.groupBy("key").agg(*[F.sum(c).alias(c) for c in CLASSES], *[F.bit_or(b).alias(b) for b in bits])
 
 
 def _counted(sums: tuple[Counter, Counter], before: tuple[dict, dict]) -> pd.DataFrame:
@@ -135,22 +141,29 @@ def _counted(sums: tuple[Counter, Counter], before: tuple[dict, dict]) -> pd.Dat
     columns = {"key": np.array(found, np.int64)}
     for c, name in ((1, "toxic"), (0, "ordinary")):
         columns[name] = np.fromiter((sums[c][k] for k in found), np.int64, len(found))
-        columns[f"{name}_before"] = np.fromiter((before[c].get(k, 0) for k in found), np.uint64, len(found)).view(np.int64)
+        bits = [before[c].get(k, 0) for k in found]
+        for i in range(3):
+            part = np.fromiter((b >> 64 * i & (1 << 64) - 1 for b in bits), np.uint64, len(found))
+            columns[f"{name}_before{i}"] = part.view(np.int64)
     return pd.DataFrame(columns)
 
 
-def different(texts: Column, bits: Column) -> Column:
+def different(texts: Column, bits: list[Column]) -> Column:
     """Number of different predecessors, at most the number of texts."""
-    ones = F.bit_count(bits)
-    estimate = F.least(-64.0 * F.log(1.0 - ones / 64.0), texts.cast("double"))
-    return F.when(ones < FULL, estimate).otherwise(texts.cast("double"))
+    ones = F.bit_count(bits[0])
+    few = -64.0 * F.log(1.0 - ones / 64.0)
+    # the lowest bit that no predecessor set, averaged over the bitmaps
+    maps = [F.shiftrightunsigned(part, 16 * i).bitwiseAND(F.lit(0xFFFF)) for part in bits[1:] for i in range(4)]
+    lowest = [F.bit_count(F.bitwise_not(m).bitwiseAND(m + 1) - 1) for m in maps]
+    many = F.pow(F.lit(2.0), sum(lowest) / float(MAPS)) * (MAPS / 0.77351)
+    return F.least(F.when(ones < FULL, few).otherwise(F.greatest(many, F.lit(float(FULL)))), texts.cast("double"))
 
 
 def log_ratios(counts: DataFrame, discount: float = DISCOUNT) -> tuple[DataFrame, float]:
     """(key, ratio) of the words with evidence, and the ratio of all others: log p_toxic / p_ordinary."""
     counts = counts.select(
         "key",
-        *[different(F.col(c), F.col(f"{c}_before")).alias(c) for c in CLASSES],
+        *[different(F.col(c), [F.col(f"{c}_before{i}") for i in range(3)]).alias(c) for c in CLASSES],
         (F.when(F.col("toxic") > 0, 1).otherwise(0) + F.when(F.col("ordinary") > 0, 1).otherwise(0)).alias("n"),
     )
     counts = landed(counts, "words")
@@ -203,7 +216,8 @@ class Ratios(dict):
         for word, some in zip(new, keys):
             end = at + len(some)
             # nan is the only value that differs from itself
-            self[word] = next((v for v in values[at:end] if v == v), self.other)
+            own, *lent = values[at:end]
+            self[word] = own if own == own else LENT * next((v for v in lent if v == v), self.other / LENT)
             at = end
 
     def _look_up(self, keys: np.ndarray) -> np.ndarray:
@@ -242,8 +256,8 @@ def _pieces(texts) -> Iterator[list[str | None]]:
 
 
 def features(ratios: Ratios, texts) -> np.ndarray:
-    """Per text: log ratio per word, per word of the worst stretch, and the logarithm of the number of words."""
-    out = np.zeros((len(texts), 3))
+    """Per text: log ratio per word, per word of its worst stretches, and the logarithm of the number of words."""
+    out = np.zeros((len(texts), 2 + len(STRETCHES)))
     row = -1
     for piece in _pieces(texts):
         if len(ratios) > HELD_WORDS:
@@ -255,8 +269,8 @@ def features(ratios: Ratios, texts) -> np.ndarray:
             if found:
                 sums = np.zeros(len(found) + 1)
                 np.cumsum(np.fromiter(map(ratios.__getitem__, found), float, len(found)), out=sums[1:])
-                worst = (sums[STRETCH:] - sums[:-STRETCH]).max() if len(found) >= STRETCH else sums[-1]
-                out[row] = sums[-1] / len(found), worst / STRETCH, np.log1p(len(found))
+                worst = [((sums[n:] - sums[:-n]).max() if len(found) >= n else sums[-1]) / n for n in STRETCHES]
+                out[row] = sums[-1] / len(found), *worst, np.log1p(len(found))
     return out
 
 
@@ -276,7 +290,7 @@ def fit_curve(features: np.ndarray, labels: np.ndarray, share: float, rounds: in
     return w
 
 
-SCALE = np.array([20.0, 5.0, 1.0])
+SCALE = np.array([20.0, 5.0, 2.0, 1.0, 1.0])
 
 
 class Model:
@@ -322,20 +336,23 @@ def fit(docs: DataFrame, labels: DataFrame, slots: int = SLOTS, curve_rows: int
         return Model(None, np.zeros(1 + len(SCALE)), (shares["toxic"] or 0) / shares["n"] if shares["n"] else 0.0)
     share = shares["toxic"] / shares["n"]
     # of the labelled rows, those with the smallest draws set the curve: a fifth, but a bounded number
-    limit = int(1_000_000 * min(0.2, curve_rows / shares["n"]))
+    limit = max(1, int(1_000_000 * min(0.2, curve_rows / shares["n"])))
     counts = count(learned.where(F.col("draw") >= limit).select("text", "toxic"))
     ratios, other = log_ratios(counts, discount)
     table = (to_shards(ratios, slots), other)
 
+    names = [f"f{i}" for i in range(len(SCALE))]
+
     def task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         ratios = Ratios(*table)
         for batch in batches:
             f = features(ratios, batch["text"].tolist())
-            yield pd.DataFrame({"a": f[:, 0], "b": f[:, 1], "c": f[:, 2], "toxic": batch["toxic"]})
+            yield pd.DataFrame(f, columns=names).assign(toxic=batch["toxic"].to_numpy())
 
     sample = learned.where(F.col("draw") < limit).select("text", "toxic")
-    rows = sample.mapInPandas(task, "a double, b double, c double, toxic int").limit(2 * curve_rows).toPandas()
-    weights = fit_curve(rows[["a", "b", "c"]].to_numpy(), rows["toxic"].to_numpy(float), share)
+    shape = ", ".join(f"{n} double" for n in names) + ", toxic int"
+    rows = sample.mapInPandas(task, shape).limit(2 * curve_rows).toPandas()
+    weights = fit_curve(rows[names].to_numpy(), rows["toxic"].to_numpy(float), share)
     return Model(table, weights, share)
 
 
@@ -348,4 +365,5 @@ def predict(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
 
 def keep_ordinary(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     """The documents that are not predicted toxic, with their columns."""
-    return fit(docs, labels, **options).score(docs, "__score").where(F.col("__score") < THRESHOLD).drop("__score")
+    name = unused(docs, "__score")
+    return fit(docs, labels, **options).score(docs, name).where(F.col(name) < THRESHOLD).drop(name)
