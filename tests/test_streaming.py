@@ -56,6 +56,58 @@ def test_live_view_batch_can_run_again(spark, tmp_path):
         live.update(frame, 7)
 
 
+STREAM_WINDOWS = [
+    view.SlidingTime(timedelta(seconds=9)),
+    view.TumblingTime(timedelta(seconds=10), timedelta(seconds=4)),
+    view.Delta("id", 6),
+    view.Punctuation("p"),
+]
+
+
+@pytest.mark.parametrize("keys", [["k"], []])
+@pytest.mark.parametrize("window", STREAM_WINDOWS)
+def test_live_windows_equal_batch(spark, tmp_path, window, keys):
+    port = ViewSpec(["ts", "id"], keys=keys, window=window)
+    ids = F.col("id")
+    rows = spark.range(80).select(
+        "id",
+        (F.lit(T0) + F.make_dt_interval(secs=ids)).alias("ts"),
+        F.when(ids % 11 == 0, None).otherwise(F.when(ids % 2 == 0, 0).otherwise(ids % 5)).alias("k"),
+        (ids % 13 == 5).alias("p"),
+    )
+    live = LiveView(spark, str(tmp_path), port, buckets=8)
+    # the row 20 comes two batches late, the row 47 in the right batch but apart
+    parts = [(ids < 25) & (ids != 20), ids.between(25, 49) & (ids != 47), (ids == 47) | ids.between(50, 61) | (ids == 20), ids >= 62]
+    seen = None
+    for batch, part in enumerate(parts):
+        arrived = rows.where(part)
+        live.update(arrived.repartition(3), batch)
+        if batch == 2:
+            live.update(arrived, batch)
+        seen = arrived if seen is None else seen.unionByName(arrived)
+        wanted = view.snapshot(seen, port)
+        assert sorted(map(str, live.contents().select(*rows.columns).collect())) == sorted(map(str, wanted.collect()))
+    assert 20 in {r["id"] for r in live.late().collect()}
+
+
+def test_a_batch_writes_the_buckets_of_its_keys_only(spark, tmp_path):
+    live = LiveView(spark, str(tmp_path), ViewSpec(["id"], 2, ["k"]), buckets=32)
+    frame = spark.range(600).withColumn("k", F.col("id") % 200)
+    live.update(frame, 0)
+    first = live.written(0)
+    assert len(first) > 25
+    live.update(spark.createDataFrame([(1000, 7), (1001, 7), (1002, 9)], "id long, k long"), 1)
+    assert 1 <= len(live.written(1)) <= 2
+    assert set(live.manifest(1)) == set(first) and sorted(set(live.manifest(1).values())) == [0, 1]
+    got = sorted((r["k"], r["id"]) for r in live.contents().where("k in (7, 8, 9)").collect())
+    assert got == [(7, 1000), (7, 1001), (8, 208), (8, 408), (9, 409), (9, 1002)]
+    live.update(spark.createDataFrame([(2000, 7)], "id long, k long"), 2)
+    live.update(spark.createDataFrame([(2001, 8)], "id long, k long"), 3)
+    # what neither of the last two batches needs is gone
+    assert live.batches() == [2, 3] and not set(live.written(0)) & set(live.written(1))
+    assert live.contents().count() == 400
+
+
 def test_idle_partitions_are_evicted(spark, tmp_path):
     port = ViewSpec(["ts"], 3, ["k"])
     live = LiveView(spark, str(tmp_path), port, evict_after=timedelta(minutes=10))

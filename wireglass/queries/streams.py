@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wireglass.operators import ingest
-from wireglass.operators.view import ViewSpec
+from wireglass.operators.view import SlidingTime, ViewSpec
 from wireglass.queries import derive
 from wireglass.queries.exchange import CORRELATE_SQL
 from wireglass.queries.ingest import _FORM_SQL, FORM_SCHEMA
@@ -33,6 +33,28 @@ def stream_last_n(spark: SparkSession, sf_dir: str) -> DataFrame:
     return live.contents().select("event_id", "user_id", "event_type")
 
 
+_LANDING = "least(CASE WHEN day(ts) <= 10 THEN 0 WHEN day(ts) <= 20 THEN 1 ELSE 2 END + CASE WHEN event_id % 50 = 0 THEN 1 ELSE 0 END, 2)"
+
+
+@query(
+    f"WITH e AS (SELECT *, {_LANDING} AS part, max(ts) OVER (PARTITION BY user_id) AS m FROM events), "
+    "k AS (SELECT user_id, part, max(ts) AS newest FROM e GROUP BY ALL) "
+    "SELECT event_id, user_id, 'shown' AS fate FROM e WHERE ts > m - INTERVAL 2 DAY UNION ALL "
+    "SELECT event_id, user_id, 'late' FROM e WHERE ts <= "
+    "(SELECT max(newest) FROM k WHERE k.user_id = e.user_id AND k.part < e.part) - INTERVAL 2 DAY"
+)
+def stream_sliding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Live view of the last two days per user over three landings, with a restart each; every 50th row lands late."""
+    root = shared_dir(spark, "sliding")
+    events = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type")
+    live = LiveView(spark, root, ViewSpec(derive.ORDER, keys=["user_id"], window=SlidingTime(timedelta(days=2))), buckets=16)
+    for part in range(3):
+        events.where(F.expr(_LANDING) == part).write.mode("append").parquet(f"{root}/in")
+        live.start(stream_landed(spark, f"{root}/in", events.schema)).awaitTermination()
+    shown = live.contents().select("event_id", "user_id", F.lit("shown").alias("fate"))
+    return shown.unionByName(live.late().select("event_id", "user_id", F.lit("late").alias("fate")))
+
+
 # How far behind its newest row a landed part may still bring rows, and the parts that land one after the other.
 DISORDER = timedelta(minutes=10)
 PARTS = 4

@@ -1,9 +1,14 @@
 """Live views: window contents kept by a streaming query.
 
-The state is a table of the newest rows per key with their running number and
-is replaced per micro-batch. A batch adds, per key, only its newest rows and
-its row count: both are cut down before the shuffle, so a hot key costs a
-bounded number of rows and no Python code sees single rows.
+The state lies in hash buckets of the keys. A micro-batch reads and writes the
+buckets that its keys fall in and no others; a manifest per batch says which
+batch wrote each bucket last, so that a batch can run again and a restart goes on.
+
+A count window keeps the newest rows per key with their running number: a batch
+adds, per key, only its newest rows and its row count, both cut down before the
+shuffle. Other windows keep what can still be shown: rows leave by time, value or
+punctuation, not by number. A row that comes too late to be ever shown goes to a
+table of rejects. No Python code sees single rows.
 """
 
 from __future__ import annotations
@@ -12,24 +17,29 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import timedelta
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from wireglass.operators.view import ViewSpec
+from wireglass.operators.view import Delta, Punctuation, SlidingTime, TumblingTime, ViewSpec
 
-_NUMBER = "__r"
+_NUMBER, _BUCKET = "__r", "__bucket"
 
 
 @dataclass
 class LiveView:
     """Snapshot store of one view port below `root` (a folder executors share).
 
-    Every micro-batch writes its state to `state/batch=<id>`; a batch that is
-    run again overwrites its own folder and reads the one before it.
-    `evict_after` removes partitions whose newest row is that much older than
-    the newest row of the stream.
+    `state/batch=<id>/__bucket=<b>` holds the buckets that a batch wrote, `clock` the
+    newest row of the stream (or the two newest punctuations), `late` the rejects,
+    and `manifest` which folders count. `evict_after` removes partitions whose newest
+    row is that much older than the newest row of the stream. `buckets` should grow
+    with the number of keys, so that a bucket stays far below a task's memory; it
+    must not change while the view lives.
+
+    A delta window keeps what is near the newest value and lets go the rest for good,
+    so its contents equal the batch view where the attribute does not turn back.
     """
 
     spark: SparkSession
@@ -37,55 +47,117 @@ class LiveView:
     spec: ViewSpec
     evict_after: timedelta | None = None
     schema: T.StructType | None = None
+    buckets: int = 64
 
     def __post_init__(self) -> None:
-        if self.spec.window is not None:
-            raise ValueError("a live view keeps count windows only")
+        if self.evict_after is not None and isinstance(self.spec.window, Punctuation):
+            raise ValueError("a punctuation window empties its partitions itself")
+
+    @property
+    def _clocked(self) -> bool:
+        return self.spec.window is not None or self.evict_after is not None
 
     @property
     def _trigger(self) -> int:
         return self.spec.n if self.spec.tumbling else self.spec.trigger
 
-    def _path(self, batch: int) -> str:
-        return f"{self.root}/state/batch={batch}"
+    def _path(self, part: str, batch: int) -> str:
+        return f"{self.root}/{part}/batch={batch}"
 
-    def _files(self):
-        """File system and root path, as the cluster's storage sees them."""
+    def _hadoop(self, path: str):
+        """File system and path, as the cluster's storage sees them."""
         context = self.spark.sparkContext
-        root = context._jvm.org.apache.hadoop.fs.Path(f"{self.root}/state")
-        return root.getFileSystem(context._jsc.hadoopConfiguration()), root
+        there = context._jvm.org.apache.hadoop.fs.Path(path)
+        return there.getFileSystem(context._jsc.hadoopConfiguration()), there
+
+    def _listed(self, path: str) -> list[str]:
+        files, there = self._hadoop(path)
+        return sorted(e.getPath().getName() for e in files.listStatus(there)) if files.exists(there) else []
 
     def batches(self) -> list[int]:
-        """Ids of the completely written states, oldest first."""
-        files, root = self._files()
-        if not files.exists(root):
-            return []
-        found = []
-        for entry in files.listStatus(root):
-            path = entry.getPath()
-            if files.exists(path.suffix("/_SUCCESS")):
-                found.append(int(path.getName().split("=")[1]))
-        return sorted(found)
+        """Ids of the completely written batches, oldest first."""
+        names = [n for n in self._listed(f"{self.root}/manifest") if n.startswith("batch=")]
+        done = [n for n in names if "_SUCCESS" in self._listed(f"{self.root}/manifest/{n}")]
+        return sorted(int(n.split("=")[1]) for n in done)
+
+    def written(self, batch: int) -> list[int]:
+        """Buckets that a batch wrote."""
+        names = self._listed(self._path("state", batch))
+        return sorted(int(n.split("=")[1]) for n in names if n.startswith(f"{_BUCKET}="))
+
+    def manifest(self, batch: int) -> dict[int, int]:
+        """Batch that wrote each bucket last; at most `buckets` entries."""
+        rows = self.spark.read.schema("bucket int, batch long").parquet(self._path("manifest", batch)).collect()
+        return {r["bucket"]: r["batch"] for r in rows}
+
+    def _bucket(self) -> Column:
+        return F.pmod(F.xxhash64(*self.spec.keys), F.lit(self.buckets)).cast("int") if self.spec.keys else F.lit(0)
+
+    def _state(self, where: dict[int, int], buckets: set[int] | None = None) -> DataFrame | None:
+        paths = [f"{self._path('state', at)}/{_BUCKET}={b}" for b, at in where.items() if buckets is None or b in buckets]
+        return self.spark.read.parquet(*paths) if paths else None
+
+    def _clock(self, batch: int) -> DataFrame | None:
+        return self.spark.read.parquet(self._path("clock", batch)) if batch >= 0 and self._clocked else None
 
     def update(self, rows: DataFrame, batch: int) -> None:
-        """foreachBatch function: merge a micro-batch into the state."""
+        """foreachBatch function: merge a micro-batch into the buckets it touches."""
         earlier = [b for b in self.batches() if b < batch]
         if batch > 0 and (not earlier or earlier[-1] != batch - 1):
             raise RuntimeError(f"state of batch {batch - 1} is missing below {self.root}")
-        old = self.spark.read.parquet(self._path(batch - 1)) if batch > 0 else None
-        merged = merge_state(old, rows, self.spec, self._trigger)
-        if self.evict_after is not None:
-            merged = self._evict(merged)
-        merged.write.mode("overwrite").parquet(self._path(batch))
-        # only the last batch can be run again, and it reads the one before it
-        files, root = self._files()
-        for done in earlier[:-1]:
-            files.delete(root.suffix(f"/batch={done}"), True)
-
-    def _evict(self, state: DataFrame) -> DataFrame:
+        before = self.manifest(batch - 1) if batch > 0 else {}
+        # a batch is read several times; at most `buckets` numbers come to the driver
+        rows = rows.withColumn(_BUCKET, self._bucket()).persist()
+        try:
+            touched = {r[0] for r in rows.select(_BUCKET).distinct().collect()}
+            self._write(rows.drop(_BUCKET), before, touched, batch)
+        finally:
+            rows.unpersist()
+        now = {b: at for b, at in before.items() if b not in touched} | dict.fromkeys(self.written(batch), batch)
+        listed = self.spark.createDataFrame(sorted(now.items()), "bucket int, batch long")
+        listed.coalesce(1).write.mode("overwrite").parquet(self._path("manifest", batch))
+        self._forget(earlier, before, now)
+
+    def _write(self, rows: DataFrame, before: dict[int, int], touched: set[int], batch: int) -> None:
+        clock, old, window = self._clock(batch - 1), self._state(before, touched), self.spec.window
+        if old is not None and self.evict_after is not None:
+            old = self._living(old, clock)
+        if window is not None:
+            too_late(rows, old, clock, self.spec).write.mode("overwrite").parquet(self._path("late", batch))
+        if self._clocked:
+            seen = rows if clock is None else clock.unionByName(rows)
+            marks = isinstance(window, Punctuation)
+            seen = seen.where(F.col(window.column)) if marks else seen
+            newest = seen.orderBy(*[F.col(c).desc() for c in self.spec.order]).limit(2 if marks else 1)
+            newest.write.mode("overwrite").parquet(self._path("clock", batch))
+        if window is None:
+            merged = merge_state(old, rows, self.spec, self._trigger)
+        else:
+            merged = still_needed(rows if old is None else old.unionByName(rows), self._clock(batch), self.spec)
+        # adaptive execution splits a bucket that holds most rows and joins small ones
+        placed = merged.withColumn(_BUCKET, self._bucket()).hint("rebalance", F.col(_BUCKET))
+        placed.write.mode("overwrite").partitionBy(_BUCKET).parquet(self._path("state", batch))
+
+    def _forget(self, earlier: list[int], before: dict[int, int], now: dict[int, int]) -> None:
+        """Delete what neither this batch nor the one before it (which can run again) needs."""
+        if len(earlier) < 2:
+            return
+        last = earlier[-2]
+        for bucket, at in self.manifest(last).items():
+            if before.get(bucket) != at and now.get(bucket) != at:
+                self._delete(f"{self._path('state', at)}/{_BUCKET}={bucket}")
+        for part in ("manifest", "clock"):
+            self._delete(self._path(part, last))
+
+    def _delete(self, path: str) -> None:
+        files, there = self._hadoop(path)
+        files.delete(there, True)
+
+    def _living(self, state: DataFrame, clock: DataFrame) -> DataFrame:
+        """Without the partitions that are idle for too long."""
         ts, keys = self.spec.order[0], list(self.spec.keys)
-        newest = state.agg(F.max(ts)).scalar()
-        own = F.max(ts).over(Window.partitionBy(*keys)) if keys else newest
+        own = F.max(ts).over(Window.partitionBy(*keys)) if keys else state.agg(F.max(ts)).scalar()
+        newest = clock.agg(F.max(ts)).scalar()
         return state.withColumn("__own", own).where(F.col("__own") > newest - F.lit(self.evict_after)).drop("__own")
 
     def start(self, stream: DataFrame) -> StreamingQuery:
@@ -100,12 +172,82 @@ class LiveView:
 
     def contents(self, batch: int | None = None) -> DataFrame:
         """Rows visible after a batch, by default the last one; none before the first."""
-        if batch is None:
-            done = self.batches()
-            if not done:
-                return self.spark.createDataFrame([], self.schema or T.StructType())
+        done = self.batches()
+        if batch is None and done:
             batch = done[-1]
-        return visible(self.spark.read.parquet(self._path(batch)), self.spec, self._trigger)
+        state = None if batch is None else self._state(self.manifest(batch))
+        if state is None:
+            return self.spark.createDataFrame([], self.schema or T.StructType())
+        clock = self._clock(batch)
+        if self.evict_after is not None:
+            state = self._living(state, clock)
+        if self.spec.window is None:
+            return visible(state, self.spec, self._trigger)
+        if isinstance(self.spec.window, TumblingTime | Punctuation):
+            # the newest row and punctuations are never shown themselves; they say what is
+            state = state.join(clock, list(self.spec.order), "left_anti").unionByName(clock)
+        return self.spec.window.contents(state, self.spec.order, self.spec.keys)
+
+    def late(self) -> DataFrame:
+        """Rows that came too late to be shown, of all batches."""
+        paths = [f"{self.root}/late/{n}" for n in self._listed(f"{self.root}/late")]
+        if not paths:
+            return self.spark.createDataFrame([], self.schema or T.StructType())
+        return self.spark.read.parquet(*paths)
+
+
+# ---- windows by time, value and punctuation ------------------------------------------
+
+
+def _window_end(clock: DataFrame, window: TumblingTime, ts: str) -> Column:
+    """Start of the open window of the newest row: the end of the one that is shown."""
+    width, shift = (f"{round(t.total_seconds() * 1e6)} microseconds" for t in (window.size, window.start))
+    newest = clock.agg(F.max(ts).alias(ts))
+    return newest.select(F.window(ts, width, startTime=shift)["start"].alias("end")).scalar()
+
+
+def still_needed(rows: DataFrame, clock: DataFrame, spec: ViewSpec) -> DataFrame:
+    """Rows that the window shows now or may show later."""
+    window, ts = spec.window, spec.order[0]
+    if isinstance(window, TumblingTime):
+        return rows.where(F.col(ts) >= _window_end(clock, window, ts) - F.lit(window.size))
+    if isinstance(window, Punctuation):
+        place = F.struct(*spec.order)
+        marks = clock.agg(F.min(place).alias("open"), F.count("*").alias("n"))
+        opened = marks.select(F.when(F.col("n") == 2, F.col("open"))).scalar()
+        kept = rows.where(~F.coalesce(F.col(window.column), F.lit(False)))
+        return kept.where(F.coalesce(place > opened, F.lit(True)))
+    return window.contents(rows, spec.order, spec.keys)
+
+
+def too_late(rows: DataFrame, old: DataFrame | None, clock: DataFrame | None, spec: ViewSpec) -> DataFrame:
+    """Rows of a batch that the state before it rules out for good."""
+    window, ts, keys = spec.window, spec.order[0], list(spec.keys)
+    if clock is None:
+        return rows.limit(0)
+    place = F.struct(*spec.order)
+    if isinstance(window, TumblingTime):
+        return rows.where(F.col(ts) < _window_end(clock, window, ts) - F.lit(window.size))
+    if isinstance(window, Punctuation):
+        marks = clock.agg(F.min(place).alias("open"), F.count("*").alias("n"))
+        opened = marks.select(F.when(F.col("n") == 2, F.col("open"))).scalar()
+        return rows.where(F.coalesce(place < opened, F.lit(False)))
+    if old is None:
+        return rows.limit(0)
+    newest = [F.max(place).alias("__place"), F.max(ts).alias("__ts")]
+    if isinstance(window, Delta):
+        newest.append(F.max_by(window.attribute, place).alias("__value"))
+    # one narrow row per key of the touched buckets
+    whose = F.struct(*keys) if keys else F.lit(0)
+    summary = old.groupBy(whose.alias("__key")).agg(*newest)
+    if isinstance(window, SlidingTime):
+        ruled_out = F.col(ts) <= F.col("__ts") - F.lit(window.size)
+    else:
+        ruled_out = (place < F.col("__place")) & (F.abs(F.col("__value") - F.col(window.attribute)) > F.lit(window.distance))
+    return rows.join(summary, whose == F.col("__key")).where(ruled_out).select(*rows.columns)
+
+
+# ---- count windows ---------------------------------------------------------------------
 
 
 def _numbered(rows: DataFrame, depth: int, order: Sequence[str], keys: Sequence[str]) -> DataFrame:
