@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 # whole texts travel to Python, so a batch holds few rows: a thousand long documents still fit a worker
@@ -38,3 +39,27 @@ def unused(df: DataFrame, name: str) -> str:
     while name.lower() in taken:
         name += "_"
     return name
+
+
+def whole_row(df: DataFrame) -> Column:
+    """All columns as one struct `__row`: beside it helper columns cannot clash with those of the table."""
+    return F.struct(*df.columns).alias("__row")
+
+
+def unpacked(df: DataFrame, columns: list[str]) -> DataFrame:
+    """The columns that `whole_row` packed."""
+    return df.select(*[F.col("__row")[c].alias(c) for c in columns])
+
+
+def has_maps(kind: T.DataType) -> bool:
+    """Whether values of the type cannot be put in order."""
+    if isinstance(kind, T.StructType):
+        return any(has_maps(f.dataType) for f in kind)
+    if isinstance(kind, T.ArrayType):
+        return has_maps(kind.elementType)
+    return isinstance(kind, T.MapType | T.VariantType)
+
+
+def orderable(df: DataFrame, name: str) -> Column:
+    """The column, as JSON text where it holds maps."""
+    return F.to_json(F.struct(name)) if has_maps(df.schema[name].dataType) else F.col(name)

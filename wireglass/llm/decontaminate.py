@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wireglass.llm.common import lower_az
+from wireglass.llm.common import lower_az, unpacked, whole_row
 from wireglass.plans.pinned import pinned
 from wireglass.session import landed
 
@@ -155,8 +155,9 @@ def remove_documents(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW)
     """Documents without any hit, with all their columns."""
     bad = _matches(docs, benchmark, size).where("at > 0").select("doc_id", "text_hash").distinct()
     bad = bad.select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"))
-    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.xxhash64("text") == F.col("__hash"))
-    return docs.join(bad, same, "left_anti")
+    rows = docs.select(F.col("doc_id").alias("__doc"), F.xxhash64("text").alias("__text"), whole_row(docs))
+    same = F.col("__doc").eqNullSafe(F.col("__id")) & (F.col("__text") == F.col("__hash"))
+    return unpacked(rows.join(bad, same, "left_anti"), docs.columns)
 
 
 def remove_spans(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW) -> DataFrame:
@@ -188,8 +189,11 @@ def remove_spans(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW) -> D
         "left",
     )
     clean = clean.select("__id", "__hash", F.coalesce("__clean", F.lit("")).alias("__clean"))
-    whole = docs.join(clean, same, "left")
-    return whole.withColumn("text", F.coalesce("__clean", "text")).select(*docs.columns)
+    rows = docs.select(F.col("doc_id").alias("__doc"), F.xxhash64("text").alias("__text"), whole_row(docs))
+    same = F.col("__doc").eqNullSafe(F.col("__id")) & (F.col("__text") == F.col("__hash"))
+    row = F.col("__row")
+    columns = [F.coalesce("__clean", row[c]).alias(c) if c == "text" else row[c].alias(c) for c in docs.columns]
+    return rows.join(clean, same, "left").select(*columns)
 
 
 SQL = r"""

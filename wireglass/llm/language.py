@@ -19,7 +19,7 @@ nothing can be learned. Repeated rows are scored each. Extra columns are kept.
 
 from __future__ import annotations
 
-import re
+import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wireglass.llm.common import fold, small_batches
+from wireglass.llm.common import fold, small_batches, unused
 
 WINDOW = 256
 WIDTHS = (2, 3, 4)
@@ -35,11 +35,15 @@ FILTERS = 12
 SAMPLE, SAMPLE_ALL, WINDOWS = 1500, 20_000, 2
 HELD_OUT = 2
 UNKNOWN = "und"
-LETTER = re.compile(r"[^\W\d_]")
 #: Windows passed through the network at once.
 BATCH = 64
 
 
+def has_letter(text: str | None) -> bool:
+    """A letter by its Unicode category, as `\\p{L}`; number characters are none."""
+    return any(unicodedata.category(c)[0] == "L" for c in text or "")
+
+
 def to_bytes(text: str) -> bytes:
     return text.lower().encode("utf-8", "surrogatepass")
 
@@ -161,7 +165,7 @@ class Model:
 
     def predict(self, texts) -> tuple[list[str], np.ndarray]:
         """Names and scores of a batch of texts."""
-        known = [i for i, t in enumerate(texts) if t and LETTER.search(t)]
+        known = [i for i, t in enumerate(texts) if has_letter(t)]
         names, scores = [UNKNOWN] * len(texts), np.zeros(len(texts))
         if not known or self.net is None:
             return names, scores
@@ -185,7 +189,11 @@ class Model:
 
 
 def learn(docs: DataFrame, sample: int = SAMPLE, sample_all: int = SAMPLE_ALL, windows: int = WINDOWS) -> Model:
-    """Train on a bounded sample of the rows with a language that are not held out."""
+    """Train on a bounded sample of the rows with a language that are not held out.
+
+    `sample` rows per language and `sample_all` in all; so that every language gets ten
+    rows, the `sample_all` / 10 most frequent ones are learned and no others predicted.
+    """
     usable = F.col("lang").isNotNull() & (fold(F.col("doc_id")) != HELD_OUT) & F.col("text").rlike(r"\p{L}")
     known = docs.where(usable)
     # the number of learned languages is bounded by the sample: the most frequent ones
@@ -234,5 +242,6 @@ def predict(docs: DataFrame, **options) -> DataFrame:
             names, scores = model.predict(batch.tolist())
             yield pd.DataFrame({"lang_pred": names, "score": scores})
 
-    scored = docs.withColumn("__guess", of("text")).withColumn("held_out", fold(F.col("doc_id")) == HELD_OUT)
-    return scored.withColumn("lang_pred", F.col("__guess.lang_pred")).withColumn("score", F.col("__guess.score")).drop("__guess")
+    guess = unused(docs, "__guess")
+    scored = docs.withColumn(guess, of("text")).withColumn("held_out", fold(F.col("doc_id")) == HELD_OUT)
+    return scored.withColumn("lang_pred", F.col(guess)["lang_pred"]).withColumn("score", F.col(guess)["score"]).drop(guess)

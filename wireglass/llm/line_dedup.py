@@ -23,6 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wireglass.llm.common import whole_row
 from wireglass.session import landed
 
 LEAST = 10
@@ -71,21 +72,26 @@ def remove(docs: DataFrame, least: int = LEAST, site: str = SITE_COLUMN) -> Data
     hit = marked.where(F.col("hash").isNotNull()).join(bad, "hash").groupBy("doc_id", "text_hash")
     hits = hit.agg(F.collect_set("hash").alias("__hashes"))
     hits = hits.select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"), "__hashes")
-    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.xxhash64("text") == F.col("__hash"))
-    joined = docs.join(hits, same, "left").drop("__id", "__hash")
-    pieces = F.transform(lines(F.col("text")), lambda x: F.struct(x.alias("line"), line_hash(x).alias("hash")))
+    same = F.col("__doc").eqNullSafe(F.col("__id")) & (F.col("__text") == F.col("__hash"))
+    rows = docs.select(F.col("doc_id").alias("__doc"), F.xxhash64("text").alias("__text"), whole_row(docs))
+    joined = rows.join(hits, same, "left").select("__row", "__hashes")
+    text = F.col("__row")["text"]
+    pieces = F.transform(lines(text), lambda x: F.struct(x.alias("line"), line_hash(x).alias("hash")))
     joined = joined.withColumn("__lines", pieces)
     # null-safe: an empty line has no hash and stays
     stay = F.filter("__lines", lambda x: ~F.coalesce(F.array_contains("__hashes", x["hash"]), F.lit(False)))
     clean = F.array_join(F.transform(stay, lambda x: x["line"]), "\n")
     full = F.size(F.filter("__lines", lambda x: x["hash"].isNotNull()))
     left = F.size(F.filter(stay, lambda x: x["hash"].isNotNull()))
-    return joined.select(
-        *[c for c in docs.columns if c not in ("text", "n_lines", "n_removed")],
-        F.when(F.col("__hashes").isNull(), F.col("text")).otherwise(clean).alias("text"),
-        F.coalesce(full, F.lit(0)).cast("bigint").alias("n_lines"),
-        F.coalesce(full - left, F.lit(0)).cast("bigint").alias("n_removed"),
-    )
+    made = {
+        "text": F.when(F.col("__hashes").isNull(), text).otherwise(clean),
+        "n_lines": F.coalesce(full, F.lit(0)).cast("bigint"),
+        "n_removed": F.coalesce(full - left, F.lit(0)).cast("bigint"),
+    }
+    # in two steps, so that no column of the table is named like one that is still read
+    ready = joined.select("__row", F.struct(*[value.alias(name) for name, value in made.items()]).alias("__made"))
+    kept = [F.col("__row")[c].alias(c) for c in docs.columns if c not in made]
+    return ready.select(*kept, *[F.col("__made")[name].alias(name) for name in made])
 
 
 SQL = r"""

@@ -25,6 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from wireglass.llm.common import has_maps, unpacked, whole_row
 from wireglass.session import landed
 
 WEIGHTS = (5, 2, 1)
@@ -123,8 +124,10 @@ def mix(
     docs: DataFrame, weights=WEIGHTS, budget: float = BUDGET, most: int = MOST_COPIES, seed: str = SEED
 ) -> DataFrame:
     """Per row: doc_id, size, source_size, target, copies, taken."""
-    sizes = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"))
-    sizes = sizes.withColumn("u", uniform(F.col("doc_id"), seed)).withColumn("tag", F.monotonically_increasing_id())
+    # rows without an id are told apart by their text
+    name = F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("\0"), "text")).alias("name")
+    sizes = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), name)
+    sizes = sizes.withColumn("u", uniform(F.col("name"), seed)).drop("name").withColumn("tag", F.monotonically_increasing_id())
     sizes = landed(sizes, "sizes")
     aims = targets(sizes, weights, budget, most).withColumnRenamed("source", "__source")
     rows = sizes.join(aims, F.col("source").eqNullSafe(F.col("__source"))).drop("__source", "weight")
@@ -153,21 +156,24 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     counts = mix(docs.select("doc_id", "source", "text"), **options).groupBy("doc_id", "size")
     counts = counts.agg(F.sum("copies").alias("__copies"), F.count("*").alias("__rows"))
     counts = counts.withColumnsRenamed({"doc_id": "__id", "size": "__size"})
-    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (word_count(F.col("text")) == F.col("__size"))
-    joined = docs.join(counts, same)
+    same = F.col("__doc").eqNullSafe(F.col("__id")) & (F.col("__words") == F.col("__size"))
+    rows = docs.select(F.col("doc_id").alias("__doc"), word_count(F.col("text")).alias("__words"), whole_row(docs))
+    # equal rows may change places, so what has no order counts by its JSON text
+    ties = [F.to_json("__row")] if has_maps(docs.schema) else [F.col("__row")[c] for c in docs.columns if c != "text"]
     # of equal ids and sizes the first rows take what does not divide evenly
-    number = F.row_number().over(Window.partitionBy("__id", "__size").orderBy("text", *[c for c in docs.columns if c != "text"]))
+    order = Window.partitionBy("__id", "__size").orderBy(F.col("__row")["text"], *ties)
     own = F.floor(F.col("__copies") / F.col("__rows")) + F.when(
-        number <= F.col("__copies") % F.col("__rows"), 1
+        F.row_number().over(order) <= F.col("__copies") % F.col("__rows"), 1
     ).otherwise(0)
-    repeated = joined.withColumn("__own", own.cast("int")).where("__own > 0")
-    return repeated.select(*docs.columns, F.explode(F.array_repeat(F.lit(1), F.col("__own"))).alias("__n")).drop("__n")
+    taken = rows.join(counts, same).withColumn("__own", own.cast("int")).where("__own > 0")
+    repeated = taken.select("__row", F.explode(F.array_repeat(F.lit(1), F.col("__own"))).alias("__n"))
+    return unpacked(repeated, docs.columns)
 
 
 SQL = r"""
 WITH s AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
-    (('0x' || substr(md5('mix' || coalesce(doc_id::VARCHAR, '')), 1, 12))::BIGINT::DOUBLE + 0.5) / 281474976710656.0 AS u
+    (('0x' || substr(md5('mix' || coalesce(doc_id::VARCHAR, chr(0) || text, '')), 1, 12))::BIGINT::DOUBLE + 0.5) / 281474976710656.0 AS u
   FROM documents
 ), t AS (
   SELECT source, sum(size)::BIGINT AS source_size FROM s GROUP BY source

@@ -19,7 +19,7 @@ all queries of one query block with its own nearest ones, and the answers are
 merged per query. Query blocks of QUERIES rows are broadcast one after the other
 (their size is bounded); what is shuffled is `k` rows per query and task.
 
-Vectors that are null, zero, hold a null or a non-finite number, or have another
+Vectors that have no id, are null, zero, hold a null or a non-finite number, or have another
 length than most of the sample take no part, neither as query nor as candidate. Repeated ids are
 separate candidates; a query leaves out the rows of its own id. Fewer candidates
 than k give fewer rows; within a block with fewer codes in the radius than k, the
@@ -54,7 +54,7 @@ NEAR = [[np.flatnonzero(ONES[np.arange(256) ^ v] <= r) for v in range(256)] for
 def valid(vector: str = "embedding"):
     """Whether a vector takes part, whatever its length."""
     finite = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    return F.col(vector).isNotNull() & finite & F.exists(vector, lambda x: x != 0)
+    return F.col("vec_id").isNotNull() & F.col(vector).isNotNull() & finite & F.exists(vector, lambda x: x != 0)
 
 
 class Codes:
@@ -64,6 +64,7 @@ class Codes:
         self.centre, self.rotation, self.radius = centre, rotation, radius
 
     def encode(self, x: np.ndarray) -> np.ndarray:
+        # zeros fill the last substring: equal in all codes, they change no distance
         return np.packbits((x - self.centre) @ self.rotation > 0, axis=1)
 
 
@@ -136,8 +137,6 @@ def fit(vectors: DataFrame, recall: float = RECALL, sample: int = SAMPLE) -> tup
     if rows.empty:
         return None, 0
     size = Counter(map(len, rows["embedding"])).most_common(1)[0][0]
-    if size % SUBSTRING:
-        raise ValueError(f"vectors of {size} numbers cannot be split into substrings of {SUBSTRING} bits")
     same = [v for v in rows["embedding"] if len(v) == size]
     return learn(np.array(same, np.float64), recall), size
 

@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wireglass.llm.common import small_batches
+from wireglass.llm.common import has_maps, small_batches, unpacked, whole_row
 from wireglass.session import landed
 
 SHINGLE = 3
@@ -192,7 +192,14 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     holders = rooted.join(smallest, "root").where(F.col("first").eqNullSafe(F.col("component_id")))
     rows = marked.join(holders.select("fp", F.col("root").alias("__root"), "component_id"), "fp")
     rows = rows.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("__a", "__b", "__root").distinct()
-    kept = docs.withColumns(dict(zip(("__a", "__b"), _row_keys()))).join(rows, ["__a", "__b"])
-    row = F.min(F.struct("text", "doc_id", *[c for c in docs.columns if c not in ("doc_id", "text")])).alias("__row")
-    one = kept.groupBy("__root").agg(row)
-    return one.select(*[F.col(f"__row.{c}").alias(c) for c in docs.columns])
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    values = [F.col("__row")["text"], F.col("__row")["doc_id"], *[F.col("__row")[c] for c in others]]
+    kept = docs.select(whole_row(docs), *_row_keys()).join(rows, ["__a", "__b"])
+    if has_maps(docs.schema):
+        # maps have no order: their JSON text stands for them
+        ranked = F.struct(*values[:2], F.to_json("__row"))
+        one = kept.groupBy("__root").agg(F.min_by("__row", ranked).alias("__row"))
+        return unpacked(one, docs.columns)
+    names = ["text", "doc_id", *others]
+    one = kept.groupBy("__root").agg(F.min(F.struct(*[v.alias(n) for v, n in zip(values, names)])).alias("__row"))
+    return unpacked(one, docs.columns)

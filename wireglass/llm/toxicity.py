@@ -167,13 +167,14 @@ def log_ratios(counts: DataFrame, discount: float = DISCOUNT) -> tuple[DataFrame
         (F.when(F.col("toxic") > 0, 1).otherwise(0) + F.when(F.col("ordinary") > 0, 1).otherwise(0)).alias("n"),
     )
     counts = landed(counts, "words")
-    total = counts.agg(*[F.sum(c).alias(c) for c in (*CLASSES, "n")]).first()
+    # no counted text at all gives nulls
+    total = {c: n or 0.0 for c, n in counts.agg(*[F.sum(c).alias(c) for c in (*CLASSES, "n")]).first().asDict().items()}
     size = float(min(total["toxic"], total["ordinary"])) or 1.0
     scaled = {c: F.col(c) * F.lit(size / max(total[c], 1.0)) for c in CLASSES}
     masses = counts.agg(*[F.sum(F.least(scaled[c], F.lit(discount))).alias(c) for c in CLASSES]).first()
-    backoff = {c: max(masses[c], 1e-9) / size for c in CLASSES}
+    backoff = {c: max(masses[c] or 0.0, 1e-9) / size for c in CLASSES}
     above = {c: F.greatest(scaled[c] - discount, F.lit(0.0)) / size for c in CLASSES}
-    shared = F.col("n") / F.lit(float(total["n"]))
+    shared = F.col("n") / F.lit(float(total["n"]) or 1.0)
     likely = {c: above[c] + backoff[c] * shared for c in CLASSES}
     known = counts.where((above["toxic"] > 0) | (above["ordinary"] > 0))
     ratio = F.log(likely["toxic"] / likely["ordinary"])
