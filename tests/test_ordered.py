@@ -1,6 +1,7 @@
 """Ordered plans against plain Python, with many small buckets and crowded keys."""
 
 import random
+from collections import Counter
 from datetime import datetime, timedelta
 
 import pytest
@@ -149,3 +150,45 @@ def test_nearby_holds_every_pair_once(spark):
         got = met.where("at >= s AND (e IS NULL OR at <= e)").select("i", "j").collect()
         want = [(i, j) for i, at in points for j, s, e in spans if s <= at and (e is None or at <= e)]
         assert sorted(map(tuple, got)) == sorted(want)
+
+
+def tied(spark, seed=3):
+    """Two crowded days, one of them with skewed second values, and some days between and around."""
+    draw = random.Random(seed)
+    rows = [(10, draw.randint(-500, 500)) for _ in range(4000)] + [(20, draw.choice([1, 2, 3, draw.randint(0, 10**9)])) for _ in range(3000)]
+    rows += [(d, draw.randint(0, 50)) for d in (1, 9, 11, 15, 19, 21, 400) for _ in range(30)] + [(None, 5), (10, None), (20, None)]
+    frame = spark.createDataFrame([(*r, i) for i, r in enumerate(rows)], "d long, s long, i long")
+    return frame.repartition(4), rows
+
+
+def test_crowded_values_are_split_by_the_next_column(spark):
+    frame, rows = tied(spark)
+    layout = measure(frame, "d", 200, then="s")
+    assert layout.ties.values == (10, 20)
+    placed = layout.place(frame, ["d", "s", "i"], "b").collect()
+    place = lambda r: tuple((v is not None, v or 0) for v in (r["d"], r["s"]))
+    numbers = [r["b"] for r in sorted(placed, key=place)]
+    assert numbers == sorted(numbers) and numbers[0] == -1 and numbers[-1] < layout.total
+    sizes = Counter(r["b"] for r in placed if r["d"] == 10)
+    assert max(sizes.values()) <= 400 and len(sizes) >= 15
+    # of the day 20 a third has the same second value: that stays together, the rest does not
+    assert len({r["b"] for r in placed if r["d"] == 20}) > 3
+    assert measure(frame, "d", 200).ties is None and measure(frame, "i", 200, then="s").ties is None
+
+
+def test_numbers_over_ties(spark):
+    frame, rows = tied(spark)
+    layout = measure(frame, "d", 100, then="s")
+    got = [r["i"] for r in sequence(frame, ["d", "s", "i"], layout=layout).orderBy("seq").collect()]
+    want = sorted(range(len(rows)), key=lambda i: (*((v is not None, v or 0) for v in rows[i]), i))
+    assert got == want
+    met = neighbours(frame, ["d", "s", "i"], ["i"], layout=layout).collect()
+    after = {r["i"]: r["next"] and r["next"]["i"] for r in met}
+    assert [after[i] for i in want] == [*want[1:], None]
+
+
+def test_two_dates_of_a_million_rows_each_are_spread(spark):
+    frame = spark.range(2_000_000).select(F.when(F.col("id") % 2 == 0, F.lit("2024-01-01")).otherwise(F.lit("2024-01-02")).cast("date").alias("d"), "id")
+    layout = measure(frame, "d", 100_000, then="id")
+    sizes = layout.place(frame, ["d", "id"], "b").groupBy("b").count().collect()
+    assert len(sizes) >= 19 and max(r["count"] for r in sizes) <= 200_000

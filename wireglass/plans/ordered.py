@@ -29,9 +29,8 @@ def _bucketed(
     nulls included, so that the window, the totals and the join between them
     all partition by the same columns and the rows are shuffled once.
     """
-    layout = layout or measure(df, order[0])
-    number = F.coalesce(layout.number(F.col(order[0]), df.schema[order[0]].dataType), F.lit(-1))
-    rows = df.withColumn(_BUCKET, number)
+    layout = layout or measure(df, order[0], then=order[1] if len(order) > 1 else None)
+    rows = layout.place(df, order, _BUCKET)
     if keys:
         rows = rows.withColumn(_KEY, F.struct(*keys))
     return rows, [_KEY] if keys else [], layout
@@ -84,7 +83,7 @@ def measures(
     inside = {f"__i_{n}": m.fold(f"__v_{n}").over(window(m.inclusive)) for n, m in wanted.items()}
     rows = source.withColumns(inside)
     before = {n: F.lit(None) for n in wanted}
-    if layout.count > 1:
+    if layout.total > 1:
         # one row per (key, bucket), so this window sees summaries only
         across = Window.partitionBy(*part).orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
         totals = source.groupBy(*part, _BUCKET).agg(*[m.fold(f"__v_{n}").alias(f"__t_{n}") for n, m in wanted.items()])
@@ -137,7 +136,7 @@ def neighbours(
     own = F.struct(*columns)
     inside = Window.partitionBy(*part, _BUCKET).orderBy(*order)
     rows = source.withColumn("prev", F.lag(own).over(inside)).withColumn("next", F.lead(own).over(inside))
-    if layout.count > 1:
+    if layout.total > 1:
         place = F.struct(*order)
         ends = source.groupBy(*part, _BUCKET).agg(
             F.min_by(own, place).alias("__first"), F.max_by(own, place).alias("__last")

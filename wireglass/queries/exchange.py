@@ -22,6 +22,13 @@ def tracking_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exchange.assign_tracking_key(events, derive.ORDER).select("event_id", "key")
 
 
+@query("SELECT o_orderkey, row_number() OVER (ORDER BY o_orderdate, o_orderkey) AS key FROM orders")
+def tracking_key_by_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys in the order of a day that many orders share."""
+    order = ["o_orderdate", "o_orderkey"]
+    return exchange.assign_tracking_key(table(spark, sf_dir, "orders").select(*order), order).select("o_orderkey", "key")
+
+
 @query(
     "SELECT conv_id, turn, CASE WHEN turn % 3 = 0 THEN 'q=' || conv_id || '+x%20' ELSE "
     "replace(replace(text, chr(10), ''), chr(13), '') END AS payload FROM conversations"
