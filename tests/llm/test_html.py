@@ -1,5 +1,7 @@
 """Main text of pages."""
 
+import time
+
 import pytest
 
 from llm_fixtures import frame  # noqa: F401
@@ -103,3 +105,79 @@ def test_extract(frame):
     assert len(got) == 4 and {r["n_chars"] for r in got if r["page_id"] == 3} == {2}
     assert all(r["text"] == "" for r in got if r["page_id"] == 2)
     assert html.extract(pages.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<div>" * 100_000 + "x, y",
+        "<b>x" * 100_000,
+        "<div>x, y" * 100_000,
+        "<div>" * 100_000 + "</section></i>" * 100_000,
+        "<div>" * 100_000 + "<td>a</td>" * 100_000,
+        "<article><div class=ad>x, y" * 50_000,
+    ],
+    ids=["deep", "inline", "texts", "stray ends", "cells", "stories"],
+)
+def test_time_is_linear(page):
+    start = time.monotonic()
+    html.main_text(page)
+    assert time.monotonic() - start < 10
+
+
+def test_links_of_an_article_stay():
+    links = "<ul><li><a>first reference</a></li><li><a>second reference</a></li></ul>"
+    assert html.main_text(f"<article><p>{PROSE}</p>{links}</article>") == f"{PROSE}\n\nfirst reference\n\nsecond reference"
+    long = f"<p>{PROSE} {PROSE}</p>"
+    between = html.main_text(f"<body><div>{long}{links}{long}</div><div><ul><li><a>menu</a></li></ul></div></body>")
+    assert between == f"{PROSE} {PROSE}\n\nfirst reference\n\nsecond reference\n\n{PROSE} {PROSE}"
+    assert html.main_text(f"<body><div>{long}{links}</div></body>") == f"{PROSE} {PROSE}"
+
+
+def plain_main(page: html.Page) -> list[str]:
+    """The method by sets of ancestors and sums over all blocks, for every element anew."""
+    def above(element):
+        return [] if element <= 0 else [element, *above(page.parent[element])]
+
+    paths = [above(e) for e, _ in page.blocks]
+    size = range(1, len(page.tag))
+    text = {e: sum(len(t) for (_, t), path in zip(page.blocks, paths) if e in path) for e in size}
+    points = dict.fromkeys(size, 0.0)
+    for (element, block), path in zip(page.blocks, paths):
+        worth = min(len(block) / 100, 3.0) + block.count(",") + (1.0 if len(block) >= 25 else 0.1)
+        if page.tag[element] in ("p", "pre", "li", "td", "blockquote", *html.HEADINGS):
+            path = path[1:]
+        for n, e in enumerate(path[:5]):
+            points[e] += worth * (1, 1 / 2, 1 / 6, 1 / 9, 1 / 12)[n]
+    density = {e: page.links[e] / text[e] if text[e] else 0.0 for e in size}
+    score = {e: points[e] * (0.5 if e in page.lowered else 1) * (1 - density[e]) for e in size}
+    prose = {e for e in size if page.tag[e] == "p" and text[e] >= 80 and density[e] < 0.25}
+    able = [e for e in size if page.tag[e] not in ("html", "p", "li", "td", "th", *html.HEADINGS)]
+    best = max(able, key=lambda e: (round(score[e], 9), -e), default=0)
+    if not best or score[best] <= 0:
+        return [t for _, t in page.blocks]
+    best = next((e for e in above(best) if page.tag[e] in ("article", "main")), best)
+    kept = {best}
+    for e in size:
+        if page.tag[best] not in ("body", "main") and e != best and page.parent[e] == page.parent[best]:
+            good = score[e] >= 0.2 * score[best] > 0 and page.tag[e] not in html.HEADINGS
+            if good or e in prose or (page.tag[e] in ("h1", "h2") and text[e] and e < best):
+                kept.add(e)
+    chosen = [e for e in prose if best in above(e)]
+    dropped = set()
+    for e in size:
+        if page.tag[e] in ("ul", "ol", "table", "div", "section") and density[e] > 0.8:
+            inside = {x for x in size if e in above(x)}
+            between = chosen and min(chosen) < e and max(inside) < max(chosen)
+            article = any(page.tag[x] == "article" for x in above(e))
+            if best not in above(e) or not (article or between):
+                dropped.add(e)
+    return [t for (_, t), path in zip(page.blocks, paths) if kept & set(path) and not dropped & set(path)]
+
+
+def test_plain_version_over_pages(spark):
+    rows = spark.read.parquet("/root/testdata/sf0.01/pages.parquet").select("html").collect()
+    assert rows
+    for (source,) in rows:
+        if source:
+            assert html.main_text(source) == "\n\n".join(plain_main(html.Page(source)))

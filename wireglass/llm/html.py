@@ -11,7 +11,9 @@ notices, adverts, forms, scripts, styles and comments are no candidates: they ar
 known by their elements, roles and the names in their class and id. A name must be
 made of such words as a whole ("site-footer", not "has-footer"), and is only a
 hint: an element with an article or most of the page's text stays a candidate,
-of half its points.
+of half its points. Lists and boxes of links without such a name are dropped,
+but not those inside an article or between the paragraphs of the best container.
+A page is read in time linear in its length, however deep its elements nest.
 
 Character references are decoded, white space inside a block becomes one space,
 blocks are trimmed and joined in page order by an empty line.
@@ -27,6 +29,8 @@ from __future__ import annotations
 
 import html as references
 import re
+from bisect import bisect_left
+from collections import defaultdict
 from collections.abc import Iterator
 
 import pandas as pd
@@ -61,7 +65,7 @@ JUNK_ROLES = set("navigation banner contentinfo complementary search menu menuba
 JUNK_WORDS = set(
     "ad ads adv advert adverts advertisement advertisements advertising adsense adslot banner banners breadcrumb breadcrumbs comment "
     "comments commentlist consent cookie cookies copyright disclaimer discussion disqus dropdown footer footers gdpr hidden login masthead menu menus "
-    "menubar modal nav navbar navi navigation newsletter notice notices notification notifications alert alerts overlay pager pagination "
+    "menubar modal nav navbar navi navigation newsletter notice notices notification notifications alert alerts opinions overlay pager pagination "
     "paywall popup popups promo promos promotion promoted recommended recommendations related replies reply respond responses search share sharebar sharing "
     "sidebar sidebars sidenav signup skip social sponsor sponsored sponsors subscribe subscription subscriptions tagcloud teaser teasers toc toolbar "
     "topbar trending widget widgets".split()
@@ -71,7 +75,7 @@ PLAIN_WORDS = set(
     "area articles bar bars block blocks body bottom box btn button buttons col column container desktop div el elem element entries "
     "entry form full global group head heading icon icons id img inner item items js label left line link links list lists "
     "lower main mini mobile module my node outer page pane panel primary region right row secondary section side site "
-    "small sub tab text thread title top unit upper view wrap wrapper zone posts news stories".split()
+    "reader readers small sub tab text thread title top unit upper user users view visitor visitors wrap wrapper zone posts news stories".split()
 )
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 SHARES = (1.0, 0.5, 1 / 6, 1 / 9, 1 / 12)
@@ -108,8 +112,11 @@ class Page:
         self._score()
 
     def _read(self, html: str) -> None:
-        # open elements: (tag, element, is junk, is link, only headings count)
-        stack = [("#root", 0, False, False, False)]
+        # open tags: (tag, nearest element that is a block, is junk, is link, only headings count, in a heading, in an article)
+        stack = [("#root", 0, False, False, False, False, False)]
+        # where in the stack each tag is open, and which of its places are blocks: no step walks the whole stack
+        places: dict[str, list[int]] = defaultdict(list)
+        outer = [0]
         pieces: list[tuple[str, bool]] = []
         at, end = 0, len(html)
 
@@ -119,7 +126,7 @@ class Page:
             raw = "".join([p for p, _ in pieces])
             text = " ".join(raw.split())
             if text:
-                block = next(e for t, e, *_ in reversed(stack) if t not in INLINE)
+                block = stack[-1][1]
                 self.blocks.append((block, text))
                 linked = sum(len(p) for p, inside in pieces if inside)
                 self.text[block] += len(text)
@@ -129,8 +136,8 @@ class Page:
         def add(text: str) -> None:
             if stack[-1][0] == "head" and not text.isspace():
                 pop(len(stack) - 1)
-            _, _, junk, link, headings = stack[-1]
-            if junk or (headings and not any(t in HEADINGS for t, *_ in stack)):
+            _, _, junk, link, headings, heading, _ = stack[-1]
+            if junk or (headings and not heading):
                 return
             pieces.append((references.unescape(text) if "&" in text else text, link))
 
@@ -138,7 +145,11 @@ class Page:
             while len(stack) > to:
                 if stack[-1][0] not in INLINE:
                     flush()
-                stack.pop()
+                    outer.pop()
+                places[stack.pop()[0]].pop()
+
+        def nearest(tags) -> int:
+            return max((places[t][-1] for t in tags if places[t]), default=0)
 
         while at < end:
             found = TAG.search(html, at)
@@ -160,13 +171,10 @@ class Page:
                     flush()
                 continue
             if closing:
-                for depth in range(len(stack) - 1, 0, -1):
-                    if stack[depth][0] == name:
-                        pop(depth)
-                        break
-                    # an inline end tag does not close blocks
-                    if name in INLINE and stack[depth][0] not in INLINE:
-                        break
+                # an inline end tag does not close blocks
+                depth = nearest((name,))
+                if depth and (name not in INLINE or depth > outer[-1]):
+                    pop(depth)
                 continue
             if name in VOID:
                 continue
@@ -176,20 +184,13 @@ class Page:
                     at = stop.end() if stop else end
                 continue
             if name in ENDS_PARAGRAPH:
-                for depth in range(len(stack) - 1, 0, -1):
-                    if stack[depth][0] == "p":
-                        pop(depth)
-                        break
-                    if stack[depth][0] not in INLINE:
-                        break
+                if stack[outer[-1]][0] == "p":
+                    pop(outer[-1])
             elif name in SAME:
-                for depth in range(len(stack) - 1, 0, -1):
-                    if stack[depth][0] in SAME[name]:
-                        pop(depth)
-                        break
-                    if stack[depth][0] in SAME_UNTIL:
-                        break
-            tag, element, junk, link, headings = stack[-1]
+                depth = nearest(SAME[name])
+                if depth > nearest(SAME_UNTIL):
+                    pop(depth)
+            _, element, junk, link, headings, heading, inside = stack[-1]
             if name not in INLINE:
                 flush()
                 self.parent.append(element)
@@ -199,19 +200,23 @@ class Page:
                 self.points.append(0.0)
                 element = len(self.tag) - 1
             if not junk:
-                kind = self._kind(name, attributes, stack)
+                kind = self._kind(name, attributes, inside)
                 if kind.startswith("named "):
                     kind = kind.removeprefix("named ")
                     if name not in INLINE:
                         self.named[element], kind = kind, ""
                 junk, headings = kind == "junk", headings or kind == "header"
-            stack.append((name, element, junk, link or name == "a", headings))
+            if name not in INLINE:
+                outer.append(len(stack))
+            places[name].append(len(stack))
+            stack.append(
+                (name, element, junk, link or name == "a", headings, heading or name in HEADINGS, inside or name in ("article", "main"))
+            )
         pop(1)
         flush()
 
     @staticmethod
-    def _kind(name: str, attributes: str, stack) -> str:
-        inside = any(t in ("article", "main") for t, *_ in stack)
+    def _kind(name: str, attributes: str, inside: bool) -> str:
         if name in JUNK_TAGS:
             return "junk"
         if name == "header":
@@ -240,13 +245,12 @@ class Page:
 
     def _judge(self) -> None:
         """Drop the blocks of elements with a junk name, but for those that hold the page's story or most of its text."""
-        size, last, text = len(self.tag), list(range(len(self.tag))), list(self.text)
-        # elements are in page order: those inside one are the numbers up to its last
+        size, text = len(self.tag), list(self.text)
+        last = self._last()
         for element in range(size - 1, 0, -1):
-            above = self.parent[element]
-            text[above] += text[element]
-            last[above] = max(last[above], last[element])
+            text[self.parent[element]] += text[element]
         stories = [e for e in range(1, size) if self.tag[e] in ("article", "main") and e not in self.named and text[e] >= STORY * text[0] > 0]
+        ends = min((last[s] for s in stories), default=size)
         dropped = dict.fromkeys(range(size), "")
         heading = [False] * size
         for element in range(1, size):
@@ -256,9 +260,10 @@ class Page:
             kind = self.named.get(element)
             if not kind or dropped[element] == "junk":
                 continue
-            holds = any(element <= s <= last[element] for s in stories)
+            first = bisect_left(stories, element)
+            holds = first < len(stories) and stories[first] <= last[element]
             # a story beside it, neither around nor within, leaves no doubt about the name
-            beside = any(s > last[element] or last[s] < element for s in stories)
+            beside = bool(stories) and (stories[-1] > last[element] or ends < element)
             if holds or (text[element] > MOST * text[0] and not beside):
                 self.lowered.add(element)
             else:
@@ -273,6 +278,20 @@ class Page:
                 self.text[element] = self.links[element] = 0
             self.blocks = kept
 
+    def _last(self) -> list[int]:
+        """Per element the last one inside it: elements are in page order, those inside one are the numbers up to that."""
+        last = list(range(len(self.tag)))
+        for element in range(len(last) - 1, 0, -1):
+            last[self.parent[element]] = max(last[self.parent[element]], last[element])
+        return last
+
+    def _under(self, some: set[int]) -> list[bool]:
+        """Per element whether it is one of `some` or inside one."""
+        under = [False] * len(self.tag)
+        for element in range(1, len(under)):
+            under[element] = element in some or under[self.parent[element]]
+        return under
+
     def _above(self, element: int) -> Iterator[int]:
         while element > 0:
             yield element
@@ -311,26 +330,32 @@ class Page:
             for other in range(1, len(self.tag)):
                 if other == best or self.parent[other] != self.parent[best]:
                     continue
-                prose = self.tag[other] == "p" and self.text[other] >= 80 and self.density(other) < 0.25
                 heading = self.tag[other] in ("h1", "h2") and self.text[other] and other < best
-                if prose or heading or (self.score(other) >= limit > 0 and self.tag[other] not in HEADINGS):
+                if self._prose(other) or heading or (self.score(other) >= limit > 0 and self.tag[other] not in HEADINGS):
                     kept.add(other)
-        lists = self._link_lists()
-        out = []
-        for element, text in self.blocks:
-            path = set(self._above(element))
-            if path & kept and not path & lists:
-                out.append(text)
-        return out
+        inside, lists = self._under(kept), self._under(self._link_lists(best))
+        return [text for element, text in self.blocks if inside[element] and not lists[element]]
 
-    def _link_lists(self) -> set[int]:
-        """Lists and boxes that are little but links: menus without a name."""
+    def _link_lists(self, best: int) -> set[int]:
+        """Lists and boxes that are little but links: menus without a name.
+
+        Those of an article are its references, and so are those that stand
+        between the paragraphs of the chosen container.
+        """
+        articles = self._under({e for e in range(1, len(self.tag)) if self.tag[e] == "article"})
+        chosen, last = self._under({best}), self._last()
+        prose = [e for e in range(1, len(self.tag)) if self._prose(e) and chosen[e]]
         crowded = set()
         for element in range(1, len(self.tag)):
             if self.tag[element] in ("ul", "ol", "table", "div", "section") and self.density(element) > 0.8:
-                crowded.add(element)
+                between = prose and prose[0] < element and last[element] < prose[-1]
+                if not (chosen[element] and (articles[element] or between)):
+                    crowded.add(element)
         return crowded
 
+    def _prose(self, element: int) -> bool:
+        return self.tag[element] == "p" and self.text[element] >= 80 and self.density(element) < 0.25
+
 
 def main_text(html: str | None) -> str:
     """Main text of one page."""
