@@ -192,3 +192,17 @@ def test_two_dates_of_a_million_rows_each_are_spread(spark):
     layout = measure(frame, "d", 100_000, then="id")
     sizes = layout.place(frame, ["d", "id"], "b").groupBy("b").count().collect()
     assert len(sizes) >= 19 and max(r["count"] for r in sizes) <= 200_000
+
+
+def test_backward_minimum_over_buckets(spark):
+    rows = spark.range(500).select("id", (F.col("id") % 3).alias("k"), F.when(F.col("id") % 7 == 0, F.col("id")).alias("v"))
+    wanted = {
+        "at": Measure(F.col("v"), "min", backward=True),
+        "after": Measure(F.col("v"), "min", inclusive=False, backward=True),
+    }
+    got = measures(rows, ["id"], wanted, keys=["k"], layout=measure(rows, "id", 20)).collect()
+    assert len(got) == 500
+    for row in got:
+        later = [i for i in range(row["id"], 500) if i % 7 == 0 and i % 3 == row["k"]]
+        assert row["at"] == min(later, default=None)
+        assert row["after"] == min([i for i in later if i > row["id"]], default=None)

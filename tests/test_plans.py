@@ -5,8 +5,9 @@ import re
 import pytest
 from conftest import SMALL
 
-from wireglass.operators import exchange, ingest, view
+from wireglass.operators import exchange, ingest, messages, view
 from wireglass.operators.view import ViewSpec
+from wireglass.plans.buckets import measure
 from wireglass.plans.ordered import sequence
 from wireglass.queries import QUERIES, derive
 from wireglass.queries.registry import table
@@ -45,6 +46,14 @@ def test_rows_are_shuffled_once_per_running_measure(spark):
     assert re.search(r"SortMergeJoin \[__key#\d+, __bucket#\d+L\][^\n]*\n\s*:- Window", text)
 
 
+def test_frames_are_numbered_once(spark):
+    # one pass over the rows and one for the totals of their buckets
+    frames = derive.frames(spark, SMALL)
+    text = plan(messages.assemble(frames, layout=measure(frames, "ts")))
+    assert len(re.findall(r"FileScan parquet|Scan parquet", text)) == 2
+    assert "LeftSemi" not in text
+
+
 def test_top_rows_without_a_full_sort(spark):
     events = table(spark, SMALL, "events")
     assert "TakeOrderedAndProject" in plan(view.last_n(events, 16, derive.ORDER))

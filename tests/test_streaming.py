@@ -6,12 +6,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from wireglass.functions.types import schema
-from wireglass.operators import exchange, ingest, view
+from wireglass.operators import exchange, ingest, messages, view
 from wireglass.operators.view import ViewSpec
 from wireglass.session import shared_dir
 from wireglass.sources import RAW_REQUESTS, stream_landed, write_frame
 from wireglass.streaming.correlate import correlate_streams
 from wireglass.streaming.live_view import LiveView
+from wireglass.streaming.messages import MessageAssembly, MessageCounter, SessionRegistry
 
 T0 = datetime(2024, 1, 1)
 
@@ -162,3 +163,78 @@ def test_streaming_ingest_keeps_rejects(spark, tmp_path):
     assert out.where("error is null").count() == 6 and out.where("error is not null").count() == 3
     with pytest.raises(ValueError):
         write_frame(injected, str(tmp_path / "x"))
+
+
+FRAMES = "session_key string, ts timestamp, seq long, kind string, fin boolean, payload binary"
+
+
+def frames(spark, rows):
+    """Rows of (session, seq, kind, fin); a payload names its frame."""
+    return spark.createDataFrame([(s, T0 + timedelta(seconds=q), q, k, f, f"{q};".encode()) for s, q, k, f in rows], FRAMES)
+
+
+TRAFFIC = [
+    [("a", 1, "text", False), ("b", 2, "text", True), ("a", 3, "text", False), (None, 4, "binary", False)],
+    [("c", 5, "text", False), ("b", 6, "open", False)],
+    [],
+    [("a", 7, "text", True), ("a", 8, "text", False), (None, 9, "binary", True), ("c", 10, "close", True), ("c", 11, "text", True)],
+    [("a", 12, "open", False), ("a", 13, "text", True), ("b", 14, "text", False), ("b", 15, "text", True), ("c", 16, "text", None)],
+]
+
+
+def test_frames_over_several_batches(spark, tmp_path):
+    store = MessageAssembly(spark, str(tmp_path / "store"), buckets=4)
+    seen = []
+    for batch, rows in enumerate(TRAFFIC):
+        seen += rows
+        if batch == 3:
+            # a batch that broke off runs again with the same rows
+            store.update(frames(spark, rows), batch)
+        store.update(frames(spark, rows), batch)
+        columns = ["session_key", "message_no", "seq", "kind", "frames", "payload"]
+        assert len(store.written(batch)) <= len({r[0] for r in rows})
+        if batch in (2, 4):
+            wanted = messages.assemble(frames(spark, seen)).select(*columns)
+            assert sorted(map(str, store.messages().select(*columns).collect())) == sorted(map(str, wanted.collect()))
+    got = {(r["session_key"], r["message_no"]): bytes(r["payload"]) for r in store.messages().collect()}
+    assert got[("a", 0)] == b"1;3;7;" and got[(None, 0)] == b"4;9;" and ("c", 0) not in got
+    assert [r["seq"] for r in store.open_frames().collect()] == [16]
+
+
+def test_a_missing_batch_is_an_error(spark, tmp_path):
+    store = MessageAssembly(spark, str(tmp_path / "store"))
+    store.update(frames(spark, TRAFFIC[0]), 0)
+    with pytest.raises(RuntimeError, match="state of batch 1"):
+        store.update(frames(spark, TRAFFIC[1]), 2)
+
+
+def test_sessions_over_several_batches(spark, tmp_path):
+    parts = [
+        [("a", 1, "open", True), ("b", 2, "close", True), ("c", 3, "open", True)],
+        [("a", 4, "open", True), (None, 5, "open", True)],
+        [],
+        [("c", 6, "close", True), ("c", 7, "open", True), ("a", 8, "close", True), ("a", 9, "close", True)],
+        [("b", 10, "open", True), (None, 11, "close", True)],
+    ]
+    store = SessionRegistry(spark, str(tmp_path / "store"), buckets=3)
+    seen = []
+    for batch, rows in enumerate(parts):
+        seen += rows
+        for _ in range(2 if batch == 1 else 1):
+            store.update(frames(spark, rows), batch)
+        if batch in (2, 4):
+            wanted = messages.sessions(frames(spark, seen), ["ts", "seq"])
+            assert sorted(map(str, store.sessions().select(*wanted.columns).collect())) == sorted(map(str, wanted.collect()))
+            gauge = messages.clients_gauge(wanted, ["ts", "seq"])
+            assert sorted(map(str, store.gauge().select(*gauge.columns).collect())) == sorted(map(str, gauge.collect()))
+    assert store.gauge().orderBy("seq").tail(1)[0]["clients"] == 2
+
+
+def test_acknowledgements_over_several_batches(spark, tmp_path):
+    store = MessageCounter(spark, str(tmp_path / "store"), ["ts", "seq"], ack_count=3)
+    for batch, rows in enumerate(TRAFFIC):
+        for _ in range(2 if batch == 3 else 1):
+            store.update(frames(spark, rows), batch)
+    wanted = messages.acknowledgements(frames(spark, sum(TRAFFIC, [])), 3, ["ts", "seq"])
+    assert sorted(map(str, store.acks().collect())) == sorted(map(str, wanted.collect()))
+    assert [r["count"] for r in store.acks().orderBy("count").collect()] == [3, 6, 9, 12, 15]

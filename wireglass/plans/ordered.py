@@ -46,17 +46,21 @@ def _attach(rows: DataFrame, carry: DataFrame, keys: Sequence[str], extra: Seque
 
 @dataclass(frozen=True)
 class Measure:
-    """A running sum or max; `inclusive=False` leaves the row's own value out."""
+    """A running sum, max or min; `inclusive=False` leaves the row's own value out, `backward` runs from the last row."""
 
     value: Column
     how: str = "sum"
     inclusive: bool = True
+    backward: bool = False
 
     def fold(self, name: str) -> Column:
-        return F.sum(name) if self.how == "sum" else F.max(name)
+        return {"sum": F.sum, "max": F.max, "min": F.min}[self.how](name)
+
+    def ordered(self, columns: Sequence[str]) -> list[Column]:
+        return [F.col(c).desc() if self.backward else F.col(c).asc() for c in columns]
 
     def join(self, before: Column, inside: Column) -> Column:
-        both = before + inside if self.how == "sum" else F.greatest(before, inside)
+        both = before + inside if self.how == "sum" else F.greatest(before, inside) if self.how == "max" else F.least(before, inside)
         known = F.coalesce(both, inside, before)
         return F.coalesce(known, F.lit(0)) if self.how == "sum" else known
 
@@ -76,18 +80,20 @@ def measures(
     values = {f"__v_{name}": measure_.value for name, measure_ in wanted.items()}
     source, part, layout = _bucketed(df.withColumns(values), order, keys, layout)
 
-    def window(inclusive: bool) -> WindowSpec:
-        end = Window.currentRow if inclusive else -1
-        return Window.partitionBy(*part, _BUCKET).orderBy(*order).rowsBetween(Window.unboundedPreceding, end)
+    def window(m: Measure) -> WindowSpec:
+        end = Window.currentRow if m.inclusive else -1
+        return Window.partitionBy(*part, _BUCKET).orderBy(*m.ordered(order)).rowsBetween(Window.unboundedPreceding, end)
+
+    def across(m: Measure) -> WindowSpec:
+        # one row per (key, bucket), so this window sees summaries only
+        return Window.partitionBy(*part).orderBy(*m.ordered([_BUCKET])).rowsBetween(Window.unboundedPreceding, -1)
 
-    inside = {f"__i_{n}": m.fold(f"__v_{n}").over(window(m.inclusive)) for n, m in wanted.items()}
+    inside = {f"__i_{n}": m.fold(f"__v_{n}").over(window(m)) for n, m in wanted.items()}
     rows = source.withColumns(inside)
     before = {n: F.lit(None) for n in wanted}
     if layout.total > 1:
-        # one row per (key, bucket), so this window sees summaries only
-        across = Window.partitionBy(*part).orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
         totals = source.groupBy(*part, _BUCKET).agg(*[m.fold(f"__v_{n}").alias(f"__t_{n}") for n, m in wanted.items()])
-        carry = totals.withColumns({f"__b_{n}": m.fold(f"__t_{n}").over(across) for n, m in wanted.items()})
+        carry = totals.withColumns({f"__b_{n}": m.fold(f"__t_{n}").over(across(m)) for n, m in wanted.items()})
         rows = _attach(rows, carry, part, [f"__b_{n}" for n in wanted])
         before = {n: F.col(f"__b_{n}") for n in wanted}
     result = {n: m.join(before[n], F.col(f"__i_{n}")) for n, m in wanted.items()}

@@ -5,7 +5,7 @@ Each must give the rows of its batch form.
 
 from __future__ import annotations
 
-from datetime import timedelta
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,12 +15,14 @@ from wireglass.operators.view import SlidingTime, ViewSpec
 from wireglass.queries import derive
 from wireglass.queries.exchange import CORRELATE_SQL
 from wireglass.queries.ingest import _FORM_SQL, FORM_SCHEMA
+from wireglass.queries.messages import ACK_SQL, GAUGE_SQL, SESSIONS_SQL, WHOLE_SQL
 from wireglass.queries.registry import query, table
 from wireglass.queries.views import _BY_USER
 from wireglass.session import shared_dir
 from wireglass.sources.landed import stream_landed, write_frame
 from wireglass.streaming.correlate import correlate_streams, settle_late
 from wireglass.streaming.live_view import LiveView
+from wireglass.streaming.messages import MessageAssembly, MessageCounter, SessionRegistry, SessionStore
 
 
 @query(f"SELECT event_id, user_id, event_type FROM ({_BY_USER}) WHERE r <= c // 4 * 4 AND r > c // 4 * 4 - 16")
@@ -130,3 +132,47 @@ def stream_inject(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(good, F.col("event_type")).otherwise("").alias("event_type"),
         F.coalesce("error", F.lit("")).alias("error"),
     )
+
+
+def _in_thirds(store: SessionStore, rows: DataFrame) -> None:
+    """Land the rows in three parts by time and run the store over each; the query starts again for every part."""
+    span = rows.agg(F.min("ts").alias("low"), F.max("ts").alias("high")).first()
+    if span["low"] is None:
+        span = {"low": datetime(1970, 1, 1), "high": datetime(1970, 1, 1)}
+    third = (span["high"] - span["low"]) / 3
+    second, last = F.col("ts") > F.lit(span["low"] + third), F.col("ts") > F.lit(span["high"] - third)
+    for some in (~second, second & ~last, second & last):
+        rows.where(some).write.mode("append").parquet(f"{store.root}/in")
+        store.start(stream_landed(store.spark, f"{store.root}/in", rows.schema)).awaitTermination()
+
+
+@query(WHOLE_SQL)
+def stream_assemble(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Frames to whole messages over three micro-batches; many messages lie across two."""
+    store = MessageAssembly(spark, shared_dir(spark, "assemble"), buckets=16)
+    _in_thirds(store, derive.frames(spark, sf_dir))
+    return store.messages().withColumn("data", F.decode("payload", "UTF-8")).drop("payload")
+
+
+@query(SESSIONS_SQL)
+def stream_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Session events over three micro-batches, with the intervals that open events start."""
+    store = SessionRegistry(spark, shared_dir(spark, "sessions"), derive.ORDER, buckets=16)
+    _in_thirds(store, derive.session_events(spark, sf_dir))
+    return store.sessions()
+
+
+@query(GAUGE_SQL)
+def stream_clients(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Connected clients after every event, the number carried from batch to batch."""
+    store = SessionRegistry(spark, shared_dir(spark, "clients"), derive.ORDER, buckets=16)
+    _in_thirds(store, derive.session_events(spark, sf_dir))
+    return store.gauge()
+
+
+@query(ACK_SQL)
+def stream_acks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """After every tenth message of all clients a COUNT message, the count carried from batch to batch."""
+    store = MessageCounter(spark, shared_dir(spark, "acks"), derive.ORDER, ack_count=10)
+    _in_thirds(store, derive.messages(spark, sf_dir))
+    return store.acks()

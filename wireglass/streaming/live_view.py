@@ -23,12 +23,13 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from wireglass.operators.view import Delta, Punctuation, SlidingTime, TumblingTime, ViewSpec
+from wireglass.streaming.store import BucketStore
 
-_NUMBER, _BUCKET = "__r", "__bucket"
+_NUMBER = "__r"
 
 
 @dataclass
-class LiveView:
+class LiveView(BucketStore):
     """Snapshot store of one view port below `root` (a folder executors share).
 
     `state/batch=<id>/__bucket=<b>` holds the buckets that a batch wrote, `clock` the
@@ -61,63 +62,12 @@ class LiveView:
     def _trigger(self) -> int:
         return self.spec.n if self.spec.tumbling else self.spec.trigger
 
-    def _path(self, part: str, batch: int) -> str:
-        return f"{self.root}/{part}/batch={batch}"
-
-    def _hadoop(self, path: str):
-        """File system and path, as the cluster's storage sees them."""
-        context = self.spark.sparkContext
-        there = context._jvm.org.apache.hadoop.fs.Path(path)
-        return there.getFileSystem(context._jsc.hadoopConfiguration()), there
-
-    def _listed(self, path: str) -> list[str]:
-        files, there = self._hadoop(path)
-        return sorted(e.getPath().getName() for e in files.listStatus(there)) if files.exists(there) else []
-
-    def batches(self) -> list[int]:
-        """Ids of the completely written batches, oldest first."""
-        names = [n for n in self._listed(f"{self.root}/manifest") if n.startswith("batch=")]
-        done = [n for n in names if "_SUCCESS" in self._listed(f"{self.root}/manifest/{n}")]
-        return sorted(int(n.split("=")[1]) for n in done)
-
-    def written(self, batch: int) -> list[int]:
-        """Buckets that a batch wrote."""
-        names = self._listed(self._path("state", batch))
-        return sorted(int(n.split("=")[1]) for n in names if n.startswith(f"{_BUCKET}="))
-
-    def manifest(self, batch: int) -> dict[int, int]:
-        """Batch that wrote each bucket last; at most `buckets` entries."""
-        rows = self.spark.read.schema("bucket int, batch long").parquet(self._path("manifest", batch)).collect()
-        return {r["bucket"]: r["batch"] for r in rows}
-
     def _bucket(self) -> Column:
         return F.pmod(F.xxhash64(*self.spec.keys), F.lit(self.buckets)).cast("int") if self.spec.keys else F.lit(0)
 
-    def _state(self, where: dict[int, int], buckets: set[int] | None = None) -> DataFrame | None:
-        paths = [f"{self._path('state', at)}/{_BUCKET}={b}" for b, at in where.items() if buckets is None or b in buckets]
-        return self.spark.read.parquet(*paths) if paths else None
-
     def _clock(self, batch: int) -> DataFrame | None:
         return self.spark.read.parquet(self._path("clock", batch)) if batch >= 0 and self._clocked else None
 
-    def update(self, rows: DataFrame, batch: int) -> None:
-        """foreachBatch function: merge a micro-batch into the buckets it touches."""
-        earlier = [b for b in self.batches() if b < batch]
-        if batch > 0 and (not earlier or earlier[-1] != batch - 1):
-            raise RuntimeError(f"state of batch {batch - 1} is missing below {self.root}")
-        before = self.manifest(batch - 1) if batch > 0 else {}
-        # a batch is read several times; at most `buckets` numbers come to the driver
-        rows = rows.withColumn(_BUCKET, self._bucket()).persist()
-        try:
-            touched = {r[0] for r in rows.select(_BUCKET).distinct().collect()}
-            self._write(rows.drop(_BUCKET), before, touched, batch)
-        finally:
-            rows.unpersist()
-        now = {b: at for b, at in before.items() if b not in touched} | dict.fromkeys(self.written(batch), batch)
-        listed = self.spark.createDataFrame(sorted(now.items()), "bucket int, batch long")
-        listed.coalesce(1).write.mode("overwrite").parquet(self._path("manifest", batch))
-        self._forget(earlier, before, now)
-
     def _write(self, rows: DataFrame, before: dict[int, int], touched: set[int], batch: int) -> None:
         clock, old, window = self._clock(batch - 1), self._state(before, touched), self.spec.window
         if old is not None and self.evict_after is not None:
@@ -134,24 +84,7 @@ class LiveView:
             merged = merge_state(old, rows, self.spec, self._trigger)
         else:
             merged = still_needed(rows if old is None else old.unionByName(rows), self._clock(batch), self.spec)
-        # adaptive execution splits a bucket that holds most rows and joins small ones
-        placed = merged.withColumn(_BUCKET, self._bucket()).hint("rebalance", F.col(_BUCKET))
-        placed.write.mode("overwrite").partitionBy(_BUCKET).parquet(self._path("state", batch))
-
-    def _forget(self, earlier: list[int], before: dict[int, int], now: dict[int, int]) -> None:
-        """Delete what neither this batch nor the one before it (which can run again) needs."""
-        if len(earlier) < 2:
-            return
-        last = earlier[-2]
-        for bucket, at in self.manifest(last).items():
-            if before.get(bucket) != at and now.get(bucket) != at:
-                self._delete(f"{self._path('state', at)}/{_BUCKET}={bucket}")
-        for part in ("manifest", "clock"):
-            self._delete(self._path(part, last))
-
-    def _delete(self, path: str) -> None:
-        files, there = self._hadoop(path)
-        files.delete(there, True)
+        self._keep(merged, batch)
 
     def _living(self, state: DataFrame, clock: DataFrame) -> DataFrame:
         """Without the partitions that are idle for too long."""
@@ -163,12 +96,7 @@ class LiveView:
     def start(self, stream: DataFrame) -> StreamingQuery:
         """Run over everything available; the state survives restarts."""
         self.schema = stream.schema
-        return (
-            stream.writeStream.foreachBatch(self.update)
-            .option("checkpointLocation", f"{self.root}/checkpoint")
-            .trigger(availableNow=True)
-            .start()
-        )
+        return super().start(stream)
 
     def contents(self, batch: int | None = None) -> DataFrame:
         """Rows visible after a batch, by default the last one; none before the first."""
