@@ -5,6 +5,8 @@ import random
 import re
 
 from llm_fixtures import frame  # noqa: F401
+from pyspark.sql import functions as F
+
 from wireglass.llm import decontaminate
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -50,14 +52,39 @@ def test_against_brute_force(frame):
     assert sorted(map(str, map(tuple, got))) == sorted(map(str, want))
 
 
-def test_windows_joined_by_a_shuffle_give_the_same(frame, monkeypatch):
+def test_a_set_in_parts_gives_the_same(frame, monkeypatch):
     docs, items = cases()
     table, benchmark = frame(docs, "doc_id long, text string"), frame(items, "item_id int, text string")
     want = sorted(map(str, decontaminate.digest(decontaminate.scan(table, benchmark)).collect()))
-    monkeypatch.setattr(decontaminate, "BROADCAST_WINDOWS", 0)
+    monkeypatch.setattr(decontaminate, "SET_WINDOWS", 25)
     assert sorted(map(str, decontaminate.digest(decontaminate.scan(table, benchmark)).collect())) == want
 
 
+def test_the_set_grows_with_the_benchmark(spark):
+    # 300 words give a thousand times more windows than the items use; 1,000,000 windows, 200,000 clean places
+    word = lambda k: F.concat(F.lit("w"), F.pmod(F.xxhash64("id", k), F.lit(300)).cast("string"))
+    text = F.array_join(F.transform(F.sequence(F.lit(1), F.lit(1009)), word), " ")
+    benchmark = spark.range(1000).select(F.col("id").alias("item_id"), text.alias("text"))
+    clean = spark.range(5000, 5200).select(F.col("id").alias("doc_id"), text.alias("text"))
+    windows = decontaminate._hashed_windows(benchmark, 10)
+    assert windows.count() == 1_000_000
+    placed = decontaminate._places(clean, windows)
+    assert placed.where("at = 0").count() == 200
+    assert placed.where("at > 0").count() < 0.01 * 200 * 1000
+    assert decontaminate._hits(placed, windows).count() == 0
+    own = benchmark.limit(3).select(F.col("item_id").alias("doc_id"), "text")
+    assert {(r["n_hit"], r["n_items"]) for r in decontaminate.scan(own, benchmark).collect()} == {(1009, 1)}
+
+
+def test_only_places_that_pass_are_shuffled(frame):
+    docs, items = cases()
+    table, benchmark = frame(docs, "doc_id long, text string"), frame(items, "item_id int, text string")
+    text = decontaminate.scan(table, benchmark)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in text and "Arrow" not in text
+    # the texts themselves are read before, in one stage without an exchange
+    assert "text#" not in text.replace("text_hash#", "")
+
+
 def test_removals(frame, spark):
     passage = "one two three four five six seven eight nine ten"
     docs = frame(

@@ -1,12 +1,16 @@
 """Benchmark decontamination: a broadcast hash set of normalised test windows, scanned over all texts.
 
-Built-in functions only. A document is tokenised once. The hash of every pair of
-neighbouring words is tested against a fixed-size hash set (a bit array literal
-in the plan) of the pairs that begin a benchmark window, and of those that end
-one; places that pass both are cut to their window text, which must equal a
-benchmark window in a map-side join. So every hit is verified on its words, and
-false positives of the bit array cost time only. Only hits and one narrow row per
-document are shuffled.
+Built-in functions only. A document is tokenised once, and one 64-bit hash made
+for every window of its words (from the hashes of neighbouring pairs). The hash is
+looked up map-side in a set of the benchmark's window hashes, a literal of the
+plan: SET_BITS bits or more per window, two places per hash, so that under one
+per cent of other windows pass. The set grows with the benchmark; above
+SET_WINDOWS windows of a length it is split, and the texts are scanned once for
+each part. Only places that pass are cut to their window text, written, and joined to
+the windows, whose text must be equal: every hit is verified on its words, and false
+positives cost time only. Beside them one narrow row per document is shuffled. A
+window that a large part of the corpus holds makes a skewed key only where the
+windows are too many for Spark to broadcast; adaptive execution splits it there.
 
 Nulls and empties: a null or wordless text has no words and no hits; null or
 wordless items have no windows. Repeated rows are all returned, each with its
@@ -16,6 +20,8 @@ are ignored by `scan` and kept by the removals.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -29,10 +35,10 @@ GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 PIECE = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]*"
 LEAD = r"^[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 WINDOW = 10
-#: More distinct windows than this are not broadcast but joined by a shuffle on their hash.
-BROADCAST_WINDOWS = 500_000
-#: Size of the hash sets of pairs, 32 KB each in the plan.
-SET_BITS = 1 << 18
+#: Bits of the hash set per window, and windows of one length that a part of the set holds at most (4 to 8 MB of bits).
+SET_BITS = 32
+SET_WINDOWS = 1 << 20
+SPOT = "struct<at:int,len:int,hash:bigint>"
 
 
 def words(text: Column) -> Column:
@@ -48,24 +54,44 @@ def _hashed(rows: DataFrame) -> DataFrame:
     return pinned(rows, {"pairs": F.zip_with(until, after, lambda a, b: F.xxhash64(a, b))})
 
 
-def _bit(value: Column) -> Column:
-    return value.bitwiseAND(F.lit(SET_BITS - 1))
+def _window_hashes(size: int) -> Column:
+    """One hash per window of `size` words, of the hashes of the pairs that cover it."""
+    if size == 1:
+        return F.col("h")
+    offsets = sorted({*range(0, size - 1, 2), size - 2})
+    starts = F.slice("pairs", F.lit(1), F.greatest(F.size("pairs") - (size - 2), F.lit(0)))
+    return F.transform(starts, lambda x, i: F.xxhash64(x, *[F.get("pairs", i + k) for k in offsets[1:]]))
+
+
+def _slots(value: Column, bits: int) -> list[Column]:
+    """The two places of a hash in a set of `bits` bits (a power of two, 2^32 at most)."""
+    mask = F.lit(bits - 1).cast("bigint")
+    return [value.bitwiseAND(mask), F.shiftrightunsigned(value, 32).bitwiseAND(mask)]
+
 
+def _hash_set(windows: DataFrame, n: int) -> tuple[Column, int]:
+    """Bits of the hashes of `n` windows as a literal array of longs, and their number.
 
-def _bit_set(rows: DataFrame, value: Column) -> Column:
-    """The distinct bits of `value` as a literal array of longs; at most SET_BITS numbers reach the driver."""
-    longs = [0] * (SET_BITS // 64)
-    for (bit,) in rows.select(_bit(value)).distinct().collect():
-        longs[bit // 64] |= 1 << (bit % 64)
-    text = ",".join(str(x - (1 << 64) if x >> 63 else x) for x in longs)
-    return F.split(F.lit(text), ",").cast("array<bigint>")
+    Spark puts them together; the driver receives one text of some MB, for SET_WINDOWS windows 20 MB at most.
+    """
+    bits = 1 << max(6, (SET_BITS * n - 1).bit_length())
+    slots = windows.select(F.explode(F.array(*_slots(F.col("hash"), bits))).alias("slot"))
+    one = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("slot").bitwiseAND(F.lit(63)).cast("int"))
+    longs = slots.groupBy(F.shiftright("slot", 6).alias("at")).agg(F.bit_or(one).alias("long"))
+    every = windows.sparkSession.range(bits // 64).withColumnRenamed("id", "at")
+    dense = every.join(longs, "at", "left").select("at", F.coalesce("long", F.lit(0).cast("bigint")).alias("long"))
+    packed = F.array_sort(F.collect_list(F.struct("at", "long")))
+    text = dense.agg(F.array_join(F.transform(packed, lambda x: x["long"].cast("string")), ",")).first()[0]
+    return F.split(F.lit(text), ",").cast("array<bigint>"), bits
 
 
-def _in_set(value: Column, bits: Column) -> Column:
-    bit = _bit(value)
-    return F.call_function(
-        "getbit", F.get(bits, F.shiftright(bit, 6).cast("int")), bit.bitwiseAND(F.lit(63)).cast("int")
-    ) == 1
+def _in_set(value: Column, longs: Column, bits: int) -> Column:
+    def test(slot: Column) -> Column:
+        at = F.get(longs, F.shiftright(slot, 6).cast("int"))
+        return F.call_function("getbit", at, slot.bitwiseAND(F.lit(63)).cast("int")) == 1
+
+    first, second = _slots(value, bits)
+    return test(first) & test(second)
 
 
 def benchmark_windows(benchmark: DataFrame, size: int = WINDOW) -> DataFrame:
@@ -73,54 +99,68 @@ def benchmark_windows(benchmark: DataFrame, size: int = WINDOW) -> DataFrame:
     tokens = benchmark.select(F.col("item_id").cast("string").alias("item"), words(F.col("text")).alias("w"))
     tokens = tokens.where(F.size("w") > 0).withColumn("len", F.least(F.size("w"), F.lit(size)))
     placed = tokens.withColumn("at", F.explode(F.sequence(F.lit(1), F.size("w") - F.col("len") + 1)))
-    cut = placed.select("item", "len", F.slice("w", F.col("at"), F.col("len")).alias("ws"))
-    return cut.groupBy("ws", "len").agg(F.array_sort(F.collect_set("item")).alias("items"))
+    cut = placed.select("item", "len", F.slice("w", F.col("at"), F.col("len")).alias("w"))
+    return cut.groupBy("w", "len").agg(F.array_sort(F.collect_set("item")).alias("items"))
+
+
+def _hashed_windows(benchmark: DataFrame, size: int) -> DataFrame:
+    """Written windows with their hash: hash, len, window (its text), items."""
+    rows = _hashed(benchmark_windows(benchmark, size))
+    value = F.coalesce(*[F.when(F.col("len") == n, F.get(_window_hashes(n), F.lit(0))) for n in range(1, size + 1)])
+    return landed(rows.select(value.alias("hash"), "len", F.array_join("w", " ").alias("window"), "items"), "windows")
 
 
-def _matches(docs: DataFrame, benchmark: DataFrame, size: int) -> DataFrame:
-    """One row per document (at = 0) and one per verified hit: doc_id, text_hash, at, len, items, n_words."""
-    windows = landed(benchmark_windows(benchmark, size), "windows")
-    known = windows.agg(F.count("*").alias("n"), F.collect_set("len").alias("lens")).first()
+def _spot(n: int, longs: Column, bits: int):
+    """Function of a window's hash and its position: its place if the set has the hash, else null."""
+
+    def of(value: Column, i: Column) -> Column:
+        place = F.struct((i + 1).alias("at"), F.lit(n).alias("len"), value.alias("hash"))
+        return F.when(_in_set(value, longs, bits), place).otherwise(F.lit(None).cast(SPOT))
+
+    return of
+
+
+def _places(docs: DataFrame, windows: DataFrame) -> DataFrame:
+    """One row per document (at = 0) and one per place that passes the hash set: doc_id, text_hash, at, len, n_words, hash, cut."""
+    counts = {r["len"]: r["n"] for r in windows.groupBy("len").agg(F.count("*").alias("n")).collect()}
+    parts = {n: -(-count // SET_WINDOWS) for n, count in counts.items()}
     read = pinned(docs.select("doc_id", "text"), {"text_hash": F.xxhash64("text"), "w": words(F.col("text"))})
     read = _hashed(read.drop("text"))
-    spots = [F.array(F.struct(F.lit(0).alias("at"), F.lit(0).alias("len")))]
-    nothing = F.lit(None).cast("struct<at:int,len:int>")
-    for n in sorted(known["lens"]):
-        parts = _hashed(windows.where(F.col("len") == n).select(F.col("ws").alias("w")))
-        found = lambda i, n=n: F.struct((i + 1).alias("at"), F.lit(n).alias("len"))
-        if n == 1:
-            bits = _bit_set(parts, F.get("h", F.lit(0)))
-            passed = F.transform("h", lambda x, i: F.when(_in_set(x, bits), found(i)).otherwise(nothing))
-        else:
-            first = _bit_set(parts, F.get("pairs", F.lit(0)))
-            last = _bit_set(parts, F.get("pairs", F.lit(n - 2)))
-            end = lambda i, n=n: F.coalesce(F.get("pairs", i + (n - 2)), F.lit(0))
-            passed = F.transform(
-                "pairs",
-                lambda x, i: F.when(_in_set(x, first) & _in_set(end(i), last), found(i)).otherwise(nothing),
-            )
-        spots.append(F.array_compact(passed))
-    placed = pinned(read, {"spots": F.concat(*spots)}).select(
-        "doc_id", "text_hash", "w", F.explode("spots").alias("spot")
+    passes = []
+    for part in range(max(parts.values(), default=1)):
+        lengths = sorted(n for n in parts if part < parts[n])
+        rows = pinned(read, {f"hashes{n}": _window_hashes(n) for n in lengths}) if lengths else read
+        row = F.struct(F.lit(0).alias("at"), F.lit(0).alias("len"), F.lit(0).cast("bigint").alias("hash"))
+        spots = [F.array(F.lit(None).cast(SPOT) if part else row)]
+        for n in lengths:
+            some = windows.where((F.col("len") == n) & (F.pmod("hash", F.lit(parts[n])) == part))
+            longs, bits = _hash_set(some, min(counts[n], SET_WINDOWS))
+            spots.append(F.transform(f"hashes{n}", _spot(n, longs, bits)))
+        passed = pinned(rows, {"spots": F.array_compact(F.concat(*spots))})
+        passes.append(passed.select("doc_id", "text_hash", "w", F.explode("spots").alias("spot")))
+    text = F.array_join(F.slice("w", F.greatest("spot.at", F.lit(1)), F.col("spot.len")), " ")
+    placed = reduce(DataFrame.unionAll, passes).select(
+        "doc_id", "text_hash", "spot.*", F.size("w").alias("n_words"), text.alias("cut")
     )
-    placed = placed.select("doc_id", "text_hash", "w", "spot.at", "spot.len")
-    text = F.array_join(F.slice("w", F.greatest("at", F.lit(1)), F.col("len")), " ")
-    placed = placed.select("doc_id", "text_hash", "at", "len", F.size("w").alias("n_words"), text.alias("cut"))
-    side = windows.select(
-        F.col("len").alias("item_len"), F.array_join("ws", " ").alias("window"), "items"
-    )
-    side = F.broadcast(side) if known["n"] <= BROADCAST_WINDOWS else side
-    joined = placed.join(side, (F.col("cut") == F.col("window")) & (F.col("len") == F.col("item_len")), "left")
-    kept = joined.where((F.col("at") == 0) | F.col("window").isNotNull())
-    return kept.select("doc_id", "text_hash", "at", "len", "items", "n_words")
+    return landed(placed, "places")
+
+
+def _hits(placed: DataFrame, windows: DataFrame) -> DataFrame:
+    """Places whose words are those of a window: doc_id, text_hash, at, len, items."""
+    side = windows.withColumnsRenamed({"hash": "item_hash", "len": "item_len"})
+    same = (F.col("hash") == F.col("item_hash")) & (F.col("len") == F.col("item_len")) & (F.col("cut") == F.col("window"))
+    return placed.where("at > 0").join(side, same).select("doc_id", "text_hash", "at", "len", "items")
 
 
 def _per_document(docs: DataFrame, benchmark: DataFrame, size: int) -> DataFrame:
     """One row per distinct (doc_id, text): copies, n_words, hit word positions, items."""
     hit = F.col("at") > 0
     covered = F.when(hit, F.sequence(F.col("at"), F.col("at") + F.col("len") - 1))
+    windows = _hashed_windows(benchmark, size)
+    placed = _places(docs, windows)
+    every = placed.where("at = 0").select("doc_id", "text_hash", "at", "len", "n_words")
     return (
-        _matches(docs, benchmark, size)
+        every.unionByName(_hits(placed, windows), allowMissingColumns=True)
         .groupBy("doc_id", "text_hash")
         .agg(
             F.count_if(~hit).cast("int").alias("copies"),
@@ -153,7 +193,8 @@ def digest(found: DataFrame) -> DataFrame:
 
 def remove_documents(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW) -> DataFrame:
     """Documents without any hit, with all their columns."""
-    bad = _matches(docs, benchmark, size).where("at > 0").select("doc_id", "text_hash").distinct()
+    windows = _hashed_windows(benchmark, size)
+    bad = _hits(_places(docs, windows), windows).select("doc_id", "text_hash").distinct()
     bad = bad.select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"))
     rows = docs.select(F.col("doc_id").alias("__doc"), F.xxhash64("text").alias("__text"), whole_row(docs))
     same = F.col("__doc").eqNullSafe(F.col("__id")) & (F.col("__text") == F.col("__hash"))
