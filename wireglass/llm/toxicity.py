@@ -43,13 +43,11 @@ count once per label row. Extra columns are kept.
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Iterable, Iterator
-from itertools import chain
+from itertools import chain, islice
 
 import numpy as np
 import pandas as pd
-import xxhash
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -83,30 +81,125 @@ def words(text: str | None) -> list[str]:
     return WORD.findall(text.lower()) if text else []
 
 
-def key_of(word: str) -> int:
-    """Signed 64-bit hash of a word."""
-    number = xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass"))
-    return number - (1 << 64) if number >> 63 else number
+#: Key of the hash by kind of expression; pandas asks for 16 characters.
+HASH_KEYS = {"word": "0123456789123456", "start": "start of a word:", "bits": "word that goes b"}
 
 
-class Expressions(dict):
-    """Keys of a word and of its beginnings, longest first."""
+def hashes(found: list[str], kind: str) -> np.ndarray:
+    """Unsigned 64-bit hashes of words, the same in every process."""
+    out = pd.util.hash_array(np.array(found, dtype=object), hash_key=HASH_KEYS[kind], categorize=False)
+    return out.astype(np.uint64, copy=False)
 
-    def __missing__(self, word: str) -> tuple[int, ...]:
-        starts = [word[:n] for n in STARTS if n < len(word)]
-        self[word] = (key_of(word + "\n"), *map(key_of, starts))
-        return self[word]
 
+class Numbers(dict):
+    """Numbers of strings, in the order in which they are asked for first."""
 
-class Bits(dict):
-    """The bits of a word among 192: one of 64, and one of MAPS bitmaps of 16."""
+    def __missing__(self, key: str) -> int:
+        number = self[key] = len(self)
+        return number
 
-    def __missing__(self, word: str) -> int:
-        number = xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass"))
-        rest = number >> 16
-        level = min((rest & -rest).bit_length() - 1, 15) if rest else 15
-        self[word] = 1 << (number & 63) | 1 << (64 + 16 * (number >> 6 & MAPS - 1) + level)
-        return self[word]
+    def of(self, found: Iterable[str], size: int) -> np.ndarray:
+        return np.fromiter(map(self.__getitem__, found), np.int64, size)
+
+
+class Vocabulary:
+    """Words, number 0 for the start of a text, and the numbers of their beginnings (NONE: too short), longest first."""
+
+    NONE = -1
+
+    def __init__(self):
+        self.words, self.starts = Numbers({"": 0}), Numbers()
+        self.links = np.full((1, len(STARTS)), self.NONE)
+
+    def numbered(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Numbers of all words, of the words before them, and where the words of each text end."""
+        found = [words(t) for t in texts]
+        ends = np.cumsum([0, *map(len, found)])
+        numbers = self.words.of(chain.from_iterable(found), int(ends[-1]))
+        before = np.zeros_like(numbers)
+        before[1:] = numbers[:-1]
+        before[ends[:-1][np.diff(ends) > 0]] = 0
+        return numbers, before, ends
+
+    def new(self) -> tuple[list[str], list[str]]:
+        """The words and beginnings that came since the last call; their links are known from then on."""
+        n_starts = len(self.starts)
+        found = list(islice(self.words, len(self.links), None))
+        number = self.starts.__getitem__
+        links = [number(w[:n]) if n < len(w) else self.NONE for w in found for n in STARTS]
+        self.links = np.vstack([self.links, np.array(links, np.int64).reshape(-1, len(STARTS))])
+        return found, list(islice(self.starts, n_starts, None))
+
+
+def predecessor_bits(found: list[str]) -> np.ndarray:
+    """The bits of words among 192, as rows of three longs: one of the first 64, and one of MAPS bitmaps of 16."""
+    number = hashes(found, "bits")
+    rest = number >> np.uint64(16) | np.uint64(1 << 15)
+    level = np.log2((rest & (~rest + np.uint64(1))).astype(float)).astype(np.uint64)
+    place = np.uint64(16) * (number >> np.uint64(6) & np.uint64(MAPS - 1)) + level
+    out = np.zeros((len(found), 3), np.uint64)
+    out[:, 0] = np.uint64(1) << (number & np.uint64(63))
+    out[np.arange(len(found)), 1 + (place >> np.uint64(6)).astype(int)] = np.uint64(1) << (place & np.uint64(63))
+    return out
+
+
+def _or_by(groups: np.ndarray, rows: np.ndarray, size: int) -> np.ndarray:
+    """OR of the rows of each of `size` groups."""
+    out = np.zeros((size, rows.shape[1]), np.uint64)
+    if len(groups):
+        order = np.argsort(groups, kind="stable")
+        groups = groups[order]
+        first = np.flatnonzero(np.diff(groups, prepend=-1))
+        out[groups[first]] = np.bitwise_or.reduceat(rows[order], first, axis=0)
+    return out
+
+
+def _grown(array: np.ndarray, size: int) -> np.ndarray:
+    return np.concatenate([array, np.zeros((size - len(array), *array.shape[1:]), array.dtype)])
+
+
+class Counted:
+    """Texts and predecessor bits of the expressions of some texts, per class."""
+
+    def __init__(self):
+        self.vocabulary, self.bits = Vocabulary(), predecessor_bits([""])
+        self.texts = {c: np.zeros(1, np.int64) for c in CLASSES}
+        self.texts_of_starts = {c: np.zeros(0, np.int64) for c in CLASSES}
+        self.before = {c: np.zeros((1, 3), np.uint64) for c in CLASSES}
+
+    def __len__(self) -> int:
+        return len(self.vocabulary.words) + len(self.vocabulary.starts)
+
+    def add(self, texts: list[str | None], name: str) -> None:
+        """Count texts of one class."""
+        numbers, before, ends = self.vocabulary.numbered(texts)
+        found, _ = self.vocabulary.new()
+        self.bits = np.vstack([self.bits, predecessor_bits(found)])
+        size, n_starts = len(self.vocabulary.words), len(self.vocabulary.starts)
+        # a text counts once for an expression
+        home = np.repeat(np.arange(len(texts)), np.diff(ends))
+        home, held = np.divmod(np.unique(home * size + numbers), size)
+        self.texts[name] = _grown(self.texts[name], size) + np.bincount(held, minlength=size)
+        links = self.vocabulary.links[held]
+        once = np.unique((home[:, None] * n_starts + links)[links != Vocabulary.NONE])
+        starts = np.bincount(once % max(n_starts, 1), minlength=n_starts)
+        self.texts_of_starts[name] = _grown(self.texts_of_starts[name], n_starts) + starts
+        pairs, last = np.divmod(np.unique(numbers * size + before), size)
+        self.before[name] = _grown(self.before[name], size) | _or_by(pairs, self.bits[last], size)
+
+    def rows(self) -> pd.DataFrame:
+        vocabulary, size = self.vocabulary, len(self.vocabulary.words)
+        keys = [hashes([*islice(vocabulary.words, 1, None)], "word"), hashes([*vocabulary.starts], "start")]
+        columns = {"key": np.concatenate(keys).view(np.int64)}
+        owner, place = np.nonzero(vocabulary.links != Vocabulary.NONE)
+        starts = vocabulary.links[owner, place]
+        for c in CLASSES:
+            columns[c] = np.concatenate([_grown(self.texts[c], size)[1:], _grown(self.texts_of_starts[c], len(vocabulary.starts))])
+        for c in CLASSES:
+            before = _grown(self.before[c], size)
+            both = np.vstack([before[1:], _or_by(starts, before[owner], len(vocabulary.starts))])
+            columns |= {f"{c}_before{i}": both[:, i].copy().view(np.int64) for i in range(3)}
+        return pd.DataFrame(columns)
 
 
 def count(texts: DataFrame) -> DataFrame:
@@ -116,38 +209,21 @@ def count(texts: DataFrame) -> DataFrame:
     """
 
     def task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        keys, bits, sums, before = Expressions(), Bits(), (Counter(), Counter()), ({}, {})
+        counted = Counted()
         for batch in batches:
-            for text, toxic in zip(batch["text"], batch["toxic"]):
-                found = words(text)
-                sums[int(toxic)].update({k for w in set(found) for k in keys[w]})
-                seen = before[int(toxic)]
-                for last, word in dict.fromkeys(zip(["", *found], found)):
-                    bit = bits[last]
-                    for k in keys[word]:
-                        seen[k] = seen.get(k, 0) | bit
-            if len(before[0]) + len(before[1]) > HELD_KEYS:
-                yield _counted(sums, before)
-                keys, bits, sums, before = Expressions(), Bits(), (Counter(), Counter()), ({}, {})
-        yield _counted(sums, before)
+            for name, label in zip(CLASSES, (1, 0)):
+                for piece in _pieces(batch["text"][batch["toxic"] == label].tolist()):
+                    counted.add(piece, name)
+                    if len(counted) > HELD_KEYS:
+                        yield counted.rows()
+                        counted = Counted()
+        yield counted.rows()
 
     bits = [f"{c}_before{i}" for c in CLASSES for i in range(3)]
     counted = texts.mapInPandas(task, "key long, toxic long, ordinary long, " + ", ".join(f"{b} long" for b in bits))
     return counted.groupBy("key").agg(*[F.sum(c).alias(c) for c in CLASSES], *[F.bit_or(b).alias(b) for b in bits])
 
 
-def _counted(sums: tuple[Counter, Counter], before: tuple[dict, dict]) -> pd.DataFrame:
-    found = list(before[0].keys() | before[1].keys())
-    columns = {"key": np.array(found, np.int64)}
-    for c, name in ((1, "toxic"), (0, "ordinary")):
-        columns[name] = np.fromiter((sums[c][k] for k in found), np.int64, len(found))
-        bits = [before[c].get(k, 0) for k in found]
-        for i in range(3):
-            part = np.fromiter((b >> 64 * i & (1 << 64) - 1 for b in bits), np.uint64, len(found))
-            columns[f"{name}_before{i}"] = part.view(np.int64)
-    return pd.DataFrame(columns)
-
-
 def different(texts: Column, bits: list[Column]) -> Column:
     """Number of different predecessors, at most the number of texts."""
     ones = F.bit_count(bits[0])
@@ -198,28 +274,30 @@ def to_shards(ratios: DataFrame, slots: int) -> list[Broadcast]:
     return shards
 
 
-class Ratios(dict):
-    """Log ratio by word: that of the word or else of its longest beginning with evidence."""
+class Ratios:
+    """Log ratios of words: a word's own or else a part of that of its longest beginning with evidence."""
 
     def __init__(self, shards: list[Broadcast], other: float):
-        super().__init__()
-        self.shards, self.other, self.keys_of = shards, other, Expressions()
+        self.shards, self.other = shards, other
+        self.forget()
 
-    def learn(self, found: Iterable[str]) -> None:
-        """Look up the words that are not known yet, all in one turn of the shards."""
-        new = [w for w in dict.fromkeys(found) if w not in self]
-        if not new:
+    def forget(self) -> None:
+        self.vocabulary, self.values, self.lent = Vocabulary(), np.zeros(1), np.zeros(0)
+
+    def learn(self) -> None:
+        """Look up the words that the vocabulary got since the last call, all in one turn of the shards."""
+        found, starts = self.vocabulary.new()
+        if not found:
             return
-        keys = [self.keys_of.__missing__(w) for w in new]
-        self.keys_of.clear()
-        values = self._look_up(np.fromiter(chain.from_iterable(keys), np.int64)).tolist()
-        at = 0
-        for word, some in zip(new, keys):
-            end = at + len(some)
-            # nan is the only value that differs from itself
-            own, *lent = values[at:end]
-            self[word] = own if own == own else LENT * next((v for v in lent if v == v), self.other / LENT)
-            at = end
+        keys = np.concatenate([hashes(found, "word"), hashes(starts, "start")]).view(np.int64)
+        own, lent = np.split(self._look_up(keys), [len(found)])
+        self.lent = np.concatenate([self.lent, lent])
+        # one nan behind the beginnings stands for NONE
+        lent = np.append(self.lent, np.nan)[self.vocabulary.links[-len(found) :]]
+        longest = np.argmax(~np.isnan(lent), axis=1)
+        lent = LENT * lent[np.arange(len(found)), longest]
+        lent[np.isnan(lent)] = self.other
+        self.values = np.concatenate([self.values, np.where(np.isnan(own), lent, own)])
 
     def _look_up(self, keys: np.ndarray) -> np.ndarray:
         out = np.full(len(keys), np.nan)
@@ -239,9 +317,10 @@ class Ratios(dict):
                 vars(shard).pop("_value", None)
         return out
 
-    def __missing__(self, word: str) -> float:
-        self.learn([word])
-        return self[word]
+    def __getitem__(self, word: str) -> float:
+        number = self.vocabulary.words[word]
+        self.learn()
+        return float(self.values[number])
 
 
 def _pieces(texts) -> Iterator[list[str | None]]:
@@ -261,17 +340,20 @@ def features(ratios: Ratios, texts) -> np.ndarray:
     out = np.zeros((len(texts), 2 + len(STRETCHES)))
     row = -1
     for piece in _pieces(texts):
-        if len(ratios) > HELD_WORDS:
-            ratios.clear()
-        # a pair of words that a text repeats counts at its first place only
-        split = [[w for _, w in dict.fromkeys(zip(["", *found], found))] for found in map(words, piece)]
-        ratios.learn(chain.from_iterable(split))
-        for row, found in enumerate(split, row + 1):
-            if found:
-                sums = np.zeros(len(found) + 1)
-                np.cumsum(np.fromiter(map(ratios.__getitem__, found), float, len(found)), out=sums[1:])
-                worst = [((sums[n:] - sums[:-n]).max() if len(found) >= n else sums[-1]) / n for n in STRETCHES]
-                out[row] = sums[-1] / len(found), *worst, np.log1p(len(found))
+        if len(ratios.values) > HELD_WORDS:
+            ratios.forget()
+        numbers, before, ends = ratios.vocabulary.numbered(piece)
+        ratios.learn()
+        values, pairs = ratios.values[numbers], numbers * len(ratios.values) + before
+        for row, (start, end) in enumerate(zip(ends[:-1], ends[1:]), row + 1):
+            if start == end:
+                continue
+            # a pair of words that a text repeats counts at its first place only
+            first = np.sort(np.unique(pairs[start:end], return_index=True)[1])
+            sums = np.zeros(len(first) + 1)
+            np.cumsum(values[start:end][first], out=sums[1:])
+            worst = [((sums[n:] - sums[:-n]).max() if len(first) >= n else sums[-1]) / n for n in STRETCHES]
+            out[row] = sums[-1] / len(first), *worst, np.log1p(len(first))
     return out
 
 
