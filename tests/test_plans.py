@@ -4,10 +4,12 @@ import re
 
 import pytest
 from conftest import SMALL
+from pyspark.sql import functions as F
 
 from wireglass.operators import exchange, ingest, messages, view
 from wireglass.operators.view import ViewSpec
 from wireglass.plans.buckets import measure
+from wireglass.plans.intervals import nearby
 from wireglass.plans.ordered import sequence
 from wireglass.queries import QUERIES, derive
 from wireglass.queries.registry import table
@@ -81,3 +83,12 @@ def test_correlation_joins_on_key_and_time(spark):
     text = plan(exchange.correlate(asked, told))
     assert re.search(r"Join \[key#\d+L?, __bucket#\d+L\]", text)
     assert "Python" not in text
+
+
+def test_repeated_rows_do_not_pass_through_the_driver(spark):
+    # both sides look small to Spark, which does not see that each row is repeated per level
+    events = table(spark, SMALL, "events").select("ts", "event_id")
+    spans = events.select(F.col("ts").alias("low"), (F.col("ts") + F.expr("interval 2 days")).alias("high"))
+    text = plan(nearby(events, spans, "ts", F.col("low"), F.col("high"), measure(events, "ts", 16)))
+    assert "SortMergeJoin" in text
+    assert "Broadcast" not in text
