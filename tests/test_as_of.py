@@ -169,3 +169,26 @@ def test_ports_nulls_repeats_and_json_attributes(spark):
     empty = as_of.answer_texts({0: (frame.limit(0), pure)}, requests).where("port = 0").collect()
     assert [r["json"] for r in empty] == ["[]", "[]"]
     assert as_of.answer_texts({0: (frame, pure)}, requests.limit(0)).count() == 0
+
+
+def test_sliding_answers_of_odd_requests(spark):
+    """Repeated rows, ids of one or several places, requests without a key or a time; more rows than a block."""
+    size, start = timedelta(seconds=50), datetime(2024, 1, 1)
+    tuples = [(start + timedelta(seconds=i // 2), i // 3, i % 2) for i in range(240)] + [(start, 7, None), (None, 8, 1)]
+    asked = [(0, 1, 30, 50), (0, 1, 30, 50), (1, 1, 60, 99), (1, 0, 90, 99), (2, None, 45, 70), (3, 0, None, 1)]
+    asked += [(None, 1, 20, 99), (None, 0, 10, 99), (4, 5, 90, 99), (5, 0, 119, 80)]
+    requests = [(r, k, None if s is None else start + timedelta(seconds=s), i) for r, k, s, i in asked]
+    expected = []
+    for name in dict.fromkeys(r[0] for r in requests):
+        met = []
+        for _, k, ts, i in (r for r in requests if r[0] == name and r[2] is not None):
+            for own in (0, 1, None):
+                here = [t for t in tuples if t[0] and t[2] == own and k in (None, own) and (t[0], t[1]) <= (ts, i)]
+                newest = max((t[0] for t in here), default=None)
+                met += [t for t in here if t[0] > newest - size]
+        expected += [(name, at, t[0], t[1]) for at, t in enumerate(sorted(met, key=lambda t: t[:2]), 1)]
+    frame = spark.createDataFrame(tuples, "ts timestamp_ntz, id long, k int")
+    wanted = spark.createDataFrame(requests, "request_id long, k int, ts timestamp_ntz, id long")
+    spec = ViewSpec(ORDER, keys=["k"], window=view.SlidingTime(size))
+    found = view.answer_as_of(frame, wanted, spec).select("request_id", "position", "ts", "id").collect()
+    assert sorted(map(str, map(tuple, found))) == sorted(map(str, expected))

@@ -92,3 +92,10 @@ def test_repeated_rows_do_not_pass_through_the_driver(spark):
     text = plan(nearby(events, spans, "ts", F.col("low"), F.col("high"), measure(events, "ts", 16)))
     assert "SortMergeJoin" in text
     assert "Broadcast" not in text
+
+
+def test_sliding_answers_are_not_shuffled(spark):
+    # they may be many times the rows and requests: neither repeated in a tree nor brought together for their position
+    text = plan(QUERIES["answer_sliding_requests"](spark, SMALL))
+    assert "__node_i" not in text
+    assert not re.search(r"Window \[[^\n]*__request_id", text)
