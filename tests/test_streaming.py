@@ -3,11 +3,13 @@
 from datetime import datetime, timedelta
 
 import pytest
+from conftest import SMALL
 from pyspark.sql import functions as F
 
 from wireglass.functions.types import schema
 from wireglass.operators import exchange, ingest, messages, view
 from wireglass.operators.view import ViewSpec
+from wireglass.queries import QUERIES, derive
 from wireglass.session import shared_dir
 from wireglass.sources import RAW_REQUESTS, stream_landed, write_frame
 from wireglass.streaming.correlate import correlate_streams
@@ -238,3 +240,20 @@ def test_acknowledgements_over_several_batches(spark, tmp_path):
     wanted = messages.acknowledgements(frames(spark, sum(TRAFFIC, [])), 3, ["ts", "seq"])
     assert sorted(map(str, store.acks().collect())) == sorted(map(str, wanted.collect()))
     assert [r["count"] for r in store.acks().orderBy("count").collect()] == [3, 6, 9, 12, 15]
+
+
+def test_responses_of_the_correlation_are_derived_once(spark, monkeypatch):
+    # by a count of the rows that pass: the span and the parts read what is landed
+    told, passed = derive.told, spark.sparkContext.accumulator(0)
+    rows = told(spark, SMALL).count()
+
+    def counted(session, sf_dir):
+        def same(text):
+            passed.add(1)
+            return text
+
+        return told(session, sf_dir).withColumn("response", F.udf(same, "string").asNondeterministic()("response"))
+
+    monkeypatch.setattr(derive, "told", counted)
+    assert QUERIES["stream_correlate"](spark, SMALL).count() > 0
+    assert passed.value == rows
