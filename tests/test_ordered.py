@@ -10,7 +10,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from wireglass.plans.buckets import Layout, measure, plan_layout
-from wireglass.plans.intervals import ancestors, by_layout, by_width, contained, levels, nearby, pieces
+from wireglass.plans.intervals import ancestors, by_layout, by_width, contained, crossed, levels, nearby, pieces
 from wireglass.plans.ordered import Measure, measures, neighbours, sequence
 
 T0 = datetime(2024, 3, 1)
@@ -206,3 +206,26 @@ def test_backward_minimum_over_buckets(spark):
         later = [i for i in range(row["id"], 500) if i % 7 == 0 and i % 3 == row["k"]]
         assert row["at"] == min(later, default=None)
         assert row["after"] == min([i for i in later if i > row["id"]], default=None)
+
+
+@pytest.mark.parametrize("rows, cell, strip", [(3, 4, 2), (20, 7, 3), (None, 50, 256)])
+def test_crossed_against_all_pairs(spark, rows, cell, strip):
+    rng = random.Random(8)
+    points = [(rng.choice([None, 40, *range(100)]), i) for i in range(150)] + [(40, 150 + i) for i in range(30)]
+    spans = [(rng.choice([None, rng.randrange(-20, 120)]), i % 25 or None) for i in range(60)]
+    spans = [(s, rng.choice([None, s, s, *range(-10, 130)]), k) for s, k in spans]
+    spans += spans[:5]
+    p = spark.createDataFrame(points, "at long, id long")
+    q = spark.createDataFrame(spans, "s long, e long, k long")
+    layout = rows and measure(p, "at", rows)
+    met = crossed(p, q, "at", "s", "e", layout, cell, strip)
+    assert met.columns == ["at", "id", "k"]
+    expected = sorted(
+        (at, i, k or -1)
+        for at, i in points
+        for s, e, k in spans
+        if at is not None and s is not None and s <= at and (e is None or at < e)
+    )
+    assert sorted((r["at"], r["id"], r["k"] or -1) for r in met.collect()) == expected
+    none = crossed(p.where("id < 0"), q, "at", "s", "e"), crossed(p, q.where("k < 0"), "at", "s", "e")
+    assert [df.count() for df in none] == [0, 0]
