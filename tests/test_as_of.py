@@ -192,3 +192,53 @@ def test_sliding_answers_of_odd_requests(spark):
     spec = ViewSpec(ORDER, keys=["k"], window=view.SlidingTime(size))
     found = view.answer_as_of(frame, wanted, spec).select("request_id", "position", "ts", "id").collect()
     assert sorted(map(str, map(tuple, found))) == sorted(map(str, expected))
+
+
+@pytest.mark.parametrize("spec", [SPECS[0], SPECS[1], SPECS[6], SPECS[10]])
+def test_texts_of_many_short_stretches(spark, monkeypatch, spec):
+    """Buckets of two rows, parts of two requests, few rows to a task: the same texts."""
+    for name, value in (("ROWS_PER_BUCKET", 2), ("ASKED_TOGETHER", 2), ("ROWS_PER_TASK", 200)):
+        monkeypatch.setattr(as_of, name, value)
+    rows = made(11, 120)
+    frame = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    texts = ["", "user_id=1", "user_id=1&attribute=id&callback=f", "kind=b", "user_id=1", "user_id=9"]
+    asked = [(k, rows[i][1], 0, t) for k, (i, t) in enumerate((i, t) for i in range(0, 120, 8) for t in texts)]
+    requests = spark.createDataFrame(asked, "request_id long, ts timestamp_ntz, port int, query string")
+    spec = ViewSpec(**{**vars(spec), "attributes": ["id", "value"]})
+    got = {r["request_id"]: r for r in as_of.answer_texts({0: (frame, spec)}, requests).collect()}
+    assert set(got) == set(range(len(asked)))
+    for number, at, _, text in asked:
+        query = view.read_query(text, spec)
+        here = plain(rows, spec, at)
+        here = [r for r in here if all(str(r[2] if k == "user_id" else r[3]) == v for k, v in query.values.items())]
+        found = got[number]["json"]
+        found = json.loads(found[2:-3] if "callback" in text else found)
+        names = ["id"] if "attribute=id" in text else ["id", "value"]
+        assert found == [{n: {"id": r[0], "value": r[4]}[n] for n in names} for r in here], (number, text, at)
+
+
+def shuffled_bytes(df):
+    """Size of the rows that the shuffles of a collected frame dealt out, adaptive execution being off."""
+    def walk(node):
+        own = node.metrics().apply("dataSize").value() if node.nodeName() == "Exchange" else 0
+        children = node.children()
+        return own + sum(walk(children.apply(i)) for i in range(children.size()))
+
+    return walk(df._jdf.queryExecution().executedPlan())
+
+
+def test_texts_do_not_shuffle_their_rows(spark):
+    rows = [(i, START + SECOND * i, i % 3, "a", i, False) for i in range(400)]
+    asked = [(i, START + SECOND * (400 + i), 0, "") for i in range(600)]
+    frame = spark.createDataFrame(rows, SCHEMA)
+    requests = spark.createDataFrame(asked, "request_id long, ts timestamp_ntz, port int, query string")
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        answers = as_of.answer_texts({0: (frame, ViewSpec(ORDER, 300, named=True, attributes=["id"]))}, requests)
+        assert {r["n"] for r in answers.collect()} == {300}
+        moved = shuffled_bytes(answers)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+    # 180,000 rows are shown, of more than 10 bytes each
+    assert 0 < moved < 1_000_000
